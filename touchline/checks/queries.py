@@ -57,10 +57,6 @@ def _schedule(spark, d):
     return marts.fct_fixture_schedule(_fixtures(spark, d), _teams(spark, d), standins.AS_OF)
 
 
-def _form(spark, d):
-    return marts.fct_player_form(_appearances(spark, d), _players(spark, d), _teams(spark, d))
-
-
 def _plain(df: DataFrame) -> DataFrame:
     """Timestamps without zone, in UTC, so that results do not depend on the session's zone."""
     return df.select(
@@ -104,7 +100,8 @@ def fct_player_season_stats(spark, d):
 
 
 def fct_player_form(spark, d):
-    return marts.in_order("fct_player_form", _form(spark, d))
+    form = marts.fct_player_form(_appearances(spark, d), _players(spark, d), _teams(spark, d))
+    return marts.in_order("fct_player_form", form)
 
 
 def fct_fixture_schedule(spark, d):
@@ -112,7 +109,8 @@ def fct_fixture_schedule(spark, d):
 
 
 def fct_captain_picks(spark, d):
-    return marts.fct_captain_picks(_players(spark, d), _form(spark, d), _schedule(spark, d))
+    form = marts.recent_form(_appearances(spark, d))
+    return marts.fct_captain_picks(_players(spark, d), form, _schedule(spark, d))
 
 
 def fct_differentials(spark, d):

@@ -23,11 +23,9 @@ def round_half_away(x: Column, digits: int) -> Column:
     and never yields a negative zero. Values too large to carry ``digits`` decimals pass unchanged.
     """
     x = x.cast("double")
-    scale = 10.0**digits
-    steps = F.floor(F.abs(x) * scale + 0.5)
-    return F.when(F.abs(x) >= 2.0**52 / scale, x).otherwise(
-        F.when(x < 0, -steps).otherwise(steps) / F.lit(scale)
-    )
+    scale = F.lit(10.0**digits)
+    steps = F.when(x < 0, F.ceil(x * scale - 0.5)).otherwise(F.floor(x * scale + 0.5))
+    return F.when(F.abs(x) < 2.0**52 / 10.0**digits, steps / scale).otherwise(x)
 
 
 def price(tenths: Column) -> Column:

@@ -28,7 +28,7 @@ TOP_MINUTES = 1500
 LOW_OWNERSHIP = 15
 CAPTAIN_PICKS = 20
 
-NO_FIXTURE_BONUS = 0.0
+NO_FIXTURE_BONUS = 0
 
 
 def _team_names(teams: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -171,8 +171,8 @@ def fct_player_season_stats(
     )
 
 
-def fct_player_form(appearances: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
-    """Latest appearance per player with statistics over the last five.
+def recent_form(appearances: DataFrame) -> DataFrame:
+    """Latest appearance per player with statistics over the last five, by player id.
 
     Only the five newest rows of a player matter, so they are selected before the shuffle and
     aggregated; no window runs over a player's whole history. Appearances in one gameweek are
@@ -199,7 +199,7 @@ def fct_player_form(appearances: DataFrame, players: DataFrame, teams: DataFrame
     def latest(name: str) -> Column:
         return F.max(F.when(F.col("rn") == 1, F.col(name)))
 
-    form = recent.groupBy("player_id").agg(
+    return recent.groupBy("player_id").agg(
         latest("gameweek").alias("latest_gameweek"),
         latest("price").alias("price"),
         latest("total_points").alias("last_gw_points"),
@@ -211,7 +211,12 @@ def fct_player_form(appearances: DataFrame, players: DataFrame, teams: DataFrame
         round_half_away(latest("ict_index"), 2).alias("last_gw_ict"),
         round_half_away(exact_avg(F.col("ict_index")), 2).alias("avg_ict_last_5_gw"),
     )
-    return form.join(named_players(players, teams), "player_id", "left").select(
+
+
+def fct_player_form(appearances: DataFrame, players: DataFrame, teams: DataFrame) -> DataFrame:
+    """Recent form of every player who has appeared, with names."""
+    names = named_players(players, teams)
+    return recent_form(appearances).join(names, "player_id", "left").select(
         "latest_gameweek",
         "player_id",
         "web_name",
@@ -270,7 +275,8 @@ def fct_fixture_schedule(fixtures: DataFrame, teams: DataFrame, as_of=None) -> D
 
 
 def fixture_bonus(level: Column) -> Column:
-    return F.when(level <= 2, 5.0).when(level == 3, 3.0).otherwise(NO_FIXTURE_BONUS)
+    """Score points for an easy fixture. Whole numbers, so that they also serve as a join key."""
+    return F.when(level <= 2, 5).when(level == 3, 3).otherwise(NO_FIXTURE_BONUS)
 
 
 def captain_score(avg_points: Column, xgi: Column, bonus: Column, form: Column) -> Column:
@@ -285,7 +291,8 @@ def fct_captain_picks(
 ) -> DataFrame:
     """The ``picks`` best (player, fixture in the next gameweek) rows by captain score.
 
-    A team with several fixtures gives a player several rows. A score depends on the player and on
+    ``form`` is ``fct_player_form`` or ``recent_form``. A team with several fixtures gives a player
+    several rows. A score depends on the player and on
     which of three bonus classes the fixture is in, so within a team and class all pairs are ranked
     by (score, player, fixture). The best ``picks`` pairs can therefore only combine the class's best
     ``picks`` players with its first ``picks`` fixtures; the others are never paired.

@@ -90,7 +90,7 @@ def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items reduced to one row per order."""
     c = F.col
-    money = "decimal(18,2)"
+    money = "decimal(4,2)"
     return (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
