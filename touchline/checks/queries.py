@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from touchline.functions import labels, scalars
 from touchline.operators import completeness, drift, fixtures as fx, keyed, rolling, transforms
 from touchline.plans import marts, staging
-from touchline.sources import bronze, standins
+from touchline.sources import bronze
+from touchline.sources.standins import AS_OF, EVENT_FIELDS, League
 
-Query = Callable[[SparkSession, str], DataFrame]
 TOP_MINUTES = 700
 RUN = "2001-01-01T00:00:00Z"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 EVENT_SCHEMA = [
     T.StructField("event_id", T.LongType()),
@@ -37,120 +38,108 @@ MATCH_SCHEMA = [
 HISTORY_SCHEMA = [T.StructField("fixture", T.LongType()), T.StructField("round", T.LongType())]
 
 
-def _players(spark, d):
-    return staging.stg_players(standins.players(spark, d))
+def query(build: Callable[[League], DataFrame]) -> Callable[[League], DataFrame]:
+    """Register ``build`` under its name, as a function of session and data directory."""
 
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _plain(build(League(spark, sf_dir)))
 
-def _teams(spark, d):
-    return staging.stg_teams(standins.teams(spark, d))
-
-
-def _fixtures(spark, d):
-    return staging.stg_fixtures(standins.fixtures(spark, d))
-
-
-def _appearances(spark, d):
-    return staging.stg_element_summary(standins.element_summary(spark, d))
-
-
-def _schedule(spark, d):
-    return marts.fct_fixture_schedule(_fixtures(spark, d), _teams(spark, d), standins.AS_OF)
+    QUERIES[build.__name__] = run
+    return build
 
 
 def _plain(df: DataFrame) -> DataFrame:
     """Timestamps without zone, in UTC, so that results do not depend on the session's zone."""
-    return df.select(
-        *[
-            scalars.utc_wall_clock(F.col(f.name)).alias(f.name)
-            if isinstance(f.dataType, T.TimestampType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    instants = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({n: scalars.utc_wall_clock(F.col(n)) for n in instants}) if instants else df
 
 
 # --- staging and marts -------------------------------------------------------------------------
 
 
-def stg_players(spark, d):
-    return _players(spark, d)
+@query
+def stg_players(g):
+    return g.players
 
 
-def stg_teams(spark, d):
-    return _teams(spark, d)
+@query
+def stg_teams(g):
+    return g.teams
 
 
-def stg_fixtures(spark, d):
-    return _plain(_fixtures(spark, d))
+@query
+def stg_fixtures(g):
+    return g.fixtures
 
 
-def stg_element_summary(spark, d):
-    return _plain(_appearances(spark, d))
+@query
+def stg_element_summary(g):
+    return g.appearances
 
 
-def fct_player_gameweek(spark, d):
-    return _plain(
-        marts.fct_player_gameweek(_appearances(spark, d), _players(spark, d), _teams(spark, d))
-    )
+@query
+def fct_player_gameweek(g):
+    return marts.fct_player_gameweek(g.appearances, g.players, g.teams)
 
 
-def fct_player_season_stats(spark, d):
-    stats = marts.fct_player_season_stats(_appearances(spark, d), _players(spark, d), _teams(spark, d))
+@query
+def fct_player_season_stats(g):
+    stats = marts.fct_player_season_stats(g.appearances, g.players, g.teams)
     return marts.in_order("fct_player_season_stats", stats)
 
 
-def fct_player_form(spark, d):
-    form = marts.fct_player_form(_appearances(spark, d), _players(spark, d), _teams(spark, d))
-    return marts.in_order("fct_player_form", form)
+@query
+def fct_player_form(g):
+    return marts.in_order("fct_player_form", marts.fct_player_form(g.appearances, g.players, g.teams))
 
 
-def fct_fixture_schedule(spark, d):
-    return _plain(marts.in_order("fct_fixture_schedule", _schedule(spark, d)))
+def _schedule(g):
+    return marts.fct_fixture_schedule(g.fixtures, g.teams, AS_OF)
 
 
-def fct_captain_picks(spark, d):
-    form = marts.recent_form(_appearances(spark, d))
-    return marts.fct_captain_picks(_players(spark, d), form, _schedule(spark, d))
+@query
+def fct_fixture_schedule(g):
+    return marts.in_order("fct_fixture_schedule", _schedule(g))
 
 
-def fct_differentials(spark, d):
-    return marts.in_order(
-        "fct_differentials", marts.fct_differentials(_players(spark, d), _teams(spark, d))
-    )
+@query
+def fct_captain_picks(g):
+    return marts.fct_captain_picks(g.players, marts.recent_form(g.appearances), _schedule(g))
 
 
-def fct_transfer_trends(spark, d):
-    return marts.in_order(
-        "fct_transfer_trends", marts.fct_transfer_trends(_players(spark, d), _teams(spark, d))
-    )
+@query
+def fct_differentials(g):
+    return marts.in_order("fct_differentials", marts.fct_differentials(g.players, g.teams))
 
 
-def _top_players(spark, d, min_minutes):
-    return marts.fct_top_players(
-        _players(spark, d), _fixtures(spark, d), standins.AS_OF, min_minutes=min_minutes
-    )
+@query
+def fct_transfer_trends(g):
+    return marts.in_order("fct_transfer_trends", marts.fct_transfer_trends(g.players, g.teams))
 
 
-def fct_top_players(spark, d):
-    return _plain(marts.in_order("fct_top_players", _top_players(spark, d, TOP_MINUTES)))
+@query
+def fct_top_players(g):
+    top = marts.fct_top_players(g.players, g.fixtures, AS_OF, min_minutes=TOP_MINUTES)
+    return marts.in_order("fct_top_players", top)
 
 
 # --- scalar expressions ------------------------------------------------------------------------
 
 
-def safe_divide(spark, d):
-    divisor = F.col("o_orderkey") % 5
-    total = F.col("o_totalprice")
-    return standins.table(spark, d, "orders").select(
+@query
+def safe_divide(g):
+    divisor, total = F.col("o_orderkey") % 5, F.col("o_totalprice")
+    return g.orders.select(
         "o_orderkey",
         scalars.safe_divide(total, divisor).alias("quotient"),
         scalars.safe_divide(total, F.nullif(divisor, F.lit(0))).alias("quotient_of_nullif"),
     )
 
 
-def round_half_away(spark, d):
+@query
+def round_half_away(g):
     charge = F.col("l_extendedprice") * F.col("l_discount")
-    return standins.table(spark, d, "lineitem").select(
+    return g.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -159,17 +148,16 @@ def round_half_away(spark, d):
     )
 
 
-def price_scale(spark, d):
-    return standins.table(spark, d, "part").select(
-        "p_partkey", scalars.price(F.col("p_size")).alias("price")
-    )
+@query
+def price_scale(g):
+    return g.part.select("p_partkey", scalars.price(F.col("p_size")).alias("price"))
 
 
-def code_labels(spark, d):
+@query
+def code_labels(g):
     code = F.col("l_linenumber")
     return (
-        standins.table(spark, d, "lineitem")
-        .groupBy("l_linenumber")
+        g.lineitem.groupBy("l_linenumber")
         .agg(F.count(F.lit(1)).alias("lines"))
         .select(
             "l_linenumber",
@@ -180,41 +168,46 @@ def code_labels(spark, d):
     )
 
 
-def string_metrics(spark, d):
-    return _appearances(spark, d).select("player_id", "fixture_id", *staging.TEXT_METRICS)
+@query
+def string_metrics(g):
+    return g.appearances.select("player_id", "fixture_id", *staging.TEXT_METRICS)
 
 
-def value_metrics(spark, d):
+@query
+def value_metrics(g):
     c = F.col
-    return _players(spark, d).select(
+    return g.players.select(
         "player_id",
         "points_per_million",
         "points_per_90",
         scalars.per_90(c("expected_goal_involvements"), c("minutes")).alias("xgi_per_90"),
-        scalars.round_half_away(
-            scalars.safe_divide(c("total_points"), c("selected_by_percent")), 2
-        ).alias("differential_score"),
+        marts.differential_score(c("total_points"), c("selected_by_percent")).alias(
+            "differential_score"
+        ),
     )
 
 
-def net_transfers(spark, d):
+@query
+def net_transfers(g):
     c = F.col
-    return standins.players(spark, d).select(
+    return g.raw_players.select(
         c("id").alias("player_id"),
         (c("transfers_in_event") - c("transfers_out_event")).alias("net_transfers_event"),
         (c("transfers_in") - c("transfers_out")).alias("net_transfers_season"),
     )
 
 
-def transfer_momentum(spark, d):
+@query
+def transfer_momentum(g):
     momentum = labels.transfer_momentum(F.col("transfers_in_event"), F.col("transfers_out_event"))
-    return standins.players(spark, d).select(F.col("id").alias("player_id"), momentum.alias("momentum"))
+    return g.raw_players.select(F.col("id").alias("player_id"), momentum.alias("momentum"))
 
 
-def captain_score(spark, d):
+@query
+def captain_score(g):
     c = F.col
     level = F.nullif(c("gameweek") % 6, F.lit(0))
-    return _appearances(spark, d).select(
+    return g.appearances.select(
         "player_id",
         "fixture_id",
         marts.captain_score(
@@ -229,34 +222,42 @@ def captain_score(spark, d):
 # --- filters, set operations, windows ----------------------------------------------------------
 
 
-def upcoming_fixtures(spark, d):
-    rows = fx.upcoming(_fixtures(spark, d), standins.AS_OF)
-    return _plain(rows.select("fixture_id", "gameweek", "kickoff_time"))
+def _coming(g):
+    return fx.upcoming(g.fixtures, AS_OF)
+
+
+@query
+def upcoming_fixtures(g):
+    return _coming(g).select("fixture_id", "gameweek", "kickoff_time")
 
 
-def fixture_long(spark, d):
-    return _plain(fx.by_team(_fixtures(spark, d)))
+@query
+def fixture_long(g):
+    return fx.by_team(g.fixtures)
 
 
-def next_gameweek(spark, d):
-    sides = fx.by_team(fx.upcoming(_fixtures(spark, d), standins.AS_OF))
-    return _plain(fx.in_next_gameweek(sides))
+@query
+def next_gameweek(g):
+    return fx.in_next_gameweek(fx.by_team(_coming(g)))
 
 
-def next_fixture_per_team(spark, d):
-    return _plain(fx.next_per_team(fx.by_team(fx.upcoming(_fixtures(spark, d), standins.AS_OF))))
+@query
+def next_fixture_per_team(g):
+    return fx.next_per_team(fx.by_team(_coming(g)))
 
 
-def latest_per_key(spark, d):
+@query
+def latest_per_key(g):
     newest_first = [F.col(c).desc() for c in ("gameweek", "kickoff_time", "fixture_id")]
-    rows = _appearances(spark, d).select(
+    rows = g.appearances.select(
         "player_id", "gameweek", "kickoff_time", "fixture_id", "total_points", "minutes"
     )
-    return _plain(keyed.first_per_key(rows, ["player_id"], newest_first))
+    return keyed.first_per_key(rows, ["player_id"], newest_first)
 
 
-def rolling_form(spark, d):
-    rows = _appearances(spark, d).select(
+@query
+def rolling_form(g):
+    rows = g.appearances.select(
         "player_id",
         "gameweek",
         "kickoff_time",
@@ -295,43 +296,51 @@ def rolling_form(spark, d):
 # --- joins and aggregates ----------------------------------------------------------------------
 
 
-def role_playing_dim(spark, d):
-    """Points by own and opposing team. Reduced to team pairs before names are joined twice."""
-    teams = _teams(spark, d)
+@query
+def role_playing_dim(g):
+    """Points by own and opposing team. Reduced per player, then per team pair, then named twice."""
+    per_player = g.appearances.groupBy("player_id", "opponent_team").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_points").alias("points")
+    )
     pairs = (
-        _appearances(spark, d)
-        .join(_players(spark, d).select("player_id", "team"), "player_id", "left")
+        per_player.join(g.players.select("player_id", "team"), "player_id", "left")
         .groupBy("team", "opponent_team")
-        .agg(F.count(F.lit(1)).alias("appearances"), F.sum("total_points").alias("total_points"))
+        .agg(F.sum("n").alias("appearances"), F.sum("points").alias("total_points"))
     )
-    named = marts.with_team(marts.with_team(pairs, teams, "team", "team"), teams, "opponent_team", "opponent")
-    return named.select(
-        "team_name", "team_short_name", "opponent_name", "opponent_short_name", "appearances", "total_points"
+    named = marts.with_team(pairs, g.teams, "team", "team")
+    return marts.with_team(named, g.teams, "opponent_team", "opponent").select(
+        "team_name",
+        "team_short_name",
+        "opponent_name",
+        "opponent_short_name",
+        "appearances",
+        "total_points",
     )
 
 
-def captain_fanout(spark, d):
+@query
+def captain_fanout(g):
     """How many rows the next gameweek gives each player; fixtures are counted per team first."""
-    sides = fx.by_team(fx.upcoming(_fixtures(spark, d), standins.AS_OF))
     games = (
-        fx.in_next_gameweek(sides)
+        fx.in_next_gameweek(fx.by_team(_coming(g)))
         .groupBy(F.col("team_id").alias("team"))
         .agg(F.count(F.lit(1)).alias("games"))
     )
-    return _players(spark, d).select("player_id", "team").join(games, "team", "left").select(
-        "player_id", F.coalesce("games", F.lit(0)).cast("bigint").alias("games")
+    return g.players.select("player_id", "team").join(games, "team", "left").select(
+        "player_id", F.coalesce("games", F.lit(0)).alias("games")
     )
 
 
-def conditional_count(spark, d):
-    return marts.season_totals(_appearances(spark, d)).select(
+@query
+def conditional_count(g):
+    return marts.season_totals(g.appearances).select(
         "player_id", "gameweeks_played", "gameweeks_with_minutes"
     )
 
 
-def ratio_of_sums(spark, d):
-    totals = marts.season_totals(_appearances(spark, d))
-    return totals.select(
+@query
+def ratio_of_sums(g):
+    return marts.season_totals(g.appearances).select(
         "player_id",
         *[
             scalars.per_90(F.col(total), F.col("total_minutes")).alias(name)
@@ -340,55 +349,56 @@ def ratio_of_sums(spark, d):
     )
 
 
-def composite_rank(spark, d):
-    ranked = _top_players(spark, d, 0)
-    ranked = ranked.withColumn("composite", marts.composite_value(ranked))
+@query
+def composite_rank(g):
+    ranked = marts.fct_top_players(g.players, g.fixtures, AS_OF, min_minutes=0)
+    ranked = ranked.withColumn("composite", marts.composite_value())
     return marts.in_order("fct_top_players", ranked).select("web_name", "composite")
 
 
-def top_k(spark, d):
-    orders = standins.table(spark, d, "orders")
-    return (
-        orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey")
-        .limit(marts.CAPTAIN_PICKS)
-        .select("o_orderkey", "o_custkey", "o_totalprice")
-    )
+@query
+def top_k(g):
+    best = g.orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(marts.CAPTAIN_PICKS)
+    return best.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
 # --- bronze and drift --------------------------------------------------------------------------
 
 
-def explode_history(spark, d):
-    rows = bronze.history_records(standins.summary_documents(spark, d), player_id="element_id")
+@query
+def explode_history(g):
+    rows = bronze.history_records(g.summary_documents, player_id="element_id")
     return drift.conform(rows, HISTORY_SCHEMA)
 
 
-def _with_event_drift(spark, d):
-    return drift.with_drift(standins.event_records(spark, d), standins.EVENT_FIELDS)
+def _drifting(g):
+    return drift.with_drift(g.event_records, EVENT_FIELDS)
 
 
 def _drift_text(kind):
     return F.array_join(F.col(f"drift.{kind}"), ",").alias(kind)
 
 
-def drift_split(spark, d):
-    rows = drift.conform(_with_event_drift(spark, d), EVENT_SCHEMA)
-    return rows.select(
+@query
+def drift_split(g):
+    return drift.conform(_drifting(g), EVENT_SCHEMA).select(
         "event_id", "user_id", "event_type", _drift_text("new_fields"), _drift_text("missing_fields")
     )
 
 
-def drift_clean(spark, d):
-    return drift.conform(standins.event_records(spark, d), EVENT_SCHEMA)
+@query
+def drift_clean(g):
+    return drift.conform(g.event_records, EVENT_SCHEMA)
 
 
-def drift_summary(spark, d):
-    return drift.drift_counts(_with_event_drift(spark, d))
+@query
+def drift_summary(g):
+    return drift.drift_counts(_drifting(g))
 
 
-def dlq_payload(spark, d):
-    payload = drift.quarantine_payload(_with_event_drift(spark, d), "events", RUN, F.lit(RUN))
-    return payload.select(
+@query
+def dlq_payload(g):
+    return drift.quarantine_payload(_drifting(g), "events", RUN, F.lit(RUN)).select(
         "raw_record",
         _drift_text("new_fields"),
         _drift_text("missing_fields"),
@@ -398,63 +408,14 @@ def dlq_payload(spark, d):
     )
 
 
-def json_stringify(spark, d):
-    rows = drift.conform(
-        standins.override_records(spark, d), MATCH_SCHEMA, transforms.rewrites_for("matches")
-    )
+@query
+def json_stringify(g):
+    rows = drift.conform(g.override_records, MATCH_SCHEMA, transforms.rewrites_for("matches"))
     return rows.select("id", F.col("overrides").isNotNull().alias("has_overrides"), "overrides.*")
 
 
-def missing_snapshots(spark, d):
-    expected = standins.table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("element_id"), "o_custkey"
-    )
-    landed = standins.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("element_id"))
+@query
+def missing_snapshots(g):
+    expected = g.orders.select(F.col("o_orderkey").alias("element_id"), "o_custkey")
+    landed = g.lineitem.select(F.col("l_orderkey").alias("element_id"))
     return completeness.missing_snapshots(expected, landed, ["element_id"])
-
-
-QUERIES: dict[str, Query] = {
-    q.__name__: q
-    for q in (
-        stg_players,
-        stg_teams,
-        stg_fixtures,
-        stg_element_summary,
-        fct_player_gameweek,
-        fct_player_season_stats,
-        fct_player_form,
-        fct_fixture_schedule,
-        fct_captain_picks,
-        fct_differentials,
-        fct_transfer_trends,
-        fct_top_players,
-        safe_divide,
-        round_half_away,
-        price_scale,
-        code_labels,
-        string_metrics,
-        value_metrics,
-        net_transfers,
-        transfer_momentum,
-        captain_score,
-        upcoming_fixtures,
-        fixture_long,
-        next_gameweek,
-        next_fixture_per_team,
-        latest_per_key,
-        rolling_form,
-        role_playing_dim,
-        captain_fanout,
-        conditional_count,
-        ratio_of_sums,
-        composite_rank,
-        top_k,
-        explode_history,
-        drift_split,
-        drift_clean,
-        drift_summary,
-        dlq_payload,
-        json_stringify,
-        missing_snapshots,
-    )
-}

@@ -292,10 +292,10 @@ def fct_captain_picks(
     """The ``picks`` best (player, fixture in the next gameweek) rows by captain score.
 
     ``form`` is ``fct_player_form`` or ``recent_form``. A team with several fixtures gives a player
-    several rows. A score depends on the player and on
-    which of three bonus classes the fixture is in, so within a team and class all pairs are ranked
-    by (score, player, fixture). The best ``picks`` pairs can therefore only combine the class's best
-    ``picks`` players with its first ``picks`` fixtures; the others are never paired.
+    several rows. A score depends on the player and on which of three bonus classes the fixture is
+    in, so within a team and class all pairs are ranked by (score, player, fixture). The best
+    ``picks`` pairs can therefore only combine the class's best ``picks`` players with its first
+    ``picks`` fixtures; the others are never paired.
     """
     upcoming_games = in_next_gameweek(schedule).select(
         F.col("team_id").alias("team"),
@@ -370,6 +370,11 @@ def fct_captain_picks(
     )
 
 
+def differential_score(points: Column, ownership: Column) -> Column:
+    """Points per percent of ownership: high returns from players few people own."""
+    return round_half_away(safe_divide(points, ownership), 2)
+
+
 def fct_differentials(players: DataFrame, teams: DataFrame) -> DataFrame:
     """Available regulars few people own, by points per percent of ownership."""
     chosen = players.where(
@@ -399,7 +404,7 @@ def fct_differentials(players: DataFrame, teams: DataFrame) -> DataFrame:
         "starts",
         "status",
         "news",
-        round_half_away(safe_divide(F.col("total_points"), F.col("selected_by_percent")), 2).alias(
+        differential_score(F.col("total_points"), F.col("selected_by_percent")).alias(
             "differential_score"
         ),
     )
@@ -484,22 +489,22 @@ def fct_top_players(
     )
 
 
-def composite_value(df: DataFrame) -> Column:
+def composite_value() -> Column:
     """Ranking value of a top player; NULL when one of the three parts is."""
     return F.col("points_per_million") + F.col("points_per_90") + F.col("xgi_per_90")
 
 
-# Presentation order. The trailing keys settle ties and, in a large sort, split equal leading values.
-ORDER = {
-    "fct_player_form": lambda df: [F.col("points_last_5_gw").desc(), "player_id"],
-    "fct_player_season_stats": lambda df: [F.col("total_points").desc(), "player_id"],
-    "fct_fixture_schedule": lambda df: ["kickoff_time", "team_name", "fixture_id", "venue"],
-    "fct_differentials": lambda df: [F.col("differential_score").desc(), "player_id"],
-    "fct_transfer_trends": lambda df: [F.col("net_transfers_event").desc(), "player_id"],
-    "fct_top_players": lambda df: [composite_value(df).desc(), "web_name"],
-}
-
-
 def in_order(name: str, mart: DataFrame) -> DataFrame:
-    """``mart`` sorted the way it is presented; a stored table keeps no order."""
-    return mart.orderBy(*ORDER[name](mart)) if name in ORDER else mart
+    """``mart`` sorted the way it is presented; a stored table keeps no order.
+
+    The trailing keys settle ties and, in a large sort, split equal leading values.
+    """
+    leading = {
+        "fct_player_form": [F.col("points_last_5_gw").desc(), "player_id"],
+        "fct_player_season_stats": [F.col("total_points").desc(), "player_id"],
+        "fct_fixture_schedule": ["kickoff_time", "team_name", "fixture_id", "venue"],
+        "fct_differentials": [F.col("differential_score").desc(), "player_id"],
+        "fct_transfer_trends": [F.col("net_transfers_event").desc(), "player_id"],
+        "fct_top_players": [composite_value().desc(), "web_name"],
+    }
+    return mart.orderBy(*leading[name]) if name in leading else mart

@@ -6,304 +6,286 @@ column is a function of whole tables, so the work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-FIRST_DAY = "1995-01-01"
-AS_OF = "2001-01-01T00:00:00Z"
+from functools import cached_property
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _week(day: Column) -> Column:
-    return F.lit(1) + F.floor(F.date_diff(day, F.to_date(F.lit(FIRST_DAY))) / 7)
-
-
-def _kickoff(order_key: Column, day: Column) -> Column:
-    """Order date at a whole hour, as ISO text in UTC."""
-    hour = F.lpad((order_key % 24).cast("string"), 2, "0")
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), hour, F.lit(":00:00Z"))
-
-
-def _long(x: Column) -> Column:
-    return x.cast("bigint")
-
-
-def _tenths(x: Column) -> Column:
-    return (x / F.lit(10.0)).cast("decimal(18,1)").cast("string")
-
-
-def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    key = _long(F.col("n_nationkey"))
-
-    def spread(factor):
-        return 1000 + key * factor % 300
-
-    return nation.select(
-        key.alias("id"),
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("N"), key.cast("string")).alias("short_name"),
-        (key * 3).alias("code"),
-        (key + 1).alias("position"),
-        (key % 38).alias("played"),
-        (key % 7).alias("win"),
-        (key % 5).alias("draw"),
-        (key % 3).alias("loss"),
-        (key % 7 * 3 + key % 5).alias("points"),
-        (key % 5 + 1).alias("strength"),
-        spread(37).alias("strength_overall_home"),
-        spread(41).alias("strength_overall_away"),
-        spread(43).alias("strength_attack_home"),
-        spread(47).alias("strength_attack_away"),
-        spread(53).alias("strength_defence_home"),
-        spread(59).alias("strength_defence_away"),
-        F.when(key % 2 == 0, _tenths(key)).alias("form"),
-        (key % 11 == 0).alias("unavailable"),
-    )
-
-
-def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    level = _long(F.substring("o_orderpriority", 1, 1))
-    done = F.col("o_orderstatus") == "F"
-    return orders.select(
-        key.alias("id"),
-        (key * 7).alias("code"),
-        _week(F.col("o_orderdate")).alias("event"),
-        _kickoff(key, F.col("o_orderdate")).alias("kickoff_time"),
-        (F.col("o_orderstatus") != "O").alias("started"),
-        done.alias("finished"),
-        done.alias("finished_provisional"),
-        (key % 25).alias("team_h"),
-        ((key % 25 + 1 + customer % 24) % 25).alias("team_a"),
-        F.when(done, key % 4).alias("team_h_score"),
-        F.when(done, customer % 3).alias("team_a_score"),
-        level.alias("team_h_difficulty"),
-        (6 - level).alias("team_a_difficulty"),
-        F.when(done, F.lit(90).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("minutes"),
-    )
-
-
-def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items reduced to one row per order."""
-    c = F.col
-    money = "decimal(4,2)"
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.sum(_long(c("l_quantity"))).alias("quantity"),
-            F.count_if(c("l_returnflag") == "R").alias("returned"),
-            F.count_if(c("l_returnflag") == "A").alias("accepted"),
-            F.count_if(c("l_returnflag") == "N").alias("neither"),
-            F.count_if(c("l_linestatus") == "O").alias("open"),
-            F.count_if(c("l_linestatus") == "F").alias("filled"),
-            F.count_if(c("l_linenumber") <= 2).alias("leading"),
-            F.count_if(c("l_linenumber") == 5).alias("fifth"),
-            F.count_if(c("l_linenumber") == 6).alias("sixth"),
-            F.count_if(c("l_linenumber") == 7).alias("seventh"),
-            F.sum(_long(c("l_linenumber"))).alias("numbers"),
-            F.sum(c("l_partkey") % 5).alias("part_5"),
-            F.sum(c("l_partkey") % 3).alias("part_3"),
-            F.sum(c("l_suppkey") % 7).alias("supp_7"),
-            F.sum(c("l_suppkey") % 4).alias("supp_4"),
-            F.sum(c("l_discount").cast(money)).alias("discount"),
-            F.sum(c("l_tax").cast(money)).alias("tax"),
-        )
-    )
-
-
-def element_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    lines = _line_totals(spark, sf_dir)
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-
-    def n(name):
-        return F.coalesce(F.col(name), F.lit(0).cast("bigint"))
-
-    def metric(name):
-        return F.coalesce(F.col(name), F.lit(0).cast("decimal(18,2)")).cast("decimal(18,2)")
-
-    def text(x):
-        return x.cast("decimal(18,2)").cast("string")
-
-    return orders.join(lines, key == F.col("l_orderkey"), "left").select(
-        customer.alias("element"),
-        key.alias("fixture"),
-        (key % 25).alias("opponent_team"),
-        _week(F.col("o_orderdate")).alias("round"),
-        (key % 2 == 0).alias("was_home"),
-        _kickoff(key, F.col("o_orderdate")).alias("kickoff_time"),
-        (key % 4).alias("team_h_score"),
-        (customer % 3).alias("team_a_score"),
-        F.least(F.lit(90).cast("bigint"), n("quantity")).alias("minutes"),
-        F.when(n("quantity") >= 60, 1).otherwise(0).cast("bigint").alias("starts"),
-        n("lines").alias("total_points"),
-        n("returned").alias("goals_scored"),
-        n("accepted").alias("assists"),
-        F.when(n("returned") == 0, 1).otherwise(0).cast("bigint").alias("clean_sheets"),
-        n("neither").alias("goals_conceded"),
-        n("seventh").alias("own_goals"),
-        n("open").alias("yellow_cards"),
-        F.when(n("lines") > 8, 1).otherwise(0).cast("bigint").alias("red_cards"),
-        n("filled").alias("saves"),
-        n("leading").alias("bonus"),
-        n("numbers").alias("bps"),
-        n("sixth").alias("penalties_saved"),
-        n("fifth").alias("penalties_missed"),
-        n("part_5").alias("clearances_blocks_interceptions"),
-        n("supp_7").alias("recoveries"),
-        n("part_3").alias("tackles"),
-        n("supp_4").alias("defensive_contribution"),
-        text(metric("tax")).alias("expected_goals"),
-        text(n("accepted") * F.lit(0.25)).alias("expected_assists"),
-        text(metric("discount")).alias("expected_goal_involvements"),
-        text(n("neither") * F.lit(0.5)).alias("expected_goals_conceded"),
-        _tenths(n("quantity")).alias("influence"),
-        _tenths(n("part_5") * 15).alias("creativity"),
-        _tenths(n("returned") * 70).alias("threat"),
-        _tenths(n("quantity") % 100).alias("ict_index"),
-        (40 + customer % 90).alias("value"),
-        (customer * 7 % 300 - 150).alias("transfers_balance"),
-        (customer * 11 % 1000).alias("selected"),
-        (key % 500).alias("transfers_in"),
-        (key % 450).alias("transfers_out"),
-    )
-
-
-# Per-90 columns of a player, expressed over season totals.
-_PLAYER_COUNTS = [
-    "minutes",
-    "starts",
-    "total_points",
-    "goals_scored",
-    "assists",
-    "clean_sheets",
-    "goals_conceded",
-    "own_goals",
-    "yellow_cards",
-    "red_cards",
-    "saves",
-    "bonus",
-    "bps",
-    "penalties_saved",
-    "penalties_missed",
-]
-_PLAYER_METRICS = [
-    "expected_goals",
-    "expected_assists",
-    "expected_goal_involvements",
-    "expected_goals_conceded",
-]
-_PLAYER_INDEXES = ["influence", "creativity", "threat", "ict_index"]
-
-
-def players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their season totals, reduced to one row per player before the join."""
-    customers = table(spark, sf_dir, "customer")
-    totals = (
-        element_summary(spark, sf_dir)
-        .groupBy("element")
-        .agg(
-            *[F.sum(n).alias(n) for n in _PLAYER_COUNTS],
-            *[F.sum(F.col(n).cast("decimal(18,2)")).alias(n) for n in _PLAYER_METRICS],
-            *[F.sum(F.col(n).cast("decimal(18,1)")).alias(n) for n in _PLAYER_INDEXES],
-        )
-    )
-    key = F.col("c_custkey")
-
-    def rate(modulus):
-        return (key % modulus).cast("double") / F.lit(100.0)
-
-    zero = F.lit(0).cast("bigint")
-    return customers.join(totals, key == F.col("element"), "left").select(
-        key.alias("id"),
-        F.concat(F.lit("First "), (key % 97).cast("string")).alias("first_name"),
-        F.col("c_mktsegment").alias("second_name"),
-        F.col("c_name").alias("web_name"),
-        _long(F.col("c_nationkey")).alias("team"),
-        (1 + key % 4).alias("element_type"),
-        F.when(F.col("c_acctbal") < 0, "i").otherwise("a").alias("status"),
-        F.when(F.col("c_acctbal") < 0, "Overdrawn").otherwise("").alias("news"),
-        (40 + key % 90).alias("now_cost"),
-        (key % 9 - 4).alias("cost_change_start"),
-        (key % 3 - 1).alias("cost_change_event"),
-        *[F.coalesce(F.col(n), zero).alias(n) for n in _PLAYER_COUNTS],
-        *[F.col(n).cast("string").alias(n) for n in [*_PLAYER_METRICS, *_PLAYER_INDEXES]],
-        rate(83).alias("expected_goals_per_90"),
-        rate(79).alias("expected_assists_per_90"),
-        rate(73).alias("expected_goal_involvements_per_90"),
-        rate(71).alias("expected_goals_conceded_per_90"),
-        rate(67).alias("saves_per_90"),
-        rate(61).alias("goals_conceded_per_90"),
-        rate(59).alias("starts_per_90"),
-        rate(53).alias("clean_sheets_per_90"),
-        rate(47).alias("defensive_contribution_per_90"),
-        _tenths(key % 100).alias("form"),
-        _tenths(key % 400).alias("selected_by_percent"),
-        _tenths(key % 120).alias("points_per_game"),
-        (key * 17 % 9000).alias("transfers_in"),
-        (key * 23 % 8000).alias("transfers_out"),
-        (key * 13 % 500).alias("transfers_in_event"),
-        (key * 29 % 700).alias("transfers_out_event"),
-    )
-
-
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as raw JSON records. Errors carry ``k``, a field the schema does not know; views lack
-    ``user_id``, which it does."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    kind = F.col("event_type")
-    fields = F.struct(
-        "event_id",
-        F.when(kind != "view", F.col("user_id")).alias("user_id"),
-        "event_type",
-        F.when(kind == "error", k).alias("k"),
-    )
-    return table(spark, sf_dir, "events").select(F.to_json(fields).alias("record"))
+from touchline.plans import staging
 
+AS_OF = "2001-01-01T00:00:00Z"
 
+WEEK = "1 + floor(date_diff(o_orderdate, date '1995-01-01') / 7)"
+# Order date at a whole hour, as ISO text in UTC.
+KICKOFF = (
+    "concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T', "
+    "lpad(cast(o_orderkey % 24 AS string), 2, '0'), ':00:00Z')"
+)
+
+
+def _tenths(x: str) -> str:
+    return f"cast(cast(({x}) / 10.0D AS decimal(18,1)) AS string)"
+
+
+def _hundredths(x: str) -> str:
+    return f"cast(cast({x} AS decimal(18,2)) AS string)"
+
+
+def _flag(condition: str) -> str:
+    return f"CAST(CASE WHEN {condition} THEN 1 ELSE 0 END AS bigint)"
+
+
+def _n(column: str) -> str:
+    return f"coalesce({column}, 0L)"
+
+
+LINE_TOTALS = {
+    "lines": "count(1)",
+    "quantity": "sum(cast(l_quantity AS bigint))",
+    "returned": "count_if(l_returnflag = 'R')",
+    "accepted": "count_if(l_returnflag = 'A')",
+    "neither": "count_if(l_returnflag = 'N')",
+    "open": "count_if(l_linestatus = 'O')",
+    "filled": "count_if(l_linestatus = 'F')",
+    "leading": "count_if(l_linenumber <= 2)",
+    "fifth": "count_if(l_linenumber = 5)",
+    "sixth": "count_if(l_linenumber = 6)",
+    "seventh": "count_if(l_linenumber = 7)",
+    "numbers": "sum(cast(l_linenumber AS bigint))",
+    "part_5": "sum(l_partkey % 5)",
+    "part_3": "sum(l_partkey % 3)",
+    "supp_7": "sum(l_suppkey % 7)",
+    "supp_4": "sum(l_suppkey % 4)",
+    "discount": "sum(cast(l_discount AS decimal(4,2)))",
+    "tax": "sum(cast(l_tax AS decimal(4,2)))",
+}
+
+ELEMENT_SUMMARY = {
+    "element": "o_custkey",
+    "fixture": "o_orderkey",
+    "opponent_team": "o_orderkey % 25",
+    "round": WEEK,
+    "was_home": "o_orderkey % 2 = 0",
+    "kickoff_time": KICKOFF,
+    "team_h_score": "o_orderkey % 4",
+    "team_a_score": "o_custkey % 3",
+    "minutes": f"least(90L, {_n('quantity')})",
+    "starts": _flag("quantity >= 60"),
+    "total_points": _n("lines"),
+    "goals_scored": _n("returned"),
+    "assists": _n("accepted"),
+    "clean_sheets": _flag(f"{_n('returned')} = 0"),
+    "goals_conceded": _n("neither"),
+    "own_goals": _n("seventh"),
+    "yellow_cards": _n("open"),
+    "red_cards": _flag("lines > 8"),
+    "saves": _n("filled"),
+    "bonus": _n("leading"),
+    "bps": _n("numbers"),
+    "penalties_saved": _n("sixth"),
+    "penalties_missed": _n("fifth"),
+    "clearances_blocks_interceptions": _n("part_5"),
+    "recoveries": _n("supp_7"),
+    "tackles": _n("part_3"),
+    "defensive_contribution": _n("supp_4"),
+    "expected_goals": _hundredths("coalesce(tax, 0)"),
+    "expected_assists": _hundredths(f"{_n('accepted')} * 0.25D"),
+    "expected_goal_involvements": _hundredths("coalesce(discount, 0)"),
+    "expected_goals_conceded": _hundredths(f"{_n('neither')} * 0.5D"),
+    "influence": _tenths(_n("quantity")),
+    "creativity": _tenths(f"{_n('part_5')} * 15"),
+    "threat": _tenths(f"{_n('returned')} * 70"),
+    "ict_index": _tenths(f"{_n('quantity')} % 100"),
+    "value": "40 + o_custkey % 90",
+    "transfers_balance": "o_custkey * 7 % 300 - 150",
+    "selected": "o_custkey * 11 % 1000",
+    "transfers_in": "o_orderkey % 500",
+    "transfers_out": "o_orderkey % 450",
+}
+
+PLAYER_METRICS = staging.TEXT_METRICS[:4]
+PLAYER_INDEXES = staging.TEXT_METRICS[4:]
+PLAYER_TOTALS = {
+    **{n: f"sum({n})" for n in staging.MATCH_COUNTS},
+    **{n: f"sum(cast({n} AS decimal(8,2)))" for n in PLAYER_METRICS},
+    **{n: f"sum(cast({n} AS decimal(8,1)))" for n in PLAYER_INDEXES},
+}
+# Moduli that spread the per-90 columns over customers.
+RATE_MODULI = dict(zip(staging.RATES_PER_90, (83, 79, 73, 71, 67, 61, 59, 53, 47)))
+
+PLAYERS = {
+    "id": "c_custkey",
+    "first_name": "concat('First ', cast(c_custkey % 97 AS string))",
+    "second_name": "c_mktsegment",
+    "web_name": "c_name",
+    "team": "cast(c_nationkey AS bigint)",
+    "element_type": "1 + c_custkey % 4",
+    "status": "CASE WHEN c_acctbal < 0 THEN 'i' ELSE 'a' END",
+    "news": "CASE WHEN c_acctbal < 0 THEN 'Overdrawn' ELSE '' END",
+    "now_cost": "40 + c_custkey % 90",
+    "cost_change_start": "c_custkey % 9 - 4",
+    "cost_change_event": "c_custkey % 3 - 1",
+    **{n: _n(n) for n in staging.MATCH_COUNTS},
+    **{n: f"cast({n} AS string)" for n in staging.TEXT_METRICS},
+    **{n: f"cast(c_custkey % {m} AS double) / 100.0D" for n, m in RATE_MODULI.items()},
+    "form": _tenths("c_custkey % 100"),
+    "selected_by_percent": _tenths("c_custkey % 400"),
+    "points_per_game": _tenths("c_custkey % 120"),
+    "transfers_in": "c_custkey * 17 % 9000",
+    "transfers_out": "c_custkey * 23 % 8000",
+    "transfers_in_event": "c_custkey * 13 % 500",
+    "transfers_out_event": "c_custkey * 29 % 700",
+}
+
+TEAM_KEY = "cast(n_nationkey AS bigint)"
+STRENGTH_FACTORS = dict(zip(staging.TEAM_STRENGTHS[1:], (37, 41, 43, 47, 53, 59)))
+TEAMS = {
+    "id": TEAM_KEY,
+    "name": "n_name",
+    "short_name": "concat('N', cast(n_nationkey AS string))",
+    "code": f"{TEAM_KEY} * 3",
+    "position": f"{TEAM_KEY} + 1",
+    "played": f"{TEAM_KEY} % 38",
+    "win": f"{TEAM_KEY} % 7",
+    "draw": f"{TEAM_KEY} % 5",
+    "loss": f"{TEAM_KEY} % 3",
+    "points": f"{TEAM_KEY} % 7 * 3 + {TEAM_KEY} % 5",
+    "strength": f"{TEAM_KEY} % 5 + 1",
+    **{n: f"1000 + {TEAM_KEY} * {factor} % 300" for n, factor in STRENGTH_FACTORS.items()},
+    "form": f"CASE WHEN n_nationkey % 2 = 0 THEN {_tenths('n_nationkey')} END",
+    "unavailable": "n_nationkey % 11 = 0",
+}
+
+FIXTURES = {
+    "id": "o_orderkey",
+    "code": "o_orderkey * 7",
+    "event": WEEK,
+    "kickoff_time": KICKOFF,
+    "started": "o_orderstatus <> 'O'",
+    "finished": "o_orderstatus = 'F'",
+    "finished_provisional": "o_orderstatus = 'F'",
+    "team_h": "o_orderkey % 25",
+    "team_a": "(o_orderkey % 25 + 1 + o_custkey % 24) % 25",
+    "team_h_score": "CASE WHEN o_orderstatus = 'F' THEN o_orderkey % 4 END",
+    "team_a_score": "CASE WHEN o_orderstatus = 'F' THEN o_custkey % 3 END",
+    "team_h_difficulty": "cast(substring(o_orderpriority, 1, 1) AS bigint)",
+    "team_a_difficulty": "6 - cast(substring(o_orderpriority, 1, 1) AS bigint)",
+    "minutes": "CASE WHEN o_orderstatus = 'F' THEN 90L ELSE 0L END",
+}
+
+# A record per event. Errors carry ``k``, a field the schema does not know; views lack ``user_id``,
+# which it does.
 EVENT_FIELDS = ("event_id", "user_id", "event_type")
-
-
-def override_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as gameweek records whose ``overrides`` is absent, empty, partial or complete."""
-    props, kind = F.col("props"), F.col("event_type")
-    number = F.col("event_id") % 5
-    overrides = (
-        F.when(kind == "click", ', "overrides": null')
-        .when(kind == "view", ', "overrides": {}')
-        .when(kind == "error", F.concat(F.lit(', "overrides": {"scoring": '), props, F.lit(', "extra": 1}')))
-        .when(
-            kind == "purchase",
-            F.concat(
-                F.lit(', "overrides": {"pick_multiplier": '),
-                number.cast("string"),
-                F.lit(', "rules": {}, "scoring": '),
-                props,
-                F.lit(', "element_types": [1, 2]}'),
-            ),
-        )
-        .otherwise("")
-    )
-    record = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), overrides, F.lit("}"))
-    return table(spark, sf_dir, "events").select(record.alias("record"))
-
-
-def summary_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One player document per order, with a history of two rows; pending orders have no history."""
-    c = F.col
-    week = _week(c("o_orderdate"))
-    history = F.array(
-        F.struct(c("o_orderkey").alias("fixture"), week.alias("round")),
-        F.struct((c("o_orderkey") + 1).alias("fixture"), (week + 1).alias("round")),
-    )
-    document = F.struct(
-        F.when(c("o_orderstatus") != "P", history).alias("history"),
-        c("o_custkey").alias("element_id"),
-    )
-    return table(spark, sf_dir, "orders").select(F.to_json(document).alias("value"))
+EVENT_RECORD = """
+    to_json(struct(
+        event_id,
+        CASE WHEN event_type <> 'view' THEN user_id END AS user_id,
+        event_type,
+        CASE WHEN event_type = 'error' THEN cast(get_json_object(props, '$.k') AS bigint) END AS k
+    ))"""
+
+# A gameweek record per event, whose ``overrides`` is absent, empty, partial or complete.
+OVERRIDE_RECORD = """
+    concat('{"id": ', cast(event_id AS string), CASE event_type
+        WHEN 'click' THEN ', "overrides": null'
+        WHEN 'view' THEN ', "overrides": {}'
+        WHEN 'error' THEN concat(', "overrides": {"scoring": ', props, ', "extra": 1}')
+        WHEN 'purchase' THEN concat(
+            ', "overrides": {"pick_multiplier": ', cast(event_id % 5 AS string),
+            ', "rules": {}, "scoring": ', props, ', "element_types": [1, 2]}')
+        ELSE '' END, '}')"""
+
+# A player document per order with a history of two rows; pending orders have no history.
+SUMMARY_DOCUMENT = f"""
+    to_json(struct(
+        CASE WHEN o_orderstatus <> 'P' THEN array(
+            struct(o_orderkey AS fixture, {WEEK} AS round),
+            struct(o_orderkey + 1 AS fixture, {WEEK} + 1 AS round)
+        ) END AS history,
+        o_custkey AS element_id
+    ))"""
+
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+
+
+def _group(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    return df.groupBy(key).agg(*[F.expr(sql).alias(name) for name, sql in columns.items()])
+
+
+class League:
+    """The stand-in tables over one data directory: raw (silver-shaped) and staged."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def orders(self):
+        return self._read("orders")
+
+    @cached_property
+    def lineitem(self):
+        return self._read("lineitem")
+
+    @cached_property
+    def part(self):
+        return self._read("part")
+
+    @cached_property
+    def events(self):
+        return self._read("events")
+
+    @cached_property
+    def raw_element_summary(self):
+        """Orders with their line items reduced to one row per order."""
+        lines = _group(self.lineitem, "l_orderkey", LINE_TOTALS)
+        joined = self.orders.join(lines, self.orders["o_orderkey"] == lines["l_orderkey"], "left")
+        return _select(joined, ELEMENT_SUMMARY)
+
+    @cached_property
+    def raw_players(self):
+        """Customers with their season totals, reduced to one row per player before the join."""
+        customers = self._read("customer")
+        totals = _group(self.raw_element_summary, "element", PLAYER_TOTALS)
+        joined = customers.join(totals, customers["c_custkey"] == totals["element"], "left")
+        return _select(joined, PLAYERS)
+
+    @cached_property
+    def raw_teams(self):
+        return _select(self._read("nation"), TEAMS)
+
+    @cached_property
+    def raw_fixtures(self):
+        return _select(self.orders, FIXTURES)
+
+    @cached_property
+    def appearances(self):
+        return staging.stg_element_summary(self.raw_element_summary)
+
+    @cached_property
+    def players(self):
+        return staging.stg_players(self.raw_players)
+
+    @cached_property
+    def teams(self):
+        return staging.stg_teams(self.raw_teams)
+
+    @cached_property
+    def fixtures(self):
+        return staging.stg_fixtures(self.raw_fixtures)
+
+    @cached_property
+    def event_records(self):
+        return _select(self.events, {"record": EVENT_RECORD})
+
+    @cached_property
+    def override_records(self):
+        return _select(self.events, {"record": OVERRIDE_RECORD})
+
+    @cached_property
+    def summary_documents(self):
+        return _select(self.orders, {"value": SUMMARY_DOCUMENT})
