@@ -11,7 +11,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-Rewrite = Callable[[Column, T.StructField], Column]
+# Turns column ``name``, the JSON text of a field, into its final fields held as text.
+Rewrite = Callable[[DataFrame, str, T.StructField], DataFrame]
 
 
 def with_drift(records: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -46,15 +47,21 @@ def conform(
     integer and ``0.5`` a fine string. A value that does not fit its type fails the job.
     """
     rewrites = rewrites or {}
-    as_text = T.StructType([T.StructField(f.name, _text(f.dataType)) for f in fields])
+    as_text = T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.name in rewrites else _text(f.dataType))
+            for f in fields
+        ]
+    )
     kept = [c for c in records.columns if c != "record"]
     parsed = records.withColumn("_parsed", F.from_json("record", as_text, {"mode": "FAILFAST"}))
-
-    def column(f: T.StructField) -> Column:
-        raw = rewrites[f.name](F.col("record"), f) if f.name in rewrites else F.col("_parsed")[f.name]
-        return _typed(raw, f).alias(f.name)
-
-    return parsed.select(*kept, *[column(f) for f in fields])
+    values = {f.name: F.col("_parsed")[f.name] for f in fields}
+    for f in fields:
+        if f.name in rewrites:
+            name = f"_rewritten_{f.name}"
+            parsed = rewrites[f.name](parsed.withColumn(name, values[f.name]), name, f)
+            values[f.name] = F.col(name)
+    return parsed.select(*kept, *[_typed(values[f.name], f).alias(f.name) for f in fields])
 
 
 def _text(dtype: T.DataType) -> T.DataType:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from touchline.operators.drift import Rewrite
 
@@ -11,28 +11,36 @@ OVERRIDE_FIELDS = ("pick_multiplier", "rules", "scoring", "element_types")
 JSON_TEXT = ("rules", "scoring", "element_types")
 
 
-def overrides_as_text(record: Column, field: T.StructField) -> Column:
+def overrides_as_text(df: DataFrame, name: str, field: T.StructField) -> DataFrame:
     """``overrides`` with three sub-objects as JSON text.
 
     An absent sub-object of a non-empty ``overrides`` is the text ``null``; other sub-fields are
     dropped. An absent or NULL ``overrides`` stays NULL and an empty one keeps all sub-fields NULL.
     """
-    body = F.from_json(record, "overrides string")["overrides"]
-    names = F.json_object_keys(body)
-    parts = F.from_json(body, ", ".join(f"{n} string" for n in OVERRIDE_FIELDS))
+    body, parts, found = F.col(name), F.col("_parts"), F.col("_found")
 
-    def part(name):
-        if name not in OVERRIDE_FIELDS:
+    def part(sub):
+        if sub not in OVERRIDE_FIELDS:
             return F.lit(None).cast("string")
-        if name in JSON_TEXT:
-            return F.when(F.size(names) > 0, F.coalesce(parts[name], F.lit("null")))
-        return parts[name]
+        if sub in JSON_TEXT:
+            return F.when(F.size(found) > 0, F.coalesce(parts[sub], F.lit("null")))
+        return parts[sub]
 
     rewritten = F.struct(*[part(f.name).alias(f.name) for f in field.dataType.fields])
     return (
-        F.when(body.isNull(), None)
-        .when(names.isNull(), F.raise_error(F.lit("overrides is not a JSON object")))
-        .otherwise(rewritten)
+        df.withColumns(
+            {
+                "_found": F.json_object_keys(body),
+                "_parts": F.from_json(body, ", ".join(f"{n} string" for n in OVERRIDE_FIELDS)),
+            }
+        )
+        .withColumn(
+            name,
+            F.when(body.isNull(), None)
+            .when(found.isNull(), F.raise_error(F.lit("overrides is not a JSON object")))
+            .otherwise(rewritten),
+        )
+        .drop("_found", "_parts")
     )
 
 

@@ -55,4 +55,4 @@ def build_gold(
         "fct_top_players": lambda: marts.fct_top_players(players, fixtures, as_of),
     }
     for name in MARTS:
-        tables.refresh(spark, builders[name](), gold_db, name, keep_when_empty=False)
+        tables.replace(spark, builders[name](), gold_db, name)

@@ -33,11 +33,16 @@ def run_records(spark: SparkSession, bronze_root: str, run: str, table: str) ->
 
 
 def silver_rows(records: DataFrame, table: str, schema: T.StructType, loaded_at) -> DataFrame:
-    """Conformed rows plus the load stamp, in schema order."""
+    """Conformed rows plus the load stamp; other columns of ``records`` follow."""
     rows = conform(records, record_fields(schema), rewrites_for(table))
     stamp_type = schema[STAMP].dataType if STAMP in schema.names else T.TimestampType()
     rows = rows.withColumn(STAMP, loaded_at.cast(stamp_type))
-    return rows.select(*schema.names, *[c for c in rows.columns if c not in schema.names])
+    named = _stamped(schema)
+    return rows.select(*named, *[c for c in rows.columns if c not in named])
+
+
+def _stamped(schema):
+    return schema.names if STAMP in schema.names else [*schema.names, STAMP]
 
 
 def write_quarantine(payload: DataFrame, root: str) -> None:
@@ -60,23 +65,35 @@ def load_table(
     db: str,
     quarantine_root: str,
 ) -> bool:
-    """Quarantine the drifting records of ``table`` and refresh its silver contents.
+    """Load ``table`` and quarantine its drifting records; False when there were no records.
 
-    The two outputs read bronze independently: the drift pass only scans field names, and bronze
-    does not change, so nothing large has to be held between them.
+    Bronze is parsed once: the stored load also carries the drift and, for drifting records only,
+    their text. The quarantine is filled from there, and the table's view leaves both out.
     """
     now = _now()
-    drifting = with_drift(records, [f.name for f in record_fields(schema)])
-    write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)
-    return tables.refresh(
+    marked = (
+        with_drift(records, [f.name for f in record_fields(schema)])
+        .withColumn("_raw", F.when(F.col("drift").isNotNull(), F.col("record")))
+        .withColumnRenamed("drift", "_drift")
+    )
+    load = tables.write_load(
         spark,
-        silver_rows(records, table, schema, now),
+        silver_rows(marked, table, schema, now),
         db,
         table,
         partition_by=PARTITIONED.get(table, ()),
         cluster_by=CLUSTERED.get(table, ()),
-        properties={"run_timestamp": run},
     )
+    if tables.discard_if_empty(spark, db, load):
+        return False
+    drifting = spark.table(f"`{db}`.`{load}`").select(
+        F.col("_raw").alias("record"), F.col("_drift").alias("drift")
+    )
+    write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)
+    tables.publish(
+        spark, db, table, load, columns=_stamped(schema), properties={"run_timestamp": run}
+    )
+    return True
 
 
 def load_run(
@@ -124,8 +141,14 @@ def load_player_history(
         .otherwise(F.raise_error(F.concat(F.lit("unexpected fields: "), F.array_join("drift.new_fields", ","))))
         .alias("record"),
     )
-    rows = silver_rows(checked, "player_history", own, _now()).select(*schema.names)
-    return tables.refresh(spark, rows, db, "player_history", properties={"run_timestamp": run})
+    rows = silver_rows(checked, "player_history", own, _now())
+    load = tables.write_load(spark, rows, db, "player_history")
+    if tables.discard_if_empty(spark, db, load):
+        return False
+    tables.publish(
+        spark, db, "player_history", load, columns=_stamped(schema), properties={"run_timestamp": run}
+    )
+    return True
 
 
 def missing_summaries(spark: SparkSession, bronze_root: str, run: str) -> DataFrame:

@@ -32,7 +32,7 @@ def lay_out(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequenc
     return placed.sortWithinPartitions(*partition_by, *cluster_by)
 
 
-def refresh(
+def write_load(
     spark: SparkSession,
     df: DataFrame,
     db: str,
@@ -40,27 +40,48 @@ def refresh(
     *,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
-    properties: Mapping[str, str] | None = None,
-    keep_when_empty: bool = True,
-) -> bool:
-    """Replace the contents of ``db.table``. With no rows the old contents stay (returns False)."""
+) -> str:
+    """Write ``df`` as a new, not yet visible load of ``db.table``; returns its name."""
     ensure_database(spark, db)
     load = f"{table}__load_{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
     writer = lay_out(df, partition_by, cluster_by).write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(f"`{db}`.`{load}`")
-    if keep_when_empty and spark.table(f"`{db}`.`{load}`").isEmpty():
-        spark.sql(f"DROP TABLE `{db}`.`{load}`")
-        return False
+    return load
+
+
+def publish(
+    spark: SparkSession,
+    db: str,
+    table: str,
+    load: str,
+    *,
+    columns: Sequence[str] = (),
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Make ``load`` the contents of ``db.table`` (only ``columns``, if given)."""
     described = {"load_table": load, **(properties or {})}
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in described.items())
+    shown = ", ".join(f"`{c}`" for c in columns) or "*"
     spark.sql(
         f"CREATE OR REPLACE VIEW `{db}`.`{table}` TBLPROPERTIES ({listed}) "
-        f"AS SELECT * FROM `{db}`.`{load}`"
+        f"AS SELECT {shown} FROM `{db}`.`{load}`"
     )
     _drop_old_loads(spark, db, table)
-    return True
+
+
+def discard_if_empty(spark: SparkSession, db: str, load: str) -> bool:
+    """Drop a load without rows, so that the previous contents stay."""
+    empty = spark.table(f"`{db}`.`{load}`").isEmpty()
+    if empty:
+        spark.sql(f"DROP TABLE `{db}`.`{load}`")
+    return empty
+
+
+def replace(spark: SparkSession, df: DataFrame, db: str, table: str) -> None:
+    """Replace the contents of ``db.table``, also by nothing."""
+    publish(spark, db, table, write_load(spark, df, db, table))
 
 
 def _drop_old_loads(spark, db, table):
