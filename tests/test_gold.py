@@ -3,7 +3,7 @@ import os
 import league
 from league import appearance, fixture, land, player, team
 from touchline.plans.gold import MARTS, build_gold
-from touchline.plans.load import load_run
+from touchline.plans.nightly import main
 
 RUN = "2025-09-01T03:00:00Z"
 
@@ -23,16 +23,10 @@ def test_bronze_to_gold(spark, scratch):
         matches=[{"id": 1}],
         types=[{"id": 1}],
     )
-    load_run(
-        spark,
-        RUN,
-        bronze_root=f"{scratch}/bronze",
-        registry_root=f"{scratch}/registry",
-        quarantine_root=f"{scratch}/quarantine",
-        db=silver,
-    )
-    for _ in range(2):  # a rebuild replaces, never appends
-        build_gold(spark, silver_db=silver, gold_db=gold, as_of="2025-09-03T20:00:00Z")
+    places = [f"--{p}={scratch}/{p}" for p in ("bronze", "registry", "quarantine")]
+    main([f"--run={RUN}", *places, f"--silver-db={silver}", f"--gold-db={gold}"])
+    # a rebuild replaces, never appends
+    build_gold(spark, silver_db=silver, gold_db=gold, as_of="2025-09-03T20:00:00Z")
     counts = {m: spark.table(f"{gold}.{m}").count() for m in MARTS}
     assert counts == {
         "fct_player_gameweek": 6,

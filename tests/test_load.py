@@ -123,6 +123,25 @@ def test_only_recent_loads_are_kept(spark, places):
     assert spark.table(f"{places['db']}.teams").count() == 2
 
 
+def test_a_hot_partition_is_split_over_tasks(spark, scratch, places):
+    rows = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 5 + 2).otherwise(1).alias("round"),
+        F.xxhash64("id").alias("element"),
+        F.hex(F.xxhash64("id", F.lit(1))).alias("text"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        load = tables.write_load(
+            spark, rows.repartition(4), places["db"], "t", partition_by=["round"], cluster_by=["element"]
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.table(f"{places['db']}.{load}").withColumn("file", F.col("_metadata.file_path"))
+    files = {r["round"]: r["files"] for r in written.groupBy("round").agg(F.countDistinct("file").alias("files")).collect()}
+    assert set(files) == {1, 2, 3, 4, 5, 6} and files[1] > 2
+    assert written.count() == 400_000
+
+
 def test_run_is_required(spark, places):
     for run in ("", None):
         with pytest.raises(ValueError, match="run_timestamp"):

@@ -58,4 +58,5 @@ def exact_avg(x: Column) -> Column:
 
 def utc_wall_clock(ts: Column) -> Column:
     """The instant as a UTC timestamp without zone, whatever the session's time zone is."""
-    return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
