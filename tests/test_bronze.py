@@ -5,6 +5,7 @@ import pytest
 from league import FAILURES
 
 from touchline.operators.completeness import missing_snapshots
+from touchline.plans.load import missing_summaries, run_records
 from touchline.sources import bronze
 from touchline.sources.registry import load_schema, struct_type
 
@@ -59,12 +60,20 @@ def test_round_trip_by_run(spark, scratch):
 
 
 def test_one_document_per_file(spark, scratch):
+    os.makedirs(f"{scratch}/element-summaries/run1")
     for i in (1, 2):
-        with open(os.path.join(scratch, f"{i:04d}.json"), "w") as f:
+        with open(f"{scratch}/element-summaries/run1/{i:04d}.json", "w") as f:
             json.dump({"element_id": i, "history": [{"round": i}]}, f, indent=2)
-    rows = bronze.read_files(spark, scratch)
+    os.makedirs(f"{scratch}/bootstrap-static")
+    with open(f"{scratch}/bootstrap-static/run1.json", "w") as f:
+        json.dump({**BOOT, "elements": [{"id": i} for i in (1, 2, 3)]}, f, indent=2)
+
+    rows = bronze.read_files(spark, scratch, bronze.SUMMARIES, "run1")
     assert bronze.history_records(rows).count() == 2
     assert sorted(os.path.basename(r.file_path) for r in rows.collect()) == ["0001.json", "0002.json"]
+    assert run_records(spark, scratch, "run1", "players", bronze.read_files).count() == 3
+    missing = missing_summaries(spark, scratch, "run1", bronze.read_files)
+    assert [r.element_id for r in missing.collect()] == [3]
 
 
 def test_as_documents(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -19,16 +19,23 @@ CLUSTERED = {"element_summary": ["element"], "fixtures": ["team_h", "team_a"], "
 SILVER_TABLES = (*bronze.BOOTSTRAP_ARRAYS, "fixtures", "element_summary")
 
 
-def run_records(spark: SparkSession, bronze_root: str, run: str, table: str) -> DataFrame:
+Reader = Callable[[SparkSession, str, str, str], DataFrame]
+
+
+def run_records(
+    spark: SparkSession,
+    bronze_root: str,
+    run: str,
+    table: str,
+    read: Reader = bronze.read_documents,
+) -> DataFrame:
     """The raw records of one silver table in one run."""
     if table in bronze.BOOTSTRAP_ARRAYS:
-        documents = bronze.read_documents(spark, bronze_root, bronze.BOOTSTRAP, run)
-        return bronze.bootstrap_records(documents, table)
+        return bronze.bootstrap_records(read(spark, bronze_root, bronze.BOOTSTRAP, run), table)
     if table == "fixtures":
-        return bronze.array_records(bronze.read_documents(spark, bronze_root, bronze.FIXTURES, run))
+        return bronze.array_records(read(spark, bronze_root, bronze.FIXTURES, run))
     if table == "element_summary":
-        documents = bronze.read_documents(spark, bronze_root, bronze.SUMMARIES, run)
-        return bronze.history_records(documents)
+        return bronze.history_records(read(spark, bronze_root, bronze.SUMMARIES, run))
     raise ValueError(f"unknown silver table {table!r}")
 
 
@@ -104,6 +111,7 @@ def load_run(
     registry_root: str,
     quarantine_root: str,
     db: str = "silver",
+    read: Reader = bronze.read_documents,
 ) -> Mapping[str, bool]:
     """Load every silver table of one run; tells which were replaced."""
     if not run:
@@ -111,7 +119,7 @@ def load_run(
     return {
         table: load_table(
             spark,
-            run_records(spark, bronze_root, run, table),
+            run_records(spark, bronze_root, run, table, read),
             table,
             load_schema(spark, registry_root, table),
             run,
@@ -123,7 +131,13 @@ def load_run(
 
 
 def load_player_history(
-    spark: SparkSession, run: str, *, bronze_root: str, registry_root: str, db: str = "silver"
+    spark: SparkSession,
+    run: str,
+    *,
+    bronze_root: str,
+    registry_root: str,
+    db: str = "silver",
+    read: Reader = bronze.read_documents,
 ) -> bool:
     """Backfill ``player_history`` with every player's history rows and the owning player's id.
 
@@ -133,7 +147,7 @@ def load_player_history(
         raise ValueError("run_timestamp is missing")
     schema = load_schema(spark, registry_root, "player_history")
     own = T.StructType([f for f in schema.fields if f.name != "player_id"])
-    documents = bronze.read_documents(spark, bronze_root, bronze.SUMMARIES, run)
+    documents = read(spark, bronze_root, bronze.SUMMARIES, run)
     records = bronze.history_records(documents, player_id="element_id")
     checked = with_drift(records, [f.name for f in record_fields(own)]).select(
         "player_id",
@@ -151,10 +165,12 @@ def load_player_history(
     return True
 
 
-def missing_summaries(spark: SparkSession, bronze_root: str, run: str) -> DataFrame:
+def missing_summaries(
+    spark: SparkSession, bronze_root: str, run: str, read: Reader = bronze.read_documents
+) -> DataFrame:
     """Players the bootstrap document names whose summary did not land in the run."""
-    expected = bronze.element_ids(bronze.read_documents(spark, bronze_root, bronze.BOOTSTRAP, run))
-    landed = bronze.landed_ids(bronze.read_documents(spark, bronze_root, bronze.SUMMARIES, run))
+    expected = bronze.element_ids(read(spark, bronze_root, bronze.BOOTSTRAP, run))
+    landed = bronze.landed_ids(read(spark, bronze_root, bronze.SUMMARIES, run))
     return missing_snapshots(expected, landed, ["element_id"])
 
 

@@ -146,6 +146,7 @@ def fct_player_season_stats(
     highest price of the season.
     """
     named = season_totals(appearances).join(named_players(players, teams), "player_id", "left")
+    scoring, others = list(SEASON_SUMS)[:5], list(SEASON_SUMS)[5:]
     rates = {
         name: per_90(F.col(total), F.col("total_minutes")) for name, total in SEASON_RATES.items()
     }
@@ -159,8 +160,9 @@ def fct_player_season_stats(
         "team_short_name",
         "gameweeks_played",
         "gameweeks_with_minutes",
-        *SEASON_SUMS,
+        *scoring,
         (F.col("goals_scored") + F.col("assists")).alias("goal_involvements"),
+        *others,
         *[round_half_away(F.col(m), 2).alias(m) for m in SEASON_METRICS],
         *[rate.alias(name) for name, rate in rates.items()],
         round_half_away(F.col("avg_price"), 1).alias("avg_price"),

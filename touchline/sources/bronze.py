@@ -1,7 +1,7 @@
 """Bronze snapshots: raw JSON text, one folder per endpoint and run.
 
 Layout: ``<root>/<endpoint>/run_timestamp=<run>/``, one document per line so that large landings
-split. ``read_files`` takes the other common shape, one document per file.
+split. ``read_files`` reads landings with one document per file instead; the loaders take either.
 """
 
 from __future__ import annotations
@@ -49,8 +49,10 @@ def read_documents(spark: SparkSession, root: str, endpoint: str, run: str) -> D
     return spark.read.text(run_path(root, endpoint, run))
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Documents stored one per file, with the file they came from."""
+def read_files(spark: SparkSession, root: str, endpoint: str, run: str) -> DataFrame:
+    """The same from a landing with one document per file: ``<root>/<endpoint>/<run>.json``, and a
+    folder ``<root>/element-summaries/<run>/`` with a file per player."""
+    path = f"{root}/{endpoint}/{run}" + ("/" if endpoint == SUMMARIES else ".json")
     return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path"))
 
 

@@ -26,10 +26,6 @@ def _tenths(x: str) -> str:
     return f"cast(cast(({x}) / 10.0D AS decimal(18,1)) AS string)"
 
 
-def _hundredths(x: str) -> str:
-    return f"cast(cast({x} AS decimal(18,2)) AS string)"
-
-
 def _flag(condition: str) -> str:
     return f"CAST(CASE WHEN {condition} THEN 1 ELSE 0 END AS bigint)"
 
@@ -59,7 +55,19 @@ LINE_TOTALS = {
     "tax": "sum(cast(l_tax AS decimal(4,2)))",
 }
 
-ELEMENT_SUMMARY = {
+# Metrics as numbers; the silver table holds them as text.
+METRICS = {
+    "expected_goals": "cast(coalesce(tax, 0) AS decimal(8,2))",
+    "expected_assists": f"cast({_n('accepted')} * 0.25D AS decimal(8,2))",
+    "expected_goal_involvements": "cast(coalesce(discount, 0) AS decimal(8,2))",
+    "expected_goals_conceded": f"cast({_n('neither')} * 0.5D AS decimal(8,2))",
+    "influence": f"cast({_n('quantity')} / 10.0D AS decimal(8,1))",
+    "creativity": f"cast({_n('part_5')} * 15 / 10.0D AS decimal(8,1))",
+    "threat": f"cast({_n('returned')} * 70 / 10.0D AS decimal(8,1))",
+    "ict_index": f"cast({_n('quantity')} % 100 / 10.0D AS decimal(8,1))",
+}
+
+APPEARANCES = {
     "element": "o_custkey",
     "fixture": "o_orderkey",
     "opponent_team": "o_orderkey % 25",
@@ -87,14 +95,7 @@ ELEMENT_SUMMARY = {
     "recoveries": _n("supp_7"),
     "tackles": _n("part_3"),
     "defensive_contribution": _n("supp_4"),
-    "expected_goals": _hundredths("coalesce(tax, 0)"),
-    "expected_assists": _hundredths(f"{_n('accepted')} * 0.25D"),
-    "expected_goal_involvements": _hundredths("coalesce(discount, 0)"),
-    "expected_goals_conceded": _hundredths(f"{_n('neither')} * 0.5D"),
-    "influence": _tenths(_n("quantity")),
-    "creativity": _tenths(f"{_n('part_5')} * 15"),
-    "threat": _tenths(f"{_n('returned')} * 70"),
-    "ict_index": _tenths(f"{_n('quantity')} % 100"),
+    **METRICS,
     "value": "40 + o_custkey % 90",
     "transfers_balance": "o_custkey * 7 % 300 - 150",
     "selected": "o_custkey * 11 % 1000",
@@ -102,13 +103,7 @@ ELEMENT_SUMMARY = {
     "transfers_out": "o_orderkey % 450",
 }
 
-PLAYER_METRICS = staging.TEXT_METRICS[:4]
-PLAYER_INDEXES = staging.TEXT_METRICS[4:]
-PLAYER_TOTALS = {
-    **{n: f"sum({n})" for n in staging.MATCH_COUNTS},
-    **{n: f"sum(cast({n} AS decimal(8,2)))" for n in PLAYER_METRICS},
-    **{n: f"sum(cast({n} AS decimal(8,1)))" for n in PLAYER_INDEXES},
-}
+PLAYER_TOTALS = {n: f"sum({n})" for n in [*staging.MATCH_COUNTS, *METRICS]}
 # Moduli that spread the per-90 columns over customers.
 RATE_MODULI = dict(zip(staging.RATES_PER_90, (83, 79, 73, 71, 67, 61, 59, 53, 47)))
 
@@ -240,17 +235,21 @@ class League:
         return self._read("events")
 
     @cached_property
-    def raw_element_summary(self):
+    def _appearances(self):
         """Orders with their line items reduced to one row per order."""
         lines = _group(self.lineitem, "l_orderkey", LINE_TOTALS)
         joined = self.orders.join(lines, self.orders["o_orderkey"] == lines["l_orderkey"], "left")
-        return _select(joined, ELEMENT_SUMMARY)
+        return _select(joined, APPEARANCES)
+
+    @cached_property
+    def raw_element_summary(self):
+        return self._appearances.withColumns({n: F.col(n).cast("string") for n in METRICS})
 
     @cached_property
     def raw_players(self):
         """Customers with their season totals, reduced to one row per player before the join."""
         customers = self._read("customer")
-        totals = _group(self.raw_element_summary, "element", PLAYER_TOTALS)
+        totals = _group(self._appearances, "element", PLAYER_TOTALS)
         joined = customers.join(totals, customers["c_custkey"] == totals["element"], "left")
         return _select(joined, PLAYERS)
 

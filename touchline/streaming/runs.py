@@ -16,7 +16,7 @@ def follow_runs(
     bronze_root: str,
     registry_root: str,
     quarantine_root: str,
-    checkpoint: str,
+    checkpoint: str | None = None,
     db: str = "silver",
     trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -25,8 +25,10 @@ def follow_runs(
     The stream reads the marks written by ``announce_run``, which follow a complete snapshot, so a
     run is never loaded in part whatever the number of its files. Silver is a full refresh: of the
     runs in a batch only the newest is loaded, and none older than what silver already holds. A
-    repeated batch after a failure loads the same run again.
+    repeated batch after a failure loads the same run again. Progress is kept in ``checkpoint``, by
+    default a folder below the session's ``spark.checkpoint.dir``.
     """
+    checkpoint = checkpoint or f"{spark.conf.get('spark.checkpoint.dir')}/follow_runs/{db}"
 
     def load_newest(batch: DataFrame, _: int) -> None:
         newest = batch.agg(F.max("run_timestamp")).first()[0]
