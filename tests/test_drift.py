@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from league import FAILURES
 from pyspark.sql import functions as F, types as T
 
@@ -79,6 +80,21 @@ def test_quarantine_and_counts(records):
     ]
 
 
+keys = st.sampled_from(["id", "name", "rate", "ok", "x", "y", "Id", "é", "ingestion_timestamp"])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.dictionaries(keys, st.none(), max_size=7), min_size=1, max_size=20))
+def test_drift_against_sets(records, items):
+    def expected(item):
+        new = sorted(set(item) - set(NAMES))
+        return {"new_fields": new, "missing_fields": sorted(set(NAMES) - set(item))} if new else None
+
+    df = records(*items).coalesce(1)
+    assert drifts(df) == [expected(i) for i in items]
+    assert drift.conform(df, FIELDS).distinct().collect() == [(None, None, None, None)]
+
+
 OVERRIDES = T.StructField(
     "overrides",
     T.StructType(

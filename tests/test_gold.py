@@ -39,8 +39,8 @@ def test_bronze_to_gold(spark, scratch):
         "fct_top_players": 2,
     }
     assert {r.next_gameweek for r in spark.table(f"{gold}.fct_captain_picks").collect()} == {4}
-    best = spark.sql("SELECT max(points_per_million) FROM stg_players").first()[0]
-    assert best == 0.0
+    rates = spark.sql("SELECT safe_divide(minutes, player_id - 1) AS rate FROM stg_players ORDER BY player_id")
+    assert [r.rate for r in rates.collect()] == [None, 1800.0, 1350.0]
     later = dict(silver_db=silver, gold_db=gold, as_of="2026-01-01T00:00:00Z")
     build_gold(spark, **later)  # an emptied mart is empty, not stale
     assert spark.table(f"{gold}.fct_fixture_schedule").count() == 0

@@ -484,6 +484,16 @@ ORACLES: dict[str, str] = {
     "top_k": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""",
+    "bootstrap_split": """
+        SELECT 'players' AS "table", c_custkey + i AS id
+        FROM customer CROSS JOIN (VALUES (0), (1)) v(i)
+        UNION ALL SELECT 'teams', c_nationkey FROM customer
+        UNION ALL SELECT 'matches', c_custkey * 2 FROM customer WHERE c_acctbal >= 0
+        UNION ALL SELECT 'player_types', 1 + c_custkey % 4 FROM customer""",
+    "array_documents": f"""
+        SELECT o_orderkey AS id, {WEEK} AS event, o_orderstatus = 'F' AS finished FROM orders
+        UNION ALL
+        SELECT -o_orderkey, {WEEK}, NULL FROM orders WHERE o_orderstatus = 'O' OR o_orderkey = 0""",
     "explode_history": f"""
         SELECT o_custkey AS player_id, o_orderkey + i AS fixture, {WEEK} + i AS round
         FROM orders CROSS JOIN (VALUES (0), (1)) v(i) WHERE o_orderstatus <> 'P'""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,6 +36,12 @@ MATCH_SCHEMA = [
         ),
     ),
 ]
+ID_SCHEMA = [T.StructField("id", T.LongType())]
+FIXTURE_SCHEMA = [
+    T.StructField("id", T.LongType()),
+    T.StructField("event", T.LongType()),
+    T.StructField("finished", T.BooleanType()),
+]
 HISTORY_SCHEMA = [T.StructField("fixture", T.LongType()), T.StructField("round", T.LongType())]
 
 
@@ -365,6 +372,22 @@ def top_k(g):
 # --- bronze and drift --------------------------------------------------------------------------
 
 
+@query
+def bootstrap_split(g):
+    parts = [
+        drift.conform(bronze.bootstrap_records(g.bootstrap_documents, table), ID_SCHEMA).select(
+            F.lit(table).alias("table"), "id"
+        )
+        for table in bronze.BOOTSTRAP_ARRAYS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def array_documents(g):
+    return drift.conform(bronze.array_records(g.fixture_documents), FIXTURE_SCHEMA)
+
+
 @query
 def explode_history(g):
     rows = bronze.history_records(g.summary_documents, player_id="element_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 
 def as_number(text: Column) -> Column:
@@ -60,3 +60,11 @@ def utc_wall_clock(ts: Column) -> Column:
     """The instant as a UTC timestamp without zone, whatever the session's time zone is."""
     seconds = (F.unix_micros(ts).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
     return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Make ``safe_divide`` callable from SQL. SQL functions are inlined, so plans stay the same."""
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION safe_divide(a DOUBLE, b DOUBLE) "
+        "RETURNS DOUBLE RETURN try_divide(a, b)"
+    )

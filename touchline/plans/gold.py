@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from touchline.functions.scalars import register_sql
 from touchline.plans import marts
 from touchline.plans.staging import STAGING
 from touchline.sources import tables
@@ -21,13 +22,17 @@ MARTS = (
 
 
 def register_staging(spark: SparkSession, silver_db: str = "silver") -> dict[str, DataFrame]:
-    """Staging as temporary views, so that SQL users and the marts read the same definitions."""
+    """Staging as temporary views, so that SQL users and the marts read the same definitions.
+
+    SQL users also get ``safe_divide``.
+    """
     staged = {
         view: project(spark.table(f"`{silver_db}`.`{table}`"))
         for view, (table, project) in STAGING.items()
     }
     for view, df in staged.items():
         df.createOrReplaceTempView(view)
+    register_sql(spark)
     return staged
 
 

@@ -199,6 +199,25 @@ SUMMARY_DOCUMENT = f"""
         o_custkey AS element_id
     ))"""
 
+# A bootstrap document per customer: two players, a team, a position, and a gameweek unless overdrawn.
+BOOTSTRAP_DOCUMENT = """
+    to_json(struct(
+        array(struct(c_custkey AS id), struct(c_custkey + 1 AS id)) AS elements,
+        array(struct(c_nationkey AS id)) AS teams,
+        filter(array(struct(c_custkey * 2 AS id)), e -> c_acctbal >= 0) AS events,
+        array(struct(1 + c_custkey % 4 AS id)) AS element_types
+    ))"""
+
+# A fixture document per order: a top-level array of one or two fixtures.
+FIXTURE_DOCUMENT = f"""
+    to_json(filter(
+        array(
+            struct(o_orderkey AS id, {WEEK} AS event, o_orderstatus = 'F' AS finished),
+            struct(-o_orderkey AS id, {WEEK} AS event, CAST(NULL AS boolean) AS finished)
+        ),
+        f -> f.id >= 0 OR o_orderstatus = 'O'
+    ))"""
+
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
@@ -226,6 +245,10 @@ class League:
     def lineitem(self):
         return self._read("lineitem")
 
+    @cached_property
+    def customer(self):
+        return self._read("customer")
+
     @cached_property
     def part(self):
         return self._read("part")
@@ -248,9 +271,8 @@ class League:
     @cached_property
     def raw_players(self):
         """Customers with their season totals, reduced to one row per player before the join."""
-        customers = self._read("customer")
         totals = _group(self._appearances, "element", PLAYER_TOTALS)
-        joined = customers.join(totals, customers["c_custkey"] == totals["element"], "left")
+        joined = self.customer.join(totals, self.customer["c_custkey"] == totals["element"], "left")
         return _select(joined, PLAYERS)
 
     @cached_property
@@ -285,6 +307,14 @@ class League:
     def override_records(self):
         return _select(self.events, {"record": OVERRIDE_RECORD})
 
+    @cached_property
+    def bootstrap_documents(self):
+        return _select(self.customer, {"value": BOOTSTRAP_DOCUMENT})
+
+    @cached_property
+    def fixture_documents(self):
+        return _select(self.orders, {"value": FIXTURE_DOCUMENT})
+
     @cached_property
     def summary_documents(self):
         return _select(self.orders, {"value": SUMMARY_DOCUMENT})
