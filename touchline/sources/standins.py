@@ -57,14 +57,14 @@ LINE_TOTALS = {
 
 # Metrics as numbers; the silver table holds them as text.
 METRICS = {
-    "expected_goals": "cast(coalesce(tax, 0) AS decimal(8,2))",
-    "expected_assists": f"cast({_n('accepted')} * 0.25D AS decimal(8,2))",
-    "expected_goal_involvements": "cast(coalesce(discount, 0) AS decimal(8,2))",
-    "expected_goals_conceded": f"cast({_n('neither')} * 0.5D AS decimal(8,2))",
-    "influence": f"cast({_n('quantity')} / 10.0D AS decimal(8,1))",
-    "creativity": f"cast({_n('part_5')} * 15 / 10.0D AS decimal(8,1))",
-    "threat": f"cast({_n('returned')} * 70 / 10.0D AS decimal(8,1))",
-    "ict_index": f"cast({_n('quantity')} % 100 / 10.0D AS decimal(8,1))",
+    "expected_goals": "cast(coalesce(tax, 0) AS decimal(18,2))",
+    "expected_assists": f"cast({_n('accepted')} * 0.25D AS decimal(18,2))",
+    "expected_goal_involvements": "cast(coalesce(discount, 0) AS decimal(18,2))",
+    "expected_goals_conceded": f"cast({_n('neither')} * 0.5D AS decimal(18,2))",
+    "influence": f"cast({_n('quantity')} / 10.0D AS decimal(18,1))",
+    "creativity": f"cast({_n('part_5')} * 15 / 10.0D AS decimal(18,1))",
+    "threat": f"cast({_n('returned')} * 70 / 10.0D AS decimal(18,1))",
+    "ict_index": f"cast({_n('quantity')} % 100 / 10.0D AS decimal(18,1))",
 }
 
 APPEARANCES = {
