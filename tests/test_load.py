@@ -168,9 +168,8 @@ def test_missing_summaries(spark, places):
     assert sorted(r.element_id for r in missing.collect()) == [1, 3]
 
 
-def follow(spark, places, scratch):
-    query = follow_runs(spark, checkpoint=f"{scratch}/checkpoint", **places)
-    assert query.awaitTermination(120)
+def follow(spark, places):
+    assert follow_runs(spark, **places).awaitTermination(120)
 
 
 def contents(spark, db):
@@ -184,7 +183,7 @@ def test_following_runs(spark, places, scratch):
     land(spark, places["bronze_root"], RUN, **small_run())
     land(spark, places["bronze_root"], LATER, **small_run(teams=[team(5)]))
     land(spark, places["bronze_root"], "2025-09-09T03:00:00Z", **small_run(), announce=False)
-    follow(spark, places, scratch)
+    follow(spark, places)
     assert loaded_run(spark, places["db"]) == LATER
     streamed = contents(spark, places["db"])
 
@@ -193,11 +192,11 @@ def test_following_runs(spark, places, scratch):
     assert streamed == contents(spark, batch["db"])
 
     land(spark, places["bronze_root"], "2025-08-01T03:00:00Z", **small_run(teams=[team(4)]))
-    follow(spark, places, scratch)
+    follow(spark, places)
     assert [r.id for r in spark.table(f"{places['db']}.teams").collect()] == [5]
 
     newest = "2025-09-03T03:00:00Z"
     land(spark, places["bronze_root"], newest, **small_run(teams=[team(6)]))
-    follow(spark, places, scratch)
+    follow(spark, places)
     assert [r.id for r in spark.table(f"{places['db']}.teams").collect()] == [6]
     assert loaded_run(spark, places["db"]) == newest

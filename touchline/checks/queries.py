@@ -274,20 +274,14 @@ def rolling_form(g):
         "expected_goal_involvements",
         "ict_index",
     )
-    c = F.col
-
-    def exact(w, name):
-        return F.sum(c(name).cast("decimal(18,6)")).over(w).cast("double")
-
+    xgi, ict = F.col("expected_goal_involvements"), F.col("ict_index")
     stats = {
         "points_last_5_gw": lambda w: F.sum("total_points").over(w),
         "avg_points_last_5_gw": lambda w: scalars.round_half_away(F.avg("total_points").over(w), 2),
-        "xgi_last_5_gw": lambda w: scalars.round_half_away(exact(w, "expected_goal_involvements"), 2),
+        "xgi_last_5_gw": lambda w: scalars.round_half_away(scalars.exact_sum(xgi, w), 2),
         "minutes_last_5_gw": lambda w: F.sum("minutes").over(w),
         "gw_count_in_window": lambda w: F.count(F.lit(1)).over(w),
-        "avg_ict_last_5_gw": lambda w: scalars.round_half_away(
-            scalars.safe_divide(exact(w, "ict_index"), F.count("ict_index").over(w)), 2
-        ),
+        "avg_ict_last_5_gw": lambda w: scalars.round_half_away(scalars.exact_avg(ict, w), 2),
     }
     rolled = rolling.rolling_rows(
         rows,

@@ -20,6 +20,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.local.dir", scratch)
+        .config("spark.checkpoint.dir", f"{scratch}/checkpoint")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql.window import WindowSpec
+
+MILLIONTHS = 1e6
 
 
 def as_number(text: Column) -> Column:
@@ -42,18 +45,21 @@ def per_90(total: Column, minutes: Column) -> Column:
     return round_half_away(safe_divide(total, minutes) * 90, 2)
 
 
-def exact_sum(x: Column) -> Column:
+def exact_sum(x: Column, window: WindowSpec | None = None) -> Column:
     """Sum of a double metric that does not depend on task order.
 
     The feeds publish these metrics as text with at most two decimals. Adding them as doubles gives
     a last bit that changes with the partitioning (or a retried task) and flips rounded halves, so
-    they are added as decimals with six places and cast back once.
+    they are added as whole millionths and scaled back once. That is as fast as a double sum; it
+    holds totals up to nine million millions, beyond which the sum fails.
     """
-    return F.sum(x.cast("decimal(18,6)")).cast("double")
+    units = F.sum(F.rint(x * MILLIONTHS).cast("bigint"))
+    return (units.over(window) if window else units) / F.lit(MILLIONTHS)
 
 
-def exact_avg(x: Column) -> Column:
-    return safe_divide(exact_sum(x), F.count(x))
+def exact_avg(x: Column, window: WindowSpec | None = None) -> Column:
+    n = F.count(x)
+    return safe_divide(exact_sum(x, window), n.over(window) if window else n)
 
 
 def utc_wall_clock(ts: Column) -> Column:

@@ -22,8 +22,10 @@ KICKOFF = (
 )
 
 
-def _tenths(x: str) -> str:
-    return f"cast(cast(({x}) / 10.0D AS decimal(18,1)) AS string)"
+def _text(units: str, digits: int) -> str:
+    """A non-negative whole number of 1/10**digits as decimal text."""
+    whole, rest = f"cast(({units}) div {10**digits} AS string)", f"cast(({units}) % {10**digits} AS string)"
+    return f"concat({whole}, '.', lpad({rest}, {digits}, '0'))"
 
 
 def _flag(condition: str) -> str:
@@ -51,21 +53,22 @@ LINE_TOTALS = {
     "part_3": "sum(l_partkey % 3)",
     "supp_7": "sum(l_suppkey % 7)",
     "supp_4": "sum(l_suppkey % 4)",
-    "discount": "sum(cast(l_discount AS decimal(4,2)))",
-    "tax": "sum(cast(l_tax AS decimal(4,2)))",
+    "discount_cents": "sum(cast(rint(l_discount * 100) AS bigint))",
+    "tax_cents": "sum(cast(rint(l_tax * 100) AS bigint))",
 }
 
-# Metrics as numbers; the silver table holds them as text.
+# Metrics as whole numbers of 1/10**digits; the silver table holds them as text.
 METRICS = {
-    "expected_goals": "cast(coalesce(tax, 0) AS decimal(18,2))",
-    "expected_assists": f"cast({_n('accepted')} * 0.25D AS decimal(18,2))",
-    "expected_goal_involvements": "cast(coalesce(discount, 0) AS decimal(18,2))",
-    "expected_goals_conceded": f"cast({_n('neither')} * 0.5D AS decimal(18,2))",
-    "influence": f"cast({_n('quantity')} / 10.0D AS decimal(18,1))",
-    "creativity": f"cast({_n('part_5')} * 15 / 10.0D AS decimal(18,1))",
-    "threat": f"cast({_n('returned')} * 70 / 10.0D AS decimal(18,1))",
-    "ict_index": f"cast({_n('quantity')} % 100 / 10.0D AS decimal(18,1))",
+    "expected_goals": (_n("tax_cents"), 2),
+    "expected_assists": (f"{_n('accepted')} * 25", 2),
+    "expected_goal_involvements": (_n("discount_cents"), 2),
+    "expected_goals_conceded": (f"{_n('neither')} * 50", 2),
+    "influence": (_n("quantity"), 1),
+    "creativity": (f"{_n('part_5')} * 15", 1),
+    "threat": (f"{_n('returned')} * 70", 1),
+    "ict_index": (f"{_n('quantity')} % 100", 1),
 }
+METRIC_TEXTS = {n: _text(n, digits) for n, (_, digits) in METRICS.items()}
 
 APPEARANCES = {
     "element": "o_custkey",
@@ -95,7 +98,7 @@ APPEARANCES = {
     "recoveries": _n("supp_7"),
     "tackles": _n("part_3"),
     "defensive_contribution": _n("supp_4"),
-    **METRICS,
+    **{n: units for n, (units, _) in METRICS.items()},
     "value": "40 + o_custkey % 90",
     "transfers_balance": "o_custkey * 7 % 300 - 150",
     "selected": "o_custkey * 11 % 1000",
@@ -120,11 +123,11 @@ PLAYERS = {
     "cost_change_start": "c_custkey % 9 - 4",
     "cost_change_event": "c_custkey % 3 - 1",
     **{n: _n(n) for n in staging.MATCH_COUNTS},
-    **{n: f"cast({n} AS string)" for n in staging.TEXT_METRICS},
+    **METRIC_TEXTS,
     **{n: f"cast(c_custkey % {m} AS double) / 100.0D" for n, m in RATE_MODULI.items()},
-    "form": _tenths("c_custkey % 100"),
-    "selected_by_percent": _tenths("c_custkey % 400"),
-    "points_per_game": _tenths("c_custkey % 120"),
+    "form": _text("c_custkey % 100", 1),
+    "selected_by_percent": _text("c_custkey % 400", 1),
+    "points_per_game": _text("c_custkey % 120", 1),
     "transfers_in": "c_custkey * 17 % 9000",
     "transfers_out": "c_custkey * 23 % 8000",
     "transfers_in_event": "c_custkey * 13 % 500",
@@ -146,7 +149,7 @@ TEAMS = {
     "points": f"{TEAM_KEY} % 7 * 3 + {TEAM_KEY} % 5",
     "strength": f"{TEAM_KEY} % 5 + 1",
     **{n: f"1000 + {TEAM_KEY} * {factor} % 300" for n, factor in STRENGTH_FACTORS.items()},
-    "form": f"CASE WHEN n_nationkey % 2 = 0 THEN {_tenths('n_nationkey')} END",
+    "form": f"CASE WHEN n_nationkey % 2 = 0 THEN {_text('n_nationkey', 1)} END",
     "unavailable": "n_nationkey % 11 = 0",
 }
 
@@ -266,7 +269,7 @@ class League:
 
     @cached_property
     def raw_element_summary(self):
-        return self._appearances.withColumns({n: F.col(n).cast("string") for n in METRICS})
+        return self._appearances.withColumns({n: F.expr(t) for n, t in METRIC_TEXTS.items()})
 
     @cached_property
     def raw_players(self):
