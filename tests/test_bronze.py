@@ -76,6 +76,18 @@ def test_one_document_per_file(spark, scratch):
     assert [r.element_id for r in missing.collect()] == [3]
 
 
+def test_tag_documents(spark):
+    df = spark.createDataFrame(
+        [(7, '{"history": [{"x": "é", "f": 1.5}], "z": null}'), (8, "{}"), (9, '{"element_id": 1}')],
+        "element_id bigint, value string",
+    )
+    assert [json.loads(r.value) for r in bronze.tag_documents(df).collect()] == [
+        {"history": [{"x": "é", "f": 1.5}], "z": None, "element_id": 7},
+        {"element_id": 8},
+        {"element_id": 9},
+    ]
+
+
 def test_as_documents(spark):
     df = spark.createDataFrame([(1, None)], "id int, name string")
     assert bronze.as_documents(df).first()[0] == '{"id":1,"name":null}'

@@ -84,6 +84,23 @@ def test_load_run(spark, places):
     assert set(letter) == {"raw_record", "drift", "detected_at"}
 
 
+def test_dead_letters_hold_the_rewritten_record(spark, places):
+    matches = [
+        {"id": 1, "extra": "é", "overrides": {"scoring": {"a": 1}, "pick_multiplier": 2, "other": 5}},
+        {"id": 2, "extra": [1, None], "overrides": {}},
+        {"id": 3, "extra": None, "overrides": None},
+        {"id": 4, "extra": {"b": 1.5}},
+        {"id": 5, "overrides": {"rules": {}}},
+    ]
+    land(spark, places["bronze_root"], RUN, **small_run(matches=matches))
+    load_run(spark, RUN, **places)
+    letters = dead_letters(spark, places)[("matches", RUN.replace(":", "%3A"))]
+    texts = {"rules": "null", "scoring": '{"a":1}', "element_types": "null", "pick_multiplier": 2}
+    assert sorted((le["raw_record"] for le in letters), key=lambda r: r["id"]) == [
+        {**matches[0], "overrides": texts}, *matches[1:4],
+    ]
+
+
 def test_element_summary_is_partitioned_by_round(spark, places):
     land(spark, places["bronze_root"], RUN, **small_run())
     load_run(spark, RUN, **places)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from touchline.functions.json_text import with_fields
 from touchline.operators.drift import Rewrite
 
 # Sub-fields of ``overrides``; those in JSON_TEXT are stored as JSON text.
@@ -49,3 +50,15 @@ REWRITES: dict[str, dict[str, Rewrite]] = {"matches": {"overrides": overrides_as
 
 def rewrites_for(table: str) -> dict[str, Rewrite]:
     return REWRITES.get(table, {})
+
+
+def rewritten_record(table: str, record: Column) -> Column:
+    """JSON text of a loaded record with its rewritten fields, taken from their loaded columns.
+
+    A rewritten field without any value was absent or empty and stays as it came.
+    """
+    for name in rewrites_for(table):
+        has_values = F.to_json(F.col(name)) != "{}"
+        replaced = with_fields(record, {name: F.to_variant_object(F.col(name))})
+        record = F.when(has_values, replaced).otherwise(record)
+    return record

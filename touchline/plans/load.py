@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from touchline.operators.completeness import missing_snapshots
 from touchline.operators.drift import conform, quarantine_payload, with_drift
-from touchline.operators.transforms import rewrites_for
+from touchline.operators.transforms import rewrites_for, rewritten_record
 from touchline.sources import bronze, tables
 from touchline.sources.registry import STAMP, load_schema, record_fields
 
@@ -53,7 +53,7 @@ def _stamped(schema):
 
 
 def write_quarantine(payload: DataFrame, root: str) -> None:
-    """Append dead letters, in a few files per table and run. ``raw_record`` is nested JSON."""
+    """Append dead letters, in few files per table and run. ``raw_record`` is nested JSON."""
     (
         payload.withColumn("raw_record", F.parse_json("raw_record"))
         .hint("rebalance")
@@ -94,7 +94,7 @@ def load_table(
     if tables.discard_if_empty(spark, db, load):
         return False
     drifting = spark.table(f"`{db}`.`{load}`").select(
-        F.col("_raw").alias("record"), F.col("_drift").alias("drift")
+        rewritten_record(table, F.col("_raw")).alias("record"), F.col("_drift").alias("drift")
     )
     write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)
     tables.publish(

@@ -12,6 +12,8 @@ from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from touchline.functions.json_text import with_fields
+
 # Endpoints, and the array of the bootstrap document behind each silver table.
 BOOTSTRAP, FIXTURES, SUMMARIES, RUNS = "bootstrap-static", "fixtures", "element-summaries", "runs"
 BOOTSTRAP_ARRAYS = {
@@ -106,6 +108,12 @@ def landed_ids(summary_documents: DataFrame) -> DataFrame:
     return summary_documents.select(parsed["element_id"].alias("element_id"))
 
 
+def tag_documents(documents: DataFrame, id_column: str = "element_id") -> DataFrame:
+    """Player documents that carry the id they were fetched for, ready to land."""
+    tag = {"element_id": F.col(id_column).cast("variant")}
+    return documents.select(with_fields(F.col("value"), tag).alias("value"))
+
+
 def as_documents(rows: DataFrame, fields: Mapping[str, Column] | None = None) -> DataFrame:
     """Render rows as one-line JSON documents, e.g. to land a snapshot. NULL fields stay as null."""
     columns = [c.alias(n) for n, c in fields.items()] if fields else rows.columns
