@@ -54,7 +54,7 @@ def test_history(spark):
 
 def test_round_trip_by_run(spark, scratch):
     run = bronze.new_run()
-    bronze.write_documents(docs(spark, BOOT), scratch, bronze.BOOTSTRAP, run)
+    bronze.write_documents(docs(spark, json.dumps(BOOT, indent=1)), scratch, bronze.BOOTSTRAP, run)
     bronze.write_documents(docs(spark, "[]"), scratch, bronze.BOOTSTRAP, "other:run")
     assert [json.loads(r.value) for r in bronze.read_documents(spark, scratch, bronze.BOOTSTRAP, run).collect()] == [BOOT]
 

@@ -93,7 +93,7 @@ def load_table(
     )
     if tables.discard_if_empty(spark, db, load):
         return False
-    drifting = spark.table(f"`{db}`.`{load}`").select(
+    drifting = spark.table(f"`{db}`.`{load}`").where(F.col("_raw").isNotNull()).select(
         rewritten_record(table, F.col("_raw")).alias("record"), F.col("_drift").alias("drift")
     )
     write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)

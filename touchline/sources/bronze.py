@@ -37,8 +37,13 @@ def new_run() -> str:
 
 
 def write_documents(documents: DataFrame, root: str, endpoint: str, run: str) -> None:
-    """Land one snapshot. ``documents`` has a single string column of one-line JSON."""
-    documents.write.mode("overwrite").text(run_path(root, endpoint, run))
+    """Land one snapshot. ``documents`` has a single string column of JSON documents.
+
+    Line breaks in JSON text are white space between tokens, so blanks can stand for them.
+    """
+    (value,) = documents.columns
+    one_line = documents.select(F.translate(value, "\r\n", "  ").alias("value"))
+    one_line.write.mode("overwrite").text(run_path(root, endpoint, run))
 
 
 def announce_run(spark: SparkSession, root: str, run: str) -> None:
