@@ -66,6 +66,40 @@ def test_required_field(records):
         drift.conform(records({}), needed).collect()
 
 
+NESTED = [
+    T.StructField(
+        "o",
+        T.StructType(
+            [
+                T.StructField("n", T.LongType()),
+                T.StructField("l", T.ArrayType(T.StructType([T.StructField("b", T.BooleanType())]))),
+            ]
+        ),
+    ),
+    T.StructField("tags", T.ArrayType(T.DoubleType())),
+]
+
+
+def test_nested_values(records):
+    df = records({"o": {"n": "4", "l": [{"b": True}, None, {}], "more": 1}, "tags": ["1.5", 2, None]}, {"o": None})
+    got = [r.asDict(recursive=True) for r in drift.conform(df, NESTED).collect()]
+    assert got == [
+        {"o": {"n": 4, "l": [{"b": True}, None, {"b": None}]}, "tags": [1.5, 2.0, None]},
+        {"o": None, "tags": None},
+    ]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("bad", [{"o": {"n": "x"}}, {"o": {"l": [{"b": "maybe"}]}}, {"tags": ["high"]}])
+def test_nested_misfits_fail(spark, records, bad, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(FAILURES, match="is not a"):
+            drift.conform(records(bad), NESTED).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_quarantine_and_counts(records):
     df = drift.with_drift(records(WHOLE, {**WHOLE, "x": 1}, {"id": 1, "x": 1, "y": 2}), NAMES)
     payload = drift.quarantine_payload(df, "t", "run", F.lit("now")).collect()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators.keyed import first_n_per_key, first_per_key
-from touchline.operators.rolling import rolling_rows
+from touchline.operators.rolling import _label_blocks, rolling_rows
 
 STATS = {
     "total": lambda w: F.sum("v").over(w),
@@ -24,22 +24,29 @@ def rows(seed):
     return made
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("n", [2, 5])
-def test_blocks_give_the_plain_window(spark, seed, n):
+@pytest.mark.parametrize("finer", [[], ["floor(i / 40)"], ["floor(i / 60)", "i"]])
+def test_blocks_give_the_plain_window(spark, seed, n, finer):
     df = spark.createDataFrame(rows(seed), "k int, b int, i int, v int")
     plain = rolling_rows(df, ["k"], ["b", "i"], n, STATS)
     split = rolling_rows(
-        df, ["k"], ["b", "i"], n, STATS, block=F.col("b"), hot_rows=20, max_hot_keys=100
+        df, ["k"], ["b", "i"], n, STATS, blocks=[F.col("b"), *map(F.expr, finer)], hot_rows=20, max_hot=100
     )
     assert split.columns == plain.columns
     assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_hot_key_is_spread_over_blocks(spark):
-    df = spark.createDataFrame([(1, i // 10, i, 1) for i in range(200)], "k int, b int, i int, v int")
-    split = rolling_rows(df, ["k"], ["b", "i"], 5, STATS, block=F.col("b"), hot_rows=20, max_hot_keys=100)
-    assert [r.total for r in split.orderBy("i").collect()] == [min(i + 1, 5) for i in range(200)]
+@pytest.mark.parametrize("blocks", [["floor(i / 10)"], ["1", "floor(i / 10)"]])
+def test_hot_key_is_spread_over_blocks(spark, blocks):
+    df = spark.createDataFrame([(1, i, 1) for i in range(200)], "k int, i int, v int")
+    blocks = [F.expr(b) for b in blocks]
+    split = rolling_rows(df, ["k"], ["i"], 5, STATS, blocks=blocks, hot_rows=20, max_hot=100)
+    got = split.orderBy("i").collect()
+    assert [r.total for r in got] == [min(i + 1, 5) for i in range(200)]
+    marked, labels = _label_blocks(df, ["k"], blocks, 20, 100)
+    sizes = marked.groupBy("k", *labels).count().collect()
+    assert [r["count"] for r in sizes] == [10] * 20
 
 
 def test_first_rows(spark):

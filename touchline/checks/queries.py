@@ -289,7 +289,7 @@ def rolling_form(g):
         ["gameweek", "kickoff_time", "fixture_id"],
         marts.FORM_ROWS,
         stats,
-        block=F.struct("gameweek", "kickoff_time"),
+        blocks=[F.struct("gameweek", "kickoff_time"), F.floor(F.col("fixture_id") / 1_000_000)],
     )
     return rolled.select("player_id", "gameweek", "fixture_id", *stats)
 

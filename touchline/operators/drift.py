@@ -73,19 +73,25 @@ def _text(dtype: T.DataType) -> T.DataType:
 
 
 def _typed(raw: Column, field: T.StructField) -> Column:
-    if isinstance(field.dataType, (T.StructType, T.ArrayType)):
-        value = raw.cast(field.dataType)
-    elif isinstance(field.dataType, T.StringType):
-        value = raw
-    else:
-        kind = field.dataType.simpleString()
-        misfit = F.concat(F.lit(f"{field.name} is not a {kind}: "), raw)
-        value = F.when(raw.isNotNull(), F.coalesce(raw.try_cast(field.dataType), F.raise_error(misfit)))
+    value = _cast(raw, field.dataType, field.name)
     if not field.nullable:
         value = F.coalesce(value, F.raise_error(F.lit(f"required field {field.name} is missing")))
     return value
 
 
+def _cast(raw: Column, dtype: T.DataType, name: str) -> Column:
+    """Text (or nested text) as ``dtype``; raises on a misfit, whether or not ANSI mode is on."""
+    if isinstance(dtype, T.StringType):
+        return raw
+    if isinstance(dtype, T.StructType):
+        parts = [_typed(raw[f.name], f).alias(f.name) for f in dtype.fields]
+        return F.when(raw.isNotNull(), F.struct(*parts))
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(raw, lambda item: _cast(item, dtype.elementType, name))
+    misfit = F.concat(F.lit(f"{name} is not a {dtype.simpleString()}: "), raw)
+    return F.when(raw.isNotNull(), F.coalesce(raw.try_cast(dtype), F.raise_error(misfit)))
+
+
 def quarantine_payload(drifting: DataFrame, table: str, run: Column | str, detected_at: Column) -> DataFrame:
     """Dead-letter rows of the records that drift."""
     return drifting.where(F.col("drift").isNotNull()).select(

@@ -19,42 +19,31 @@ def rolling_rows(
     rows: int,
     stats: Stats,
     *,
-    block: Column | None = None,
+    blocks: Sequence[Column] = (),
     hot_rows: int = 10_000_000,
-    max_hot_keys: int = 1_000,
+    max_hot: int = 1_000,
 ) -> DataFrame:
     """Every row of ``df`` plus ``stats`` over the current and the ``rows - 1`` preceding rows.
 
-    ``order`` lists ascending columns and must be total within a key. Without ``block`` this is one
+    ``order`` lists ascending columns and must be total within a key. Without ``blocks`` this is one
     window partitioned by ``keys``, so one task sorts all rows of a key.
 
-    ``block`` is an expression that never decreases along ``order`` (a day, a gameweek). With it, a
-    key with at least ``hot_rows`` rows and more than 1/``max_hot_keys`` of all rows is windowed
-    block by block in parallel. Each block first receives the ``rows - 1`` rows that precede it, so
-    the result is exactly that of the single window. By its definition the list of hot keys has
-    fewer than ``max_hot_keys`` entries, which bounds its broadcast.
+    ``blocks`` are expressions from coarse to fine that never decrease along ``order``, the finer
+    ones within a block of the coarser (a day, then a range of ids). A key with at least
+    ``hot_rows`` rows and more than 1/``max_hot`` of all rows is windowed block by block in
+    parallel, and a block that is still as large is split by the next expression. Each block first
+    receives the ``rows - 1`` rows that precede it, so the result is exactly that of the single
+    window. By definition there are fewer than ``max_hot`` hot groups, which bounds their broadcast.
     """
-    columns = df.columns
-    if block is None:
+    if not blocks:
         return _window(df, list(keys), order, rows, stats)
-
-    hot = _hot_keys(df, keys, hot_rows, max_hot_keys)
-    same_key = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    marked = (
-        df.withColumn("_at", block)
-        .alias("d")
-        .join(F.broadcast(hot.alias("h")), same_key, "left")
-        .select(
-            *[F.col(f"d.{c}") for c in columns],
-            F.when(F.col("h._hot"), F.struct(F.col("d._at"))).alias("_block"),
-        )
-    )
-    carried = _rows_before_each_block(marked, columns, keys, order, rows - 1)
+    marked, labels = _label_blocks(df, keys, blocks, hot_rows, max_hot)
+    carried = _rows_before_each_block(marked, df.columns, keys, labels, order, rows - 1)
     both = marked.withColumn("_carried", F.lit(False)).unionByName(carried)
     return (
-        _window(both, [*keys, "_block"], order, rows, stats)
+        _window(both, [*keys, *labels], order, rows, stats)
         .where(~F.col("_carried"))
-        .drop("_block", "_carried")
+        .drop("_carried", *labels)
     )
 
 
@@ -63,30 +52,46 @@ def _window(df, keys, order, rows, stats):
     return df.select("*", *[stat(w).alias(name) for name, stat in stats.items()])
 
 
-def _hot_keys(df, keys, hot_rows, max_hot_keys):
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+def _label_blocks(df, keys, blocks, hot_rows, max_hot):
+    """Add one label per level of ``blocks``: the block of a hot group's rows, NULL for the others."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    return sizes.where(
-        (F.col("_n") >= hot_rows) & (F.col("_n") * max_hot_keys > total)
-    ).select(*keys, F.lit(True).alias("_hot"))
+    is_hot = (F.col("_n") >= hot_rows) & (F.col("_n") * max_hot > total)
+    labels: list[str] = []
+    for level, block in enumerate(blocks):
+        groups = [*keys, *labels]
+        undecided = df.where(F.col(labels[-1]).isNotNull()) if labels else df
+        sizes = undecided.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+        hot = sizes.where(is_hot).select(*groups, F.lit(True).alias("_hot"))
+        same_group = [F.col(f"d.{g}").eqNullSafe(F.col(f"h.{g}")) for g in groups]
+        labels.append(f"_block{level}")
+        df = (
+            df.withColumn("_at", block)
+            .alias("d")
+            .join(F.broadcast(hot.alias("h")), same_group, "left")
+            .select(
+                *[F.col(f"d.{c}") for c in df.columns],
+                F.when(F.col("h._hot"), F.struct(F.col("d._at"))).alias(labels[-1]),
+            )
+        )
+    return df, labels
 
 
-def _rows_before_each_block(marked, columns, keys, order, n):
+def _rows_before_each_block(marked, columns, keys, labels, order, n):
     """For every block of a hot key, the ``n`` rows before its first row, labelled with the block.
 
     The last ``n`` rows of each block are enough to find them: any of the ``n`` rows before a block
     is among the last ``n`` of its own block.
     """
     newest_first = [F.col(c).desc() for c in order]
-    tails = first_n_per_key(
-        marked.where(F.col("_block").isNotNull()), [*keys, "_block"], newest_first, n, "_rank"
-    )
+    hot = marked.where(F.col(labels[0]).isNotNull())
+    tails = first_n_per_key(hot, [*keys, *labels], newest_first, n, "_rank")
     along = Window.partitionBy(*keys).orderBy(*order)
     before = F.collect_list(F.struct(*columns)).over(along.rowsBetween(-n, -1))
-    opens_block = ~F.lag("_block").over(along).eqNullSafe(F.col("_block"))
+    block = F.struct(*labels)
+    opens_block = ~F.lag(block).over(along).eqNullSafe(block)
     return (
-        tails.select("_block", before.alias("_before"), opens_block.alias("_opens"))
+        tails.select(*labels, before.alias("_before"), opens_block.alias("_opens"))
         .where("_opens")
-        .select("_block", F.inline("_before"))
+        .select(*labels, F.inline("_before"))
         .withColumn("_carried", F.lit(True))
     )
