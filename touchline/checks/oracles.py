@@ -485,7 +485,7 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""",
     "bootstrap_split": """
-        SELECT 'players' AS "table", c_custkey + i AS id
+        SELECT 'players' AS silver_table, c_custkey + i AS id
         FROM customer CROSS JOIN (VALUES (0), (1)) v(i)
         UNION ALL SELECT 'teams', c_nationkey FROM customer
         UNION ALL SELECT 'matches', c_custkey * 2 FROM customer WHERE c_acctbal >= 0
@@ -508,7 +508,7 @@ ORACLES: dict[str, str] = {
         "ev",
         f"""SELECT '{{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"'
                    || event_type || '","k":' || k || '}}' AS raw_record, {DRIFT_TEXT},
-                   'events' AS "table", '2001-01-01T00:00:00Z' AS run_timestamp,
+                   'events' AS silver_table, '2001-01-01T00:00:00Z' AS run_timestamp,
                    '2001-01-01T00:00:00Z' AS detected_at
             FROM ev WHERE event_type = 'error'""",
     ),

@@ -370,7 +370,7 @@ def top_k(g):
 def bootstrap_split(g):
     parts = [
         drift.conform(bronze.bootstrap_records(g.bootstrap_documents, table), ID_SCHEMA).select(
-            F.lit(table).alias("table"), "id"
+            F.lit(table).alias("silver_table"), "id"
         )
         for table in bronze.BOOTSTRAP_ARRAYS
     ]
@@ -419,7 +419,7 @@ def dlq_payload(g):
         "raw_record",
         _drift_text("new_fields"),
         _drift_text("missing_fields"),
-        "table",
+        F.col("table").alias("silver_table"),
         "run_timestamp",
         "detected_at",
     )
