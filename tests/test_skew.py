@@ -105,7 +105,7 @@ def shuffled_rows(spark, df):
         if name == "AdaptiveSparkPlan":
             nodes.append(node.executedPlan())
             continue
-        if name == "ShuffleQueryStage":
+        if name.endswith("QueryStage"):
             nodes.append(node.plan())
             continue
         if name == "Exchange":
