@@ -25,7 +25,7 @@ def test_bootstrap_split(spark):
     assert [r.element_id for r in bronze.element_ids(df).collect()] == [1, 2]
 
 
-@pytest.mark.parametrize("bad", [{k: v for k, v in BOOT.items() if k != "teams"}, '{"teams": [', "7"])
+@pytest.mark.parametrize("bad", [{k: v for k, v in BOOT.items() if k != "teams"}, '{"teams": [', "7", "{'teams': []}"])
 def test_bad_bootstrap_fails(spark, bad):
     with pytest.raises(FAILURES):
         bronze.bootstrap_records(docs(spark, bad), "teams").collect()

@@ -48,7 +48,22 @@ def test_drifting_records_are_still_conformed(records):
     ]
 
 
-@pytest.mark.parametrize("bad", ['{"id": "x"}', '{"id": 1', "[1, 2", '{"ok": 7.5}'])
+def test_values_are_converted_as_in_a_load(records):
+    df = records(
+        {"id": "12", "name": 1.5, "rate": 3, "ok": True},
+        {"id": -4, "name": {"a": [1]}, "rate": "1e3", "ok": "true"},
+        {"id": None, "name": True, "rate": None, "ok": None},
+        '{"id": 9007199254740993, "name": "", "rate": 0.1}',
+    )
+    assert [tuple(r) for r in drift.conform(df, FIELDS).collect()] == [
+        (12, "1.5", 3.0, True),
+        (-4, '{"a":[1]}', 1000.0, True),
+        (None, "true", None, None),
+        (9007199254740993, "", 0.1, None),
+    ]
+
+
+@pytest.mark.parametrize("bad", ['{"id": "x"}', '{"id": 1', "[1, 2", '{"ok": 7.5}', '{"id": 1.5}', '{"rate": "-"}', "{'id': 1}"])
 def test_bad_values_fail(records, bad):
     with pytest.raises(FAILURES):
         drift.conform(records(bad), FIELDS).collect()

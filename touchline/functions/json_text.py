@@ -1,4 +1,4 @@
-"""Edits on JSON text that leave everything else in the document as it is."""
+"""JSON text: how it is read, and edits that leave everything else in a document as it is."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
+# Read options: only standard quotes, and broken text fails.
+STRICT = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+
 
 def with_fields(document: Column, fields: Mapping[str, Column]) -> Column:
     """JSON text of the object ``document`` with ``fields`` (variants) added or replaced."""

@@ -11,6 +11,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from touchline.functions.json_text import STRICT
+
 # Turns column ``name``, the JSON text of a field, into its final fields held as text.
 Rewrite = Callable[[DataFrame, str, T.StructField], DataFrame]
 
@@ -43,25 +45,69 @@ def conform(
 ) -> DataFrame:
     """Typed columns ``fields`` of every record; other columns of ``records`` are kept in front.
 
-    Scalars are first read as text and then cast, as a warehouse load does: ``"5"`` is a fine
-    integer and ``0.5`` a fine string. A value that does not fit its type fails the job.
+    Values convert as in a warehouse load: ``"5"`` is a fine integer and ``0.5`` a fine string. A
+    value that does not fit its type fails the job, as does a broken record.
     """
     rewrites = rewrites or {}
-    as_text = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if f.name in rewrites else _text(f.dataType))
-            for f in fields
-        ]
-    )
     kept = [c for c in records.columns if c != "record"]
-    parsed = records.withColumn("_parsed", F.from_json("record", as_text, {"mode": "FAILFAST"}))
-    values = {f.name: F.col("_parsed")[f.name] for f in fields}
+    rows = _read(records, T.StructType([_as_read(f, f.name in rewrites) for f in fields]))
+    raw = {f.name: F.col("_row")[f.name] for f in fields}
     for f in fields:
         if f.name in rewrites:
             name = f"_rewritten_{f.name}"
-            parsed = rewrites[f.name](parsed.withColumn(name, values[f.name]), name, f)
-            values[f.name] = F.col(name)
-    return parsed.select(*kept, *[_typed(values[f.name], f).alias(f.name) for f in fields])
+            rows = rewrites[f.name](rows.withColumn(name, raw[f.name]), name, f)
+            raw[f.name] = F.col(name)
+
+    def column(f: T.StructField) -> Column:
+        value = raw[f.name] if _is_scalar(f) else _cast(raw[f.name], f.dataType, f.name)
+        return _present(value, f).alias(f.name)
+
+    return rows.select(*kept, *[column(f) for f in fields])
+
+
+# Types the JSON reader converts itself. Other values are read as text and cast afterwards.
+READ_DIRECTLY = (T.LongType, T.DoubleType, T.BooleanType, T.StringType)
+
+
+def _as_read(field: T.StructField, rewritten: bool) -> T.StructField:
+    if rewritten:
+        return T.StructField(field.name, T.StringType())
+    if isinstance(field.dataType, READ_DIRECTLY):
+        return T.StructField(field.name, field.dataType)
+    return T.StructField(field.name, _text(field.dataType))
+
+
+def _read(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Add ``_row``, the record read as ``schema``.
+
+    The typed read takes a number only where JSON has a number. The few records it cannot take are
+    read again as text and cast field by field. That second path sits in a higher-order function,
+    which keeps the generated code of the usual path small enough to be compiled.
+    """
+    misread = T.StructField("_misread", T.StringType())
+    options = {**STRICT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_misread"}
+    quick = F.from_json("record", T.StructType([*schema.fields, misread]), options)
+    texts = T.StructType([T.StructField(f.name, _text(f.dataType)) for f in schema.fields])
+
+    def cast(row):
+        return F.struct(
+            *[
+                (_cast(row[f.name], f.dataType, f.name) if _is_scalar(f) else row[f.name]).alias(f.name)
+                for f in schema.fields
+            ]
+        )
+
+    missed = F.col("_quick").isNull() | F.col("_quick._misread").isNotNull()
+    again = F.when(missed & F.col("record").isNotNull(), F.array("record"))
+    strict = F.transform(again, lambda r: F.from_json(r, texts, STRICT))
+    taken = F.struct(*[F.col("_quick")[f.name].alias(f.name) for f in schema.fields])
+    return records.withColumn("_quick", quick).withColumn(
+        "_row", F.coalesce(F.transform(strict, cast)[0], taken)
+    )
+
+
+def _is_scalar(field: T.StructField) -> bool:
+    return isinstance(field.dataType, READ_DIRECTLY)
 
 
 def _text(dtype: T.DataType) -> T.DataType:
@@ -72,11 +118,10 @@ def _text(dtype: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def _typed(raw: Column, field: T.StructField) -> Column:
-    value = _cast(raw, field.dataType, field.name)
-    if not field.nullable:
-        value = F.coalesce(value, F.raise_error(F.lit(f"required field {field.name} is missing")))
-    return value
+def _present(value: Column, field: T.StructField) -> Column:
+    if field.nullable:
+        return value
+    return F.coalesce(value, F.raise_error(F.lit(f"required field {field.name} is missing")))
 
 
 def _cast(raw: Column, dtype: T.DataType, name: str) -> Column:
@@ -84,7 +129,9 @@ def _cast(raw: Column, dtype: T.DataType, name: str) -> Column:
     if isinstance(dtype, T.StringType):
         return raw
     if isinstance(dtype, T.StructType):
-        parts = [_typed(raw[f.name], f).alias(f.name) for f in dtype.fields]
+        parts = [
+            _present(_cast(raw[f.name], f.dataType, f.name), f).alias(f.name) for f in dtype.fields
+        ]
         return F.when(raw.isNotNull(), F.struct(*parts))
     if isinstance(dtype, T.ArrayType):
         return F.transform(raw, lambda item: _cast(item, dtype.elementType, name))

@@ -12,7 +12,7 @@ from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from touchline.functions.json_text import with_fields
+from touchline.functions.json_text import STRICT, with_fields
 
 # Endpoints, and the array of the bootstrap document behind each silver table.
 BOOTSTRAP, FIXTURES, SUMMARIES, RUNS = "bootstrap-static", "fixtures", "element-summaries", "runs"
@@ -24,8 +24,6 @@ BOOTSTRAP_ARRAYS = {
 }
 RUN_FORMAT = "%Y-%m-%dT%H:%M:%SZ"
 
-STRICT = {"mode": "FAILFAST"}
-
 
 def run_path(root: str, endpoint: str, run: str) -> str:
     return f"{root}/{endpoint}/run_timestamp={quote(run, safe='')}"
