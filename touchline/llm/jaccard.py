@@ -3,9 +3,10 @@
 Two sets of sizes n and m link when they share at least T = ceil(85 (n + m) / 185) shingles. All
 shingles have one global order, rare ones first (by how many sets hold them, counted over all
 documents in hashed buckets; any order gives the same links). A set's short lists are those of its
-first n - ceil(0.85 n) + 1 shingles: linked sets meet in at least one of them. Spark groups these
-lists; candidates that meet are then searched block by block with DivideSkip, which merges the
-shortest inverted lists of a block with a heap and probes the longest by binary search.
+first n - ceil(0.85 n) + c shingles: linked sets meet in at least c of them (c is 3, or ceil(0.85 n)
+if that is less). Spark groups these lists; candidates that meet often enough are then searched block
+by block with DivideSkip, which merges the shortest inverted lists of a block with a heap and probes
+the longest by binary search.
 
 Equal sets are one class and searched once. In a list that many near copies share, pairs of documents
 known to be connected are not formed again: some leaders are compared with all of the list first, and
@@ -22,14 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm import words
+from touchline.llm import hashed, words
 from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
 
 SHINGLE = 4
 PERCENT = 85
-HEAT_BITS = 16
+HEAT_BITS = 20
+MEETINGS = 3
 LEADERS = 4
-ROUNDS = 12
+OPEN_PAIRS = 4
+BROADCAST_IDS = 1_000_000
 SALTS = 32
 BLOCK = 512
 PIECE = 2_000_000
@@ -101,22 +104,17 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray]) -> list[int]:
 
 
 def heat(docs: DataFrame) -> np.ndarray:
-    """How many sets hold shingles of each of 2**16 hash buckets, over all documents."""
+    """How many sets hold shingles of each of 2**20 hash buckets, over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(1 << HEAT_BITS, np.int64)
+        held = np.zeros((1, 1 << HEAT_BITS), np.int64)
         for batch in in_pieces(batches, PIECE):
             sets = shingle_sets(batch.column(0))
             bucket = (np.concatenate(sets) >> np.uint64(64 - HEAT_BITS)).astype(np.int64)
-            held += np.bincount(bucket, minlength=len(held))
-        met = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(held[met])], ["bucket", "n"])
+            held[0] += np.bincount(bucket, minlength=held.shape[1])
+        yield from hashed.packed(held)
 
-    counted = docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    seen = counted.toArrow()
-    out = np.zeros(1 << HEAT_BITS, np.int64)
-    out[seen.column("bucket").to_numpy()] = seen.column("n").to_numpy()
-    return out
+    return hashed.collected(docs.select("text").mapInArrow(count, hashed.PACKED), 1, 1 << HEAT_BITS)[0]
 
 
 def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
@@ -133,7 +131,8 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
                 sizes.append(n)
                 first.append(mixed.sum(dtype=np.uint64))
                 second.append(words.mix(mixed + np.uint64(words.GOLDEN)).sum(dtype=np.uint64))
-                keep = n - -(-PERCENT * n // 100) + 1 if n else 0
+                least = -(-PERCENT * n // 100)
+                keep = n - least + min(MEETINGS, least)
                 order = np.argsort(heats[(own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)], kind="stable")
                 tokens.append(own[order[:keep]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
@@ -228,13 +227,6 @@ def components(edges: DataFrame) -> DataFrame:
     return names.join(lowest, "name").select("doc", "label")
 
 
-def _may_link(x: str, y: str) -> Column:
-    """Sizes close enough, and enough shingles left from the shared one on."""
-    n, m, p, q = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
-    sizes = (100 * F.least(n, m)) >= (PERCENT * F.greatest(n, m))
-    return sizes & ((100 + PERCENT) * F.least(n - p, m - q) >= PERCENT * (n + m))
-
-
 def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return lists.withColumn("label", F.col("doc"))
@@ -248,29 +240,55 @@ def _open_pairs(rows: DataFrame) -> float:
     return per_list.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0.0
 
 
+def _often_enough(met: DataFrame) -> DataFrame:
+    """Pairs whose lists meet as often as those of linked sets must, and whose sizes allow a link."""
+    pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.min("size").alias("size"))
+    return pairs.filter(F.col("k") >= F.least(F.lit(MEETINGS), F.ceil(F.col("size") * PERCENT / 100))).select("a", "b")
+
+
+def _met(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Rows of two lists that meet, are not known to be connected, and may be of linked sets.
+
+    Sizes must be close, and the meeting must be early: a meeting among the first c of a pair leaves
+    T - c shingles or more behind it in both sets.
+    """
+    both = x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token"))
+    smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    behind = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
+    early = (100 + PERCENT) * (behind + MEETINGS) >= PERCENT * (smaller + larger)
+    apart = F.col("x.label") != F.col("y.label")
+    return both.filter(apart & (100 * smaller >= PERCENT * larger) & early).withColumn("size", smaller)
+
+
 def _led_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Every document of a list with each of the list's leaders, unless they are connected."""
     row = F.struct("doc", "n", "pos", "label")
     chosen = [F.min(F.struct(F.xxhash64("doc", F.lit(turn * LEADERS + i)).alias("h"), row.alias("r"))) for i in range(LEADERS)]
     leaders = rows.groupBy("token").agg(F.array(*chosen).alias("all")).select("token", F.explode("all").alias("x"))
     leaders = leaders.select("token", "x.r.*").distinct()
-    met = rows.alias("y").join(leaders.alias("x"), F.col("x.token") == F.col("y.token"))
-    met = met.filter((F.col("x.label") != F.col("y.label")) & _may_link("x", "y"))
-    return met.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+    met = _met(leaders, rows).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), "size")
+    return _often_enough(met)
 
 
 def _left_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of a list that are not known to be connected.
+    """All pairs that are not known to be connected and may link.
 
-    Only documents outside the list's largest label are paired with the others of the list.
+    Only documents outside a list's largest label are paired with the others of the list.
     """
     per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     largest = per_label.groupBy("token").agg(F.max_by("label", F.struct("m", "label")).alias("main"))
     marked = rows.join(largest, "token").withColumn("minor", F.col("label") != F.col("main"))
-    met = marked.filter("minor").alias("x").join(marked.alias("y"), F.col("x.token") == F.col("y.token"))
     once = ~F.col("y.minor") | (F.col("x.doc") < F.col("y.doc"))
-    met = met.filter(once & (F.col("x.label") != F.col("y.label")) & _may_link("x", "y"))
-    return met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    met = _met(marked.filter("minor"), marked).filter(once)
+    return _often_enough(met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), "size"))
+
+
+def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The documents of the pairs. Their ids are broadcast below a checked number, else joined."""
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return stored(docs.join(ids, "doc_id", "left_semi"), "texts")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -292,21 +310,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = spread.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
     lists = stored(spread.join(shared, "token"), "lists")
     rows_held = lists.count()
-    texts = stored(
-        docs.join(lists.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text"),
-        "texts",
-    )
-    links, labels, labelled = None, None, _labelled(lists, None)
-    for turn in range(ROUNDS):
-        if _open_pairs(labelled) <= rows_held:
-            break
-        fresh = stored(search(_led_pairs(labelled, turn), texts), "links")
-        if fresh.isEmpty():
+    links, labelled, before = None, _labelled(lists, None), float("inf")
+    for turn in range(int(np.log2(rows_held + 1)) + 1):
+        # Leaders are worth a turn while lists hold many more pairs than rows and turns connect them.
+        left = _open_pairs(labelled)
+        if left <= OPEN_PAIRS * rows_held or 2 * left > before:
             break
+        before = left
+        pairs = stored(_led_pairs(labelled, turn), "pairs")
+        fresh = stored(search(pairs, _texts(docs, pairs)), "links")
         links = fresh if links is None else links.unionAll(fresh)
-        labels = stored(components(links), "labels")
-        labelled = stored(_labelled(lists, labels), "labelled")
-    last = stored(search(_left_pairs(labelled), texts), "links")
+        labelled = stored(_labelled(lists, components(links)), "labelled")
+    pairs = stored(_left_pairs(labelled), "pairs")
+    last = stored(search(pairs, _texts(docs, pairs)), "links")
     links = last if links is None else links.unionAll(last)
     # Rows of one id with different texts are one document, so their classes are linked.
     reps = usable.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).select("doc_id", "rep")

@@ -9,12 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm import words
+from touchline.llm import hashed, words
 from touchline.llm.shared import in_pieces, send, ship, text_bytes, unpack
 
 VOCABULARY_BITS = 18
 PAIR_BITS = 22
-SEGMENT_BITS = 14
 SIZE = (1 << VOCABULARY_BITS) + (1 << PAIR_BITS)
 MASS = 20.0
 PIECE = 2_000_000
@@ -51,12 +50,8 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return word, (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64), opens[:-1], found.bounds
 
 
-def count_tables(rows: DataFrame) -> DataFrame:
-    """Counts by bucket over all rows of (``text``, ``target``): ``segment``, ``counts``.
-
-    Each task sends the buckets it has met, in segments of 2**14, and these are added up as they
-    stream in: no task holds more than the tables, whose size is fixed.
-    """
+def count_tables(rows: DataFrame) -> np.ndarray:
+    """Counts of words and pairs by bucket over all rows of (``text``, ``target``): of targets, of all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((2, SIZE), np.int64)
@@ -67,39 +62,10 @@ def count_tables(rows: DataFrame) -> DataFrame:
             for row, chosen in ((0, target), (1, np.ones(len(word), bool))):
                 held[row] += np.bincount(word[chosen], minlength=SIZE)
                 held[row] += np.bincount(pair[chosen & ~opens], minlength=SIZE)
-        met = np.flatnonzero(held[1])
-        cut = np.searchsorted(met, np.arange(0, SIZE + 1, 1 << SEGMENT_BITS))
-        segments, packs = [], []
-        for s in range(len(cut) - 1):
-            own = met[cut[s] : cut[s + 1]]
-            if len(own):
-                low = (own & ((1 << SEGMENT_BITS) - 1)).astype("<u2")
-                packs.append(low.tobytes() + held[0, own].astype("<u4").tobytes() + held[1, own].astype("<u4").tobytes())
-                segments.append(s)
-        if segments:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(segments, pa.int32()), pa.array(packs, pa.binary())], ["segment", "pack"]
-            )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for segment, pack in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = pack.as_buffer()
-                n = raw.size // 10
-                low = np.frombuffer(raw, "<u2", n)
-                counts = np.frombuffer(raw, "<u4", 2 * n, 2 * n).reshape(2, n)
-                if segment not in held:
-                    held[segment] = np.zeros((2, 1 << SEGMENT_BITS), np.int64)
-                held[segment][:, low] += counts
-        for segment, counts in held.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([segment], pa.int32()), pa.array([counts.astype("<f4").tobytes()], pa.binary())],
-                ["segment", "counts"],
-            )
+        yield from hashed.packed(held)
 
-    sent = rows.select("text", "target").mapInArrow(count, "segment int, pack binary")
-    return sent.repartition("segment").mapInArrow(add, "segment int, counts binary")
+    packs = rows.select("text", "target").mapInArrow(count, hashed.PACKED)
+    return hashed.collected(packs, 2, SIZE)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> MatchedModels:
@@ -113,11 +79,7 @@ def train(docs: DataFrame, labels: DataFrame) -> MatchedModels:
     """
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     marked = docs.select("doc_id", "text").join(good.withColumn("target", F.lit(True)), "doc_id", "left")
-    counted = count_tables(marked.select("text", F.coalesce("target", F.lit(False)).alias("target"))).toArrow()
-    counts = np.zeros((2, SIZE), np.float32)
-    width = 1 << SEGMENT_BITS
-    for segment, raw in zip(counted.column(0).to_pylist(), counted.column(1).to_pylist(), strict=True):
-        counts[:, segment * width : (segment + 1) * width] = np.frombuffer(raw, "<f4").reshape(2, width)
+    counts = count_tables(marked.select("text", F.coalesce("target", F.lit(False)).alias("target")))
     kinds = 1 << VOCABULARY_BITS
     mass = counts[:, :kinds].sum(axis=1, dtype=np.float64)
     if mass[1]:
