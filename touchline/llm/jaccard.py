@@ -3,7 +3,7 @@
 Two sets of sizes n and m link when they share at least T = ceil(85 (n + m) / 185) shingles. All
 shingles have one global order, rare ones first (by how many sets hold them, counted over all
 documents in hashed buckets; any order gives the same links). A set's short lists are those of its
-first n - ceil(0.85 n) + c shingles: linked sets meet in at least c of them (c is 3, or ceil(0.85 n)
+first n - ceil(0.85 n) + c shingles: linked sets meet in at least c of them (c is 2, or ceil(0.85 n)
 if that is less). Spark groups these lists; candidates that meet often enough are then searched block
 by block with DivideSkip, which merges the shortest inverted lists of a block with a heap and probes
 the longest by binary search.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,10 @@ from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpa
 SHINGLE = 4
 PERCENT = 85
 HEAT_BITS = 20
-MEETINGS = 3
+MEETINGS = 2
 LEADERS = 4
-OPEN_PAIRS = 4
+OPEN_PAIRS = 32
+SKETCH = ["s0", "s1", "s2", "s3"]
 BROADCAST_IDS = 1_000_000
 SALTS = 32
 BLOCK = 512
@@ -118,19 +120,25 @@ def heat(docs: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
-    """Per row: set size, 128-bit digest of the set, and its short lists' shingles in global order."""
+    """Per row: set size, 128-bit digest, sketch, and its short lists' shingles in global order.
+
+    The sketch has a bit for each of 256 hash buckets: whether an odd number of shingles falls there.
+    Two sets differ in at least as many shingles as their sketches differ in bits.
+    """
     sent = send(docs.sparkSession, heats)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heats = unpack(sent)
         for batch in in_pieces(batches, PIECE):
-            sizes, first, second, tokens = [], [], [], []
+            sizes, first, second, tokens, sketches = [], [], [], [], []
             for own in shingle_sets(batch.column(1)):
                 n = len(own)
                 mixed = words.mix(own)
                 sizes.append(n)
                 first.append(mixed.sum(dtype=np.uint64))
                 second.append(words.mix(mixed + np.uint64(words.GOLDEN)).sum(dtype=np.uint64))
+                odd = np.bincount((mixed >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 least = -(-PERCENT * n // 100)
                 keep = n - least + min(MEETINGS, least)
                 order = np.argsort(heats[(own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)], kind="stable")
@@ -141,13 +149,14 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
                     pa.array(np.array(sizes, np.int64)),
                     pa.array(np.array(first, np.uint64).view(np.int64)),
                     pa.array(np.array(second, np.uint64).view(np.int64)),
+                    *map(pa.array, np.stack(sketches, axis=1)),
                     pa.array(tokens, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "d1", "d2", "tokens"],
+                ["doc_id", "n", "d1", "d2", *SKETCH, "tokens"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        cut, "doc_id long, n long, d1 long, d2 long, tokens array<long>"
+        cut, f"doc_id long, n long, d1 long, d2 long, {' long, '.join(SKETCH)} long, tokens array<long>"
     )
 
 
@@ -249,20 +258,22 @@ def _often_enough(met: DataFrame) -> DataFrame:
 def _met(x: DataFrame, y: DataFrame) -> DataFrame:
     """Rows of two lists that meet, are not known to be connected, and may be of linked sets.
 
-    Sizes must be close, and the meeting must be early: a meeting among the first c of a pair leaves
-    T - c shingles or more behind it in both sets.
+    Sizes must be close, sketches must not differ by more than linked sets can, and the meeting must
+    be early: one among the first c of a pair leaves T - c shingles or more behind it in both sets.
     """
     both = x.alias("x").join(y.alias("y"), F.col("x.token") == F.col("y.token"))
     smaller, larger = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     behind = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
     early = (100 + PERCENT) * (behind + MEETINGS) >= PERCENT * (smaller + larger)
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in SKETCH])
+    close = (100 + PERCENT) * (smaller + larger - differ) >= 2 * PERCENT * (smaller + larger)
     apart = F.col("x.label") != F.col("y.label")
-    return both.filter(apart & (100 * smaller >= PERCENT * larger) & early).withColumn("size", smaller)
+    return both.filter(apart & (100 * smaller >= PERCENT * larger) & early & close).withColumn("size", smaller)
 
 
 def _led_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Every document of a list with each of the list's leaders, unless they are connected."""
-    row = F.struct("doc", "n", "pos", "label")
+    row = F.struct("doc", "n", "pos", "label", *SKETCH)
     chosen = [F.min(F.struct(F.xxhash64("doc", F.lit(turn * LEADERS + i)).alias("h"), row.alias("r"))) for i in range(LEADERS)]
     leaders = rows.groupBy("token").agg(F.array(*chosen).alias("all")).select("token", F.explode("all").alias("x"))
     leaders = leaders.select("token", "x.r.*").distinct()
@@ -308,7 +319,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("doc"), F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "token")
     )
     shared = spread.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    lists = stored(spread.join(shared, "token"), "lists")
+    lists = spread.join(shared, "token").join(chosen.select(F.col("doc_id").alias("doc"), *SKETCH).dropDuplicates(["doc"]), "doc")
+    lists = stored(lists, "lists")
     rows_held = lists.count()
     links, labelled, before = None, _labelled(lists, None), float("inf")
     for turn in range(int(np.log2(rows_held + 1)) + 1):
