@@ -14,8 +14,8 @@ from touchline.llm.shared import in_pieces, send, ship, text_bytes, unpack
 
 BITS = 18
 PREFIXES = (3, 4, 5, 6)
-TOXIC_ROWS = 3_000
-CLEAN_ROWS = 4_000
+TOXIC_ROWS = 2_000
+CLEAN_ROWS = 3_000
 LEAST_G = 20.0
 STEPS = 200
 RATE = 0.1
@@ -87,6 +87,37 @@ def _association(with_toxic: np.ndarray, with_clean: np.ndarray, toxic: int, cle
     return g
 
 
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    for batch in in_pieces(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), PIECE):
+        yield batch.column(0)
+
+
+def _distinct(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The first of each group of equal texts, without those that are empty, and their places."""
+    hashes, rows, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    for piece in _pieces(texts):
+        whole, _ = words.segments(*text_bytes(piece), np.zeros(256, bool))
+        hashes.append(whole.hash)
+        rows.append(whole.owner() + at)
+        at += len(piece)
+    _, first = np.unique(np.concatenate(hashes), return_index=True)
+    kept = np.sort(np.concatenate(rows)[first])
+    return texts.take(pa.array(kept)), kept
+
+
+def _in_pieces(texts: pa.Array) -> Sentences:
+    """Sentences of all texts, made piece by piece to save memory; without byte ranges."""
+    features, owners, bounds, n = [np.zeros((1 + len(PREFIXES), 0), np.int32)], [], [np.zeros(1, np.int64)], 0
+    for piece in _pieces(texts):
+        found = sentences(piece)
+        features.append(found.feature)
+        owners.append((found.sentence + n).astype(np.int32))
+        bounds.append(found.bounds[1:] + n)
+        n += len(found)
+    places = np.zeros(n, np.int8)
+    return Sentences(np.concatenate(features, axis=1), np.concatenate([np.zeros(0, np.int32), *owners]), places, places, np.concatenate(bounds))
+
+
 def fit(texts: pa.Array, toxic: np.ndarray) -> SentenceModel:
     """Maximise the likelihood of document labels under the noisy-or of sentence scores.
 
@@ -98,11 +129,9 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> SentenceModel:
     nothing = SentenceModel(np.zeros(size, np.float32), -30.0)
     if not (toxic == 1).any():
         return nothing
-    whole, _ = words.segments(*text_bytes(texts), np.zeros(256, bool))
-    _, first = np.unique(whole.hash, return_index=True)
-    rows = np.sort(whole.owner()[first])
-    toxic = toxic[rows]
-    found = sentences(texts.take(pa.array(rows)))
+    texts, kept = _distinct(texts)
+    toxic = toxic[kept]
+    found = _in_pieces(texts)
     if not len(found) or not (toxic == 1).any():
         return nothing
     owner = np.repeat(np.arange(len(toxic)), np.diff(found.bounds))
