@@ -82,3 +82,31 @@ def test_labels(spark):
 def test_momentum(spark, bought, sold, want):
     df = spark.createDataFrame([(bought, sold)], "b bigint, s bigint")
     assert df.select(labels.transfer_momentum(F.col("b"), F.col("s"))).first()[0] == want
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_exact_sum_loses_nothing_or_fails(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        total = lambda values: spark.createDataFrame([(v,) for v in values], "x double").agg(
+            scalars.exact_sum(F.col("x"))
+        ).first()[0]
+        assert total([4e-7] * 10) == 4e-6
+        assert total([1e-7, None, 1e13, 1e13]) == 2e13 + 1e-7
+        assert total([None]) is None
+        for bad in ([1e-25], [float("nan")], [9e19, 9e19]):
+            with pytest.raises(Exception, match="exact|large|OUT_OF_RANGE"):
+                total(bad)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_rounding_of_large_values(spark):
+    cases = [(2.0**44 + 0.0078125, 2), (2.0**46 + 0.015625, 2), (5e13 + 0.015625, 2), (2.0**51 + 0.5, 0), (2.0**53, 2)]
+    for x, digits in cases:
+        step = Decimal(1).scaleb(-digits)
+        want = float(Decimal(x).quantize(step, rounding=ROUND_HALF_UP))
+        df = spark.createDataFrame([(x,), (-x,)], "x double")
+        got = [r[0] for r in df.select(scalars.round_half_away(F.col("x"), digits)).collect()]
+        assert got == [want, -want]

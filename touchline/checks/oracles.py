@@ -23,8 +23,8 @@ def per_90(a: str, minutes: str) -> str:
 
 
 def esum(x: str) -> str:
-    """Exact sum of a metric with few decimals."""
-    return f"sum(({x})::DECIMAL(18,6))::DOUBLE"
+    """Exact sum of a metric, to more decimals than the metrics have."""
+    return f"sum(({x})::DECIMAL(38,12))::DOUBLE"
 
 
 def label(code: str, names: list[str]) -> str:

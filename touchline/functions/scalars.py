@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession, functions as F
 from pyspark.sql.window import WindowSpec
 
-MILLIONTHS = 1e6
+EXACT = "decimal(38,18)"
 
 
 def as_number(text: Column) -> Column:
-    """Number held as text -> double. Bad text raises under ANSI mode."""
-    return text.cast("double")
+    """Number held as text -> double. Bad text raises, with ANSI mode on or off."""
+    misfit = F.raise_error(F.concat(F.lit("not a number: "), text)).cast("double")
+    return F.when(text.isNotNull(), F.coalesce(text.try_cast("double"), misfit))
 
 
 def safe_divide(a: Column, b: Column) -> Column:
@@ -23,12 +24,14 @@ def round_half_away(x: Column, digits: int) -> Column:
 
     Spark's ``round`` goes through the shortest decimal text of the double (1.005 -> 1.01), which
     other engines do not. Integer arithmetic on the scaled value gives the same answer everywhere
-    and never yields a negative zero. Values too large to carry ``digits`` decimals pass unchanged.
+    and never yields a negative zero. Where scaling would lose bits the value is rounded as a
+    decimal; from 2**52 on doubles have no fraction and pass unchanged.
     """
     x = x.cast("double")
     scale = F.lit(10.0**digits)
     steps = F.when(x < 0, F.ceil(x * scale - 0.5)).otherwise(F.floor(x * scale + 0.5))
-    return F.when(F.abs(x) < 2.0**52 / 10.0**digits, steps / scale).otherwise(x)
+    large = F.when(F.abs(x) < 2.0**52, F.round(x.try_cast(EXACT), digits).cast("double")).otherwise(x)
+    return F.when(F.abs(x) < 2.0**52 / 10.0**digits, steps / scale).otherwise(large)
 
 
 def price(tenths: Column) -> Column:
@@ -48,13 +51,17 @@ def per_90(total: Column, minutes: Column) -> Column:
 def exact_sum(x: Column, window: WindowSpec | None = None) -> Column:
     """Sum of a double metric that does not depend on task order.
 
-    The feeds publish these metrics as text with at most two decimals. Adding them as doubles gives
-    a last bit that changes with the partitioning (or a retried task) and flips rounded halves, so
-    they are added as whole millionths and scaled back once. That is as fast as a double sum; it
-    holds totals up to nine million millions, beyond which the sum fails.
+    Adding doubles gives a last bit that changes with the partitioning (or a retried task) and flips
+    rounded halves, so values are added as decimals with 18 digits after the point. A value that
+    has more digits, and a total beyond 10**20, fail with ANSI mode on or off; nothing is rounded off.
     """
-    units = F.sum(F.rint(x * MILLIONTHS).cast("bigint"))
-    return (units.over(window) if window else units) / F.lit(MILLIONTHS)
+    exact = x.try_cast(EXACT)
+    lost = F.raise_error(F.concat(F.lit("not exact with 18 decimals: "), x.cast("string"))).cast(EXACT)
+    total, n = F.sum(F.when(x.isNull() | (exact.cast("double") == x), exact).otherwise(lost)), F.count(x)
+    if window is not None:
+        total, n = total.over(window), n.over(window)
+    overflow = F.raise_error(F.lit("metric total is too large")).cast("double")
+    return F.when(n > 0, F.coalesce(total.cast("double"), overflow))
 
 
 def exact_avg(x: Column, window: WindowSpec | None = None) -> Column:

@@ -53,11 +53,17 @@ def _stamped(schema):
 
 
 def write_quarantine(payload: DataFrame, root: str) -> None:
-    """Append dead letters, in few files per table and run. ``raw_record`` is nested JSON."""
+    """Write the dead letters of a table and run, in few files, in place of any earlier ones.
+
+    So a repeated run leaves each letter once. ``raw_record`` is nested JSON; a record that is no
+    JSON value with distinct keys stays as text.
+    """
+    nested = F.coalesce(F.try_parse_json("raw_record"), F.col("raw_record").cast("variant"))
     (
-        payload.withColumn("raw_record", F.parse_json("raw_record"))
+        payload.withColumn("raw_record", nested)
         .hint("rebalance")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("table", "run_timestamp")
         .json(root)
     )
@@ -71,9 +77,12 @@ def load_table(
     run: str,
     db: str,
     quarantine_root: str,
+    show: bool = True,
 ) -> bool:
     """Load ``table`` and quarantine its drifting records; False when there were no records.
 
+    Without ``show`` only the quarantine is written. A step that fails removes the new load.
+
     Bronze is parsed once: the stored load also carries the drift and, for drifting records only,
     their text. The quarantine is filled from there, and the table's view leaves both out.
     """
@@ -91,15 +100,24 @@ def load_table(
         partition_by=PARTITIONED.get(table, ()),
         cluster_by=CLUSTERED.get(table, ()),
     )
-    if tables.discard_if_empty(spark, db, load):
-        return False
-    drifting = spark.table(f"`{db}`.`{load}`").where(F.col("_raw").isNotNull()).select(
-        rewritten_record(table, F.col("_raw")).alias("record"), F.col("_drift").alias("drift")
-    )
-    write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)
-    tables.publish(
-        spark, db, table, load, columns=_stamped(schema), properties={"run_timestamp": run}
-    )
+    try:
+        if tables.discard_if_empty(spark, db, load):
+            return False
+        raw = F.col("_raw")
+        rewritten = F.when(F.try_parse_json(raw).isNull(), raw).otherwise(rewritten_record(table, raw))
+        drifting = spark.table(f"`{db}`.`{load}`").where(raw.isNotNull()).select(
+            rewritten.alias("record"), F.col("_drift").alias("drift")
+        )
+        write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)
+        if show:
+            properties = {"run_timestamp": run}
+            tables.publish(spark, db, table, load, columns=_stamped(schema), properties=properties)
+        else:
+            tables.drop_load(spark, db, load)
+    except Exception:
+        if tables.view_property(spark, db, table, "load_table") != load:
+            tables.drop_load(spark, db, load)
+        raise
     return True
 
 
@@ -112,8 +130,9 @@ def load_run(
     quarantine_root: str,
     db: str = "silver",
     read: Reader = bronze.read_documents,
+    show: bool = True,
 ) -> Mapping[str, bool]:
-    """Load every silver table of one run; tells which were replaced."""
+    """Load every silver table of one run; tells which had records. ``show=False``: dead letters only."""
     if not run:
         raise ValueError("run_timestamp is missing")
     return {
@@ -125,6 +144,7 @@ def load_run(
             run,
             db,
             quarantine_root,
+            show,
         )
         for table in SILVER_TABLES
     }

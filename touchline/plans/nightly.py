@@ -1,7 +1,10 @@
 """The whole refresh for one landed run: silver, quarantine, gold.
 
     spark-submit --py-files touchline.zip touchline/plans/nightly.py \
-        --run 2025-08-15T03:00:00Z --bronze <dir> --registry <dir> --quarantine <dir>
+        --run 2025-08-15T03:00:00Z --bronze <dir> --registry <dir> --quarantine <dir> \
+        [--layout lines|files] [--as-of <time>] [--backfill]
+
+``--backfill`` loads ``player_history`` instead.
 """
 
 from __future__ import annotations
@@ -13,7 +16,10 @@ from collections.abc import Mapping
 from pyspark.sql import SparkSession
 
 from touchline.plans.gold import build_gold
-from touchline.plans.load import load_run, missing_summaries
+from touchline.plans.load import Reader, load_player_history, load_run, missing_summaries
+from touchline.sources import bronze
+
+LAYOUTS = {"lines": bronze.read_documents, "files": bronze.read_files}
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +34,7 @@ def refresh(
     silver_db: str = "silver",
     gold_db: str = "gold",
     as_of=None,
+    read: Reader = bronze.read_documents,
 ) -> Mapping[str, bool]:
     """Load ``run`` and rebuild gold. Any failure stops before the next stage."""
     replaced = load_run(
@@ -37,11 +44,12 @@ def refresh(
         registry_root=registry_root,
         quarantine_root=quarantine_root,
         db=silver_db,
+        read=read,
     )
     for table, done in replaced.items():
         if not done:
             log.warning("no records for %s in run %s: kept the old contents", table, run)
-    missing = missing_summaries(spark, bronze_root, run).count()
+    missing = missing_summaries(spark, bronze_root, run, read).count()
     if missing:
         log.warning("%d players of run %s have no summary", missing, run)
     build_gold(spark, silver_db=silver_db, gold_db=gold_db, as_of=as_of)
@@ -55,8 +63,16 @@ def main(arguments: list[str] | None = None) -> None:
         parser.add_argument(f"--{root}", required=True, dest=f"{root}_root")
     parser.add_argument("--silver-db", default="silver")
     parser.add_argument("--gold-db", default="gold")
+    parser.add_argument("--layout", choices=sorted(LAYOUTS), default="lines")
+    parser.add_argument("--as-of", default=None)
+    parser.add_argument("--backfill", action="store_true")
     options = vars(parser.parse_args(arguments))
-    refresh(SparkSession.builder.getOrCreate(), options.pop("run"), **options)
+    spark, run, read = SparkSession.builder.getOrCreate(), options.pop("run"), LAYOUTS[options.pop("layout")]
+    if options.pop("backfill"):
+        roots = {k: options[k] for k in ("bronze_root", "registry_root")}
+        load_player_history(spark, run, **roots, db=options["silver_db"], read=read)
+    else:
+        refresh(spark, run, read=read, **options)
 
 
 if __name__ == "__main__":

@@ -82,7 +82,8 @@ def history_records(documents: DataFrame, **parent: str) -> DataFrame:
     """Records of the ``history`` array of player documents.
 
     A document without ``history`` gives no rows; ``"history": null`` fails. ``parent`` maps an
-    output column to a number field of the document, e.g. ``player_id="element_id"``.
+    output column to a number field of the document, e.g. ``player_id="element_id"``; a document
+    that has none fails.
     """
     carried = [f"`{field}` bigint" for field in parent.values()]
     parsed = documents.select(
@@ -96,7 +97,10 @@ def history_records(documents: DataFrame, **parent: str) -> DataFrame:
         .when(declared, F.raise_error(F.lit("history is not an array")))
         .otherwise(F.array().cast("array<string>"))
     )
-    columns = [F.col("doc")[field].alias(name) for name, field in parent.items()]
+    columns = [
+        F.coalesce(F.col("doc")[field], F.raise_error(F.lit(f"document has no {field}")).cast("bigint")).alias(name)
+        for name, field in parent.items()
+    ]
     return parsed.select(*columns, F.explode(rows).alias("record"))
 
 

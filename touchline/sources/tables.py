@@ -2,7 +2,9 @@
 
 ``<db>.<table>`` is a view over the latest complete load. A refresh writes a new table next to it
 and repoints the view when that write has finished, so a failed job leaves the old contents in
-place and readers never see half a load.
+place and readers never see half a load. The view names its load and the one before it; these two
+are kept, and publishing drops only the load before those, so refreshes that overlap leave each
+other's loads alone.
 """
 
 from __future__ import annotations
@@ -12,8 +14,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-KEPT_LOADS = 2
-
 
 def ensure_database(spark: SparkSession, db: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
@@ -61,21 +61,30 @@ def publish(
     properties: Mapping[str, str] | None = None,
 ) -> None:
     """Make ``load`` the contents of ``db.table`` (only ``columns``, if given)."""
+    shown_before = view_property(spark, db, table, "load_table")
+    older = view_property(spark, db, table, "previous_load")
     described = {"load_table": load, **(properties or {})}
+    if shown_before and shown_before != load:
+        described["previous_load"] = shown_before
     listed = ", ".join(f"'{k}' = '{v}'" for k, v in described.items())
     shown = ", ".join(f"`{c}`" for c in columns) or "*"
     spark.sql(
         f"CREATE OR REPLACE VIEW `{db}`.`{table}` TBLPROPERTIES ({listed}) "
         f"AS SELECT {shown} FROM `{db}`.`{load}`"
     )
-    _drop_old_loads(spark, db, table)
+    if older and older not in (load, shown_before):
+        drop_load(spark, db, older)
+
+
+def drop_load(spark: SparkSession, db: str, load: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{load}`")
 
 
 def discard_if_empty(spark: SparkSession, db: str, load: str) -> bool:
     """Drop a load without rows, so that the previous contents stay."""
     empty = spark.table(f"`{db}`.`{load}`").isEmpty()
     if empty:
-        spark.sql(f"DROP TABLE `{db}`.`{load}`")
+        drop_load(spark, db, load)
     return empty
 
 
@@ -84,15 +93,6 @@ def replace(spark: SparkSession, df: DataFrame, db: str, table: str) -> None:
     publish(spark, db, table, write_load(spark, df, db, table))
 
 
-def _drop_old_loads(spark, db, table):
-    prefix = f"{table}__load_"
-    names = sorted(
-        t.name for t in spark.catalog.listTables(db, f"{prefix}*") if t.name.startswith(prefix)
-    )
-    for name in names[:-KEPT_LOADS]:
-        spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{name}`")
-
-
 def view_property(spark: SparkSession, db: str, table: str, key: str) -> str | None:
     """A property set by the last refresh, or None when there is no such table or property."""
     if not spark.catalog.tableExists(f"`{db}`.`{table}`"):

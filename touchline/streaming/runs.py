@@ -1,12 +1,12 @@
-"""Incremental loading: follow announced runs and refresh silver with the newest one."""
+"""Incremental loading: follow announced runs and refresh silver with each."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.plans.load import SILVER_TABLES, load_run
-from touchline.sources import tables
+from touchline.plans.load import SILVER_TABLES, Reader, load_run
+from touchline.sources import bronze, tables
 from touchline.sources.bronze import RUNS
 
 
@@ -19,32 +19,36 @@ def follow_runs(
     checkpoint: str | None = None,
     db: str = "silver",
     trigger: dict | None = None,
+    read: Reader = bronze.read_documents,
 ) -> StreamingQuery:
     """Start the loader. By default it handles all runs announced so far and stops.
 
     The stream reads the marks written by ``announce_run``, which follow a complete snapshot, so a
-    run is never loaded in part whatever the number of its files. Silver is a full refresh: of the
-    runs in a batch only the newest is loaded, and none older than what silver already holds. A
-    repeated batch after a failure loads the same run again. Progress is kept in ``checkpoint``, by
+    run is never loaded in part whatever the number of its files. The runs of a batch are loaded one
+    after the other, oldest first; of a run older than what silver holds only the dead letters are
+    written. A repeated batch after a failure loads the same runs again, with the same result. Progress is kept in ``checkpoint``, by
     default a folder below the session's ``spark.checkpoint.dir``.
     """
     checkpoint = checkpoint or f"{spark.conf.get('spark.checkpoint.dir')}/follow_runs/{db}"
 
-    def load_newest(batch: DataFrame, _: int) -> None:
-        newest = batch.agg(F.max("run_timestamp")).first()[0]
-        if newest and newest >= loaded_run(spark, db):
+    def load_runs(batch: DataFrame, _: int) -> None:
+        # One row per announced run, not per document.
+        announced = batch.filter("run_timestamp != ''").select("run_timestamp").distinct().collect()
+        for run in sorted(row["run_timestamp"] for row in announced):
             load_run(
                 spark,
-                newest,
+                run,
                 bronze_root=bronze_root,
                 registry_root=registry_root,
                 quarantine_root=quarantine_root,
                 db=db,
+                read=read,
+                show=run >= loaded_run(spark, db),
             )
 
     marks = spark.readStream.schema("run_timestamp string").json(f"{bronze_root}/{RUNS}")
     return (
-        marks.writeStream.foreachBatch(load_newest)
+        marks.writeStream.foreachBatch(load_runs)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
