@@ -11,6 +11,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from touchline.llm.shared import stored
+
 WINDOW = 8
 SHORTEST = 4
 MIN_COVER = 0.5
@@ -32,39 +34,37 @@ def tagged(text: Column) -> Column:
     after a number or after the blank that follows it. Marks are dropped.
     """
     out = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", " ")
-    out = F.regexp_replace(out, r"(?<=[\p{Ll},;] )(\p{Lu}[\p{L}'\u2019-]*)", f"{NAME}{VALUE}$1")
+    out = F.regexp_replace(out, r"(?=\p{Lu})(?<=[\p{Ll},;] )(\p{Lu}[\p{L}'\u2019-]*)", f"{NAME}{VALUE}$1")
     out = F.regexp_replace(out, r"[0-9]+(?:[.,][0-9]+)*", f"{NUMBER}{VALUE}$0{VALUE}")
     out = F.regexp_replace(
-        out, f"(?i)(?<={VALUE}|{VALUE}[ \\t])({UNITS}|[%$\u20ac\u00a3])(?![\\p{{L}}\\p{{N}}])", f"{UNIT}{VALUE}$1"
+        out, f"(?i){VALUE}([ \\t]?)({UNITS}|[%$\u20ac\u00a3])(?![\\p{{L}}\\p{{N}}])", f"{VALUE}$1{UNIT}{VALUE}$2"
     )
     out = F.regexp_replace(out, f"[^\\p{{L}}\\p{{N}}\\s\u0001-\u0004]+", "")
     return F.lower(F.trim(F.regexp_replace(out, r"\s+", " ")))
 
 
-def templated(tags: Column) -> Column:
-    """Words of a tagged text without the values. As many as the tagged text has."""
-    return F.regexp_replace(tags, f"{VALUE}[^ ]*", "")
-
-
 def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
-    """Tagged and templated words of each text, as they read ``after`` another word."""
-    tags = df.select(key, tagged(F.concat(F.lit(after), F.coalesce("text", F.lit("")))).alias("tags"))
-    skip = 2 if after else 1
-    words = [F.split("tags", " ").alias("tags"), F.split(templated(F.col("tags")), " ").alias("words")]
-    split = tags.filter("tags != ''").select(key, *words)
-    return split.select(key, *[F.expr(f"slice({c}, {skip}, size({c}))").alias(c) for c in ("tags", "words")])
+    """Tagged words of each text, as they read ``after`` another word, and a hash of each without its value.
+
+    No filter stands on the words here: it would be pushed below and tag every text a second time.
+    """
+    tags = F.split(tagged(F.concat(F.lit(after), F.coalesce("text", F.lit("")))), " ")
+    if after:
+        tags = F.slice(tags, 2, 1 << 30)
+    template = lambda word: F.xxhash64(F.substring_index(word, VALUE, 1))
+    return df.select(key, tags.alias("tags")).select(key, "tags", F.transform("tags", template).alias("words"))
 
 
 def _windows(rows: DataFrame, key: str, size: int, place: str) -> DataFrame:
     """All windows of ``size`` words: their hash, place and tagged words."""
     at = F.col(place)
-    spread = rows.select(key, "tags", "words", F.posexplode("words").alias(place, "_word"))
-    parts = [F.get("words", at + j) for j in range(size)]
-    literal = sum((F.when(p < "\u0004", 0).otherwise(1) for p in parts), F.lit(0))
-    return spread.filter(at <= F.size("words") - size).select(
+    last = F.size("words") - size
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last))
+    literal = sum((F.when(F.get("tags", at + j) < VALUE, 0).otherwise(1) for j in range(size)), F.lit(0))
+    return rows.select(key, "tags", "words", F.explode(starts).alias(place)).select(
         key,
         place,
-        F.xxhash64(*parts).alias("window"),
+        F.xxhash64(*[F.get("words", at + j) for j in range(size)]).alias("window"),
         (2 * literal >= size).alias("_literal"),
         F.slice("tags", at + 1, size).alias(f"{place}_tags"),
     )
@@ -96,16 +96,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     texts match nothing; other columns are not read. An empty table gives no pairs.
     """
     asked = benchmark.filter("item_id is not null").select("item_id", "text").dropDuplicates(["item_id"])
-    long_enough = F.size("words") >= SHORTEST
-    size = F.least(F.size("words"), F.lit(WINDOW))
-    items = _words(asked, "item_id").filter(long_enough).withColumn("size", size)
     # Inside a document an item's first word may read as a name: both readings are sought.
-    quoted = _words(asked, "item_id", "a ").filter(long_enough).withColumn("size", size)
+    read = _words(asked, "item_id").withColumn("quoted", F.lit(False))
+    quoted = _words(asked, "item_id", "a ").withColumn("quoted", F.lit(True))
+    both = read.unionAll(quoted).withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
+    both = stored(both.filter(F.col("size") >= SHORTEST), "items")
+    items = both.filter("not quoted")
     # At most WINDOW - SHORTEST + 1 different sizes.
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     rows = _words(docs, "doc_id")
-    both = items.unionAll(quoted)
-    found = [_matches(rows, both.filter(F.col("size") == s).drop("size"), s) for s in sizes or [WINDOW]]
+    found = [_matches(rows, both.filter(F.col("size") == s), s) for s in sizes or [WINDOW]]
     matches = reduce(DataFrame.unionAll, found)
     is_slot = lambda x: x["item_at_tags"].contains(VALUE)
     slots = F.filter(F.arrays_zip("item_at_tags", "doc_at_tags"), is_slot)
@@ -141,6 +141,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
 def _item_windows(items: DataFrame) -> DataFrame:
     """How many windows of each item can match at all."""
     at = F.sequence(F.lit(0), F.size("words") - F.col("size"))
-    literal = lambda i: F.size(F.filter(F.slice("words", i + 1, F.col("size")), lambda w: w >= "\u0004"))
+    literal = lambda i: F.size(F.filter(F.slice("tags", i + 1, F.col("size")), lambda w: w >= VALUE))
     usable = F.filter(at, lambda i: 2 * literal(i) >= F.col("size"))
     return items.select("item_id", F.size(usable).cast("long").alias("windows"))
