@@ -98,22 +98,20 @@ def words_of(text: Column) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc_id``, place and words of every line that has a word."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", "line", words_of(F.col("line")).alias("words")).filter(
-        "words[0] != ''"
-    )
+    """``doc_id``, place and text of every line."""
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
     """One row per pair of neighbouring words, with the hashes of the pair and of the triple it opens."""
     at = F.col("_at")
-    spread = rows.withColumn("_n", F.size("words")).select("*", F.posexplode("words").alias("_at", "_w"))
-    nth = lambda j: F.get("words", at + j)
-    return spread.filter(at < F.col("_n") - 1).withColumns(
+    hashed = rows.withColumn("_words", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
+    last = F.size("_words") - 2
+    nth = lambda j: F.get("_words", at + j)
+    return hashed.select("*", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("_at")).withColumns(
         {
             "_pair": F.xxhash64(nth(0), nth(1)),
-            "_triple": F.when(at < F.col("_n") - 2, F.xxhash64(nth(0), nth(1), nth(2))),
+            "_triple": F.when(at < last, F.xxhash64(nth(0), nth(1), nth(2))),
         }
     )
 
@@ -153,9 +151,13 @@ def train(docs: DataFrame, corpus_rows: int = CORPUS_ROWS) -> LicenceModel:
         .withColumn("words", F.expr("slice(words, head + 1, size(words) - head - tail)"))
         .select(F.concat_ws("/", "family", "template", "head", "tail").alias("row"), "family", "words")
     )
-    lines = paragraphs(docs).select("line", "words").distinct()
-    lines = lines.orderBy(F.xxhash64("line"), "line").limit(corpus_rows)
-    ordinary = lines.select(F.concat(F.lit("line/"), "line").alias("row"), F.lit(NONE).alias("family"), "words")
+    # Hashes are ranked before the lines themselves are fetched, so that whole texts are not shuffled.
+    lines = paragraphs(docs).select("line", F.xxhash64("line").alias("h")).filter(F.col("line").rlike(r"[\p{L}\p{N}]"))
+    first = stored(lines.select("h").distinct().orderBy("h").limit(corpus_rows), "line_hashes")
+    lines = lines.join(F.broadcast(first), "h", "left_semi").distinct().orderBy("h", "line").limit(corpus_rows)
+    ordinary = lines.select(
+        F.concat(F.lit("line/"), "line").alias("row"), F.lit(NONE).alias("family"), words_of(F.col("line")).alias("words")
+    )
     rows = stored(cuttings.unionAll(ordinary), "licence_rows")
     counted = (
         _grams(rows, ["row", "family"]).join(vocabulary, ["n", "gram"]).groupBy("row", "family", "feature").count()
@@ -225,7 +227,8 @@ def scan(docs: DataFrame, model: LicenceModel, least_similarity: float = LEAST_S
             F.col("gram").alias("_triple"), F.col("feature").alias("feature3"), *[F.col(w).alias(f"t{w}") for w in names]
         )
     )
-    hits = _pairs(paragraphs(docs).drop("line")).select("doc_id", "paragraph", "_at", "_pair", "_triple").join(
+    lines = paragraphs(docs).select("doc_id", "paragraph", words_of(F.col("line")).alias("words"))
+    hits = _pairs(lines).select("doc_id", "paragraph", "_at", "_pair", "_triple").join(
         pair_weights, "_pair"
     )
     hits = hits.join(triple_weights, "_triple", "left")
