@@ -113,6 +113,44 @@ def test_lm_scoring_prefers_the_target(spark):
     assert all(math.isclose(r.score, r.target_entropy - r.background_entropy, abs_tol=1e-9) for r in got.values())
 
 
+def brute_entropies(rows, targets, scored):
+    """Mean losses of texts under exact bigram models."""
+    def pairs(text):
+        found = [w.lower() for w in WORD.findall(text)]
+        return list(zip([None, *found], found))
+
+    both = [[p for i, t in rows if i in targets for p in pairs(t)], [p for _, t in rows for p in pairs(t)]]
+    mass, kinds, out = len(both[0]), len({w for _, w in both[1]}) + 1, {}
+    counts = [(Counter(b), Counter(w for _, w in b), Counter(v for v, _ in b if v), mass / len(b)) for b in both]
+    for i, text in scored:
+        means = []
+        for pair, word, context, x in counts:
+            loss = 0.0
+            for v, w in pairs(text):
+                alone = (word[w] * x + 1 / kinds) / (mass + 1)
+                loss -= math.log(alone if v is None else (pair[v, w] * x + 20 * alone) / (context[v] * x + 20))
+            means.append(loss / max(len(pairs(text)), 1))
+        out[i] = means
+    return out
+
+
+def test_lm_counts_are_exact_beyond_any_table(spark):
+    # More words than the 2**18 buckets of a fixed table.
+    wide = [(100 + i, " ".join(f"w{i}x{j}" for j in range(3_000))) for i in range(100)]
+    rows = [(1, "the first of the words"), (2, "The other one of the words"), *wide]
+    new = [(7, "the words never seen of w3x5 w3x6"), (8, "")]
+    model = lm_scoring.train(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, 1), (103, 1)], "doc_id long, quality int")
+    )
+    assert model.kinds == model.words.count() == 300_006
+    for scored in (rows, new):
+        got = lm_scoring.score(spark.createDataFrame(scored, "doc_id long, text string"), model).collect()
+        want = brute_entropies(rows, {1, 103}, scored)
+        assert len(got) == len(scored)
+        for r in got:
+            assert [r.target_entropy, r.background_entropy] == pytest.approx(want[r.doc_id], abs=1e-9)
+
+
 def test_bpe_equals_the_library(docs, texts):
     library = Tokenizer.from_file(BPE_FILE)
     got = {r.doc_id: r for r in bpe.encode_documents(docs, bpe.read_vocabulary(BPE_FILE)).collect()}

@@ -1,4 +1,9 @@
-"""Cross-entropy difference of documents under matched target and background bigram models."""
+"""Cross-entropy difference of documents under matched target and background bigram models.
+
+Counts are kept as rows, one per word and one per pair of neighbouring words, so the models grow with
+the corpus and no two words share a count. A word is known by the 64 bits of its hash, a pair by those
+of both of its words.
+"""
 
 from __future__ import annotations
 
@@ -7,84 +12,165 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from touchline.llm import hashed, words
-from touchline.llm.shared import in_pieces, send, ship, text_bytes, unpack
+from touchline.llm import words
+from touchline.llm.shared import in_pieces, ship, stored, text_bytes
 
-VOCABULARY_BITS = 18
-PAIR_BITS = 22
-SIZE = (1 << VOCABULARY_BITS) + (1 << PAIR_BITS)
 MASS = 20.0
 PIECE = 2_000_000
+#: A key with more than this share of all tokens is joined by broadcast: at most so many keys have it.
+HOT_KEYS = 1 << 14
+#: Stands before the first word of a text; no word has it as its hash.
+OPENING = 0
 
 
 @dataclass
 class MatchedModels:
-    """Counts of words, then of pairs, by bucket; row 0 target, row 1 background, of equal mass."""
+    """Counts in the target and in all documents: of pairs, of words, and of words as context.
 
-    counts: np.ndarray
+    ``mass`` is the number of tokens of each, ``kinds`` the number of different words.
+    """
 
-    def losses(self, word: np.ndarray, pair: np.ndarray, opens: np.ndarray) -> np.ndarray:
-        """Loss in nats of every token under both models; a text's first token has no context."""
-        out = np.zeros((2, len(word)))
-        kinds = 1 << VOCABULARY_BITS
-        for row, counts in enumerate(self.counts):
-            total = float(counts[:kinds].sum(dtype=np.float64))
-            alone = (counts[word] + 1.0 / kinds) / (total + 1.0)
-            context = np.concatenate([[0.0], counts[word[:-1]]])
-            joint = (counts[kinds + pair] + MASS * alone) / (context + MASS)
-            out[row] = -np.log(np.where(opens, alone, np.minimum(joint, 1.0)))
-        return out
+    pairs: DataFrame
+    words: DataFrame
+    contexts: DataFrame
+    mass: tuple[int, int]
+    kinds: int
+
+    def hot(self, total: Column) -> Column:
+        return total * HOT_KEYS >= self.mass[1]
+
+    def losses(self, pairs: DataFrame) -> DataFrame:
+        """Loss in nats of the word of each counted pair under both models.
+
+        Both share the vocabulary (all words, and one for those never seen), order and smoothing; the
+        background's counts are scaled to the target's mass. A text's first word has no context.
+        """
+        rows = pairs.select("prev", "word", "target", "total")
+        rows = _looked_up(rows, self.words, ["word"], {"target": "word_target", "total": "word_total"}, self.hot)
+        rows = _looked_up(rows, self.contexts, ["prev"], {"target": "prev_target", "total": "prev_total"}, self.hot)
+        scale = self.mass[0] / self.mass[1] if self.mass[1] else 0.0
+        out = []
+        for name, x in (("target", 1.0), ("total", scale)):
+            alone = (F.coalesce(f"word_{name}", F.lit(0)) * x + 1.0 / (self.kinds + 1)) / (self.mass[0] + 1.0)
+            context = F.coalesce(f"prev_{name}", F.lit(0)) * x
+            joint = (F.col(name) * x + MASS * alone) / (context + MASS)
+            out.append(-F.log(F.when(F.col("prev") == OPENING, alone).otherwise(joint)))
+        return rows.select("prev", "word", "total", out[0].alias("loss"), out[1].alias("background_loss"))
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, keys: list[str], values: dict[str, str], hot) -> DataFrame:
+    """Left join of ``rows`` with ``table`` by ``keys``; no hot key has its rows in one task.
+
+    Hot keys (at most HOT_KEYS) are joined by broadcast; their rows are dealt by all their columns into
+    the join of the others, whose result is not used for them.
+    """
+    own = rows.columns
+    is_hot = hot(F.col("total"))
+
+    def side(found: DataFrame, mark: str) -> DataFrame:
+        return found.select(*[F.col(k).alias(f"_{mark}{k}") for k in keys], *[F.col(v).alias(f"_{mark}v_{v}") for v in values])
+
+    few, many = F.broadcast(side(table.filter(is_hot), "h")), side(table.filter(~is_hot), "c")
+    known = F.col(f"_hv_{next(iter(values))}").isNotNull()
+    spread = rows.join(few, [F.col(k) == F.col(f"_h{k}") for k in keys], "left").select(
+        *own,
+        *[f"_hv_{v}" for v in values],
+        *[F.when(known, F.xxhash64(*own)).otherwise(F.col(k)).alias(f"_k{k}") for k in keys],
+    )
+    joined = spread.join(many, [F.col(f"_k{k}") == F.col(f"_c{k}") for k in keys], "left")
+    return joined.select(*own, *[F.coalesce(f"_hv_{v}", f"_cv_{v}").alias(name) for v, name in values.items()])
 
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket of each lower-cased word and of the pair it ends, where texts open, where they meet."""
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each lower-cased word and of the one before it, and the places where texts meet."""
     data, offsets = text_bytes(column)
     found, _ = words.segments(words.LOWER[data], offsets, words.SPACE)
-    word = (found.hash >> np.uint64(64 - VOCABULARY_BITS)).astype(np.int64)
-    before = np.concatenate([[np.uint64(0)], found.hash[:-1]]).astype(np.uint64)
-    pair = words.mix(found.hash + words.mix(before ^ np.uint64(words.GOLDEN)))
-    opens = np.zeros(len(word) + 1, bool)
-    opens[found.bounds[:-1]] = True
-    return word, (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64), opens[:-1], found.bounds
+    word = np.where(found.hash == OPENING, np.uint64(1), found.hash).view(np.int64)
+    prev = np.concatenate([[OPENING], word])[:-1].astype(np.int64)
+    prev[found.bounds[:-1][np.diff(found.bounds) > 0]] = OPENING
+    return word, prev, found.bounds
 
 
-def count_tables(rows: DataFrame) -> np.ndarray:
-    """Counts of words and pairs by bucket over all rows of (``text``, ``target``): of targets, of all."""
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts rows by ``columns``, and where in it each different row begins."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for column in columns:
+        held = column[order]
+        new[1:] |= held[1:] != held[:-1]
+    return order, np.flatnonzero(new)
+
+
+def count_pairs(rows: DataFrame) -> DataFrame:
+    """How often each pair occurs in the targets and in all rows of (``text``, ``target``)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, SIZE), np.int64)
         for batch in in_pieces(batches, PIECE):
-            word, pair, opens, bounds = _tokens(batch.column(0))
-            target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
-            pair = pair + (1 << VOCABULARY_BITS)
-            for row, chosen in ((0, target), (1, np.ones(len(word), bool))):
-                held[row] += np.bincount(word[chosen], minlength=SIZE)
-                held[row] += np.bincount(pair[chosen & ~opens], minlength=SIZE)
-        yield from hashed.packed(held)
+            word, prev, bounds = _tokens(batch.column(0))
+            if not len(word):
+                continue
+            target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
+            order, at = _runs(word, prev)
+            total = np.diff(np.append(at, len(order)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (prev[order][at], word[order][at], np.add.reduceat(target[order], at), total)],
+                ["prev", "word", "target", "total"],
+            )
+
+    pieces = rows.select("text", "target").mapInArrow(count, "prev long, word long, target long, total long")
+    return _added(pieces, "prev", "word")
+
 
-    packs = rows.select("text", "target").mapInArrow(count, hashed.PACKED)
-    return hashed.collected(packs, 2, SIZE)
+def _added(counts: DataFrame, *keys: str) -> DataFrame:
+    return counts.groupBy(*keys).agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> MatchedModels:
     """Models over all documents: target are those labelled of good quality, background is all.
 
-    Both share one vocabulary (2**18 buckets of word hashes; pairs in 2**22), order and smoothing,
-    and the background's counts are scaled to the target's mass, so the two are matched. What
-    reaches the driver and is broadcast has a fixed size, 36 MB. Labels that are NULL say nothing; a
-    document with several labels is a target if one says so. Without a target both models are the
-    uniform one.
+    Labels that are NULL say nothing; a document with several labels is a target if one says so.
+    Without a target both models are the uniform one. Only totals reach the driver.
     """
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     marked = docs.select("doc_id", "text").join(good.withColumn("target", F.lit(True)), "doc_id", "left")
-    counts = count_tables(marked.select("text", F.coalesce("target", F.lit(False)).alias("target")))
-    kinds = 1 << VOCABULARY_BITS
-    mass = counts[:, :kinds].sum(axis=1, dtype=np.float64)
-    if mass[1]:
-        counts[1] *= mass[0] / mass[1]
-    return MatchedModels(counts)
+    pairs = stored(count_pairs(marked.select("text", F.coalesce("target", F.lit(False)).alias("target"))), "pairs")
+    single = stored(_added(pairs, "word"), "words")
+    contexts = stored(_added(pairs.filter(F.col("prev") != OPENING), "prev"), "contexts")
+    n = single.agg(F.sum("target").alias("target"), F.sum("total").alias("total"), F.count(F.lit(1)).alias("kinds")).first()
+    return MatchedModels(pairs, single, contexts, (n["target"] or 0, n["total"] or 0), n["kinds"])
+
+
+def _document_pairs(docs: DataFrame) -> DataFrame:
+    """Each row's different pairs and how often it holds them, and one row ``head`` with its id and tokens."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_pieces(batches, PIECE):
+            word, prev, bounds = _tokens(batch.column(2))
+            row = batch.column(0).to_numpy()
+            n = np.diff(bounds)
+            owner = np.repeat(row, n)
+            order, at = _runs(word, prev, owner)
+            heads, often = len(row), np.diff(np.append(at, len(order)))
+            first = order[at]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([row, owner[first]])),
+                    pa.concat_arrays([batch.column(1).cast(pa.int64()), pa.nulls(len(at), pa.int64())]),
+                    # The key of a head stands for no pair and spreads the heads.
+                    pa.array(np.concatenate([row, prev[first]])),
+                    pa.array(np.concatenate([row, word[first]])),
+                    pa.array(np.concatenate([n, often]).astype(np.int64)),
+                    pa.array(np.arange(heads + len(at)) < heads),
+                ],
+                ["row", "doc_id", "prev", "word", "n", "head"],
+            )
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+        count, "row long, doc_id long, prev long, word long, n long, head boolean"
+    )
 
 
 def score(docs: DataFrame, models: MatchedModels) -> DataFrame:
@@ -94,26 +180,37 @@ def score(docs: DataFrame, models: MatchedModels) -> DataFrame:
     resembles the target. A NULL or empty text has no tokens and scores 0. One row per input row,
     repeated rows and NULL ids included; other columns of the input are not read.
     """
-    sent = send(docs.sparkSession, models)
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = unpack(sent)
-        for batch in in_pieces(batches, PIECE):
-            word, pair, opens, bounds = _tokens(batch.column(1))
-            n = np.diff(bounds)
-            loss = known.losses(word, pair, opens)
-            difference = loss[0] - loss[1]
-            means = []
-            for x in (loss[0], loss[1], difference):
-                total = np.concatenate([[0.0], np.cumsum(x)])
-                means.append((total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(n, 1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n.astype(np.int64)), *map(pa.array, means)],
-                ["doc_id", "n_tokens", "target_entropy", "background_entropy", "score"],
-            )
-
-    return docs.select("doc_id", "text").mapInArrow(
-        judge, "doc_id long, n_tokens long, target_entropy double, background_entropy double, score double"
+    grams = _document_pairs(docs)
+    known = stored(models.losses(models.pairs), "losses")
+
+    def sums() -> DataFrame:
+        values = {"loss": "loss", "background_loss": "background_loss"}
+        found = _looked_up(grams, known, ["prev", "word"], values, models.hot)
+        added = lambda x: F.coalesce(F.sum(F.when(~F.col("head"), F.col("n") * F.col(x))), F.lit(0.0))
+        return stored(
+            found.groupBy("row").agg(
+                F.max("doc_id").alias("doc_id"),
+                F.max(F.when(F.col("head"), F.col("n"))).alias("n_tokens"),
+                added("loss").alias("loss"),
+                added("background_loss").alias("background_loss"),
+                F.max(~F.col("head") & F.col("loss").isNull()).alias("unseen"),
+            ),
+            "sums",
+        )
+
+    out = sums()
+    if out.filter("unseen").limit(1).count():
+        new = grams.filter("not head").select("prev", "word").join(models.pairs, ["prev", "word"], "left_anti").distinct()
+        new = new.select("prev", "word", F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("total"))
+        known = stored(known.unionAll(models.losses(new)), "losses")
+        out = sums()
+    per_token = lambda x: x / F.greatest("n_tokens", F.lit(1))
+    return out.select(
+        "doc_id",
+        "n_tokens",
+        per_token(F.col("loss")).alias("target_entropy"),
+        per_token(F.col("background_loss")).alias("background_entropy"),
+        per_token(F.col("loss") - F.col("background_loss")).alias("score"),
     )
 
 
