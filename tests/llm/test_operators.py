@@ -187,6 +187,29 @@ def test_decontamination(spark, bench):
     assert got[1].verbatim and not got[2].verbatim
 
 
+def found_items(spark, items, texts):
+    """Document and item of each pair reported."""
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(d, asked).collect()}
+
+
+def test_decontamination_reads_names_that_open_sentences(spark):
+    items = [
+        "Janet has 3 cats. Janet buys 4 more. How many cats does Janet have?",
+        "On each day of the week Ann walks to the shop and then Bob walks home with Eve.",
+    ]
+    got = found_items(spark, items, [
+        "So here it is. Peter has 5 cats. Peter buys 9 more. How many cats does Peter have? Say it.",
+        "So here it is. Peter has 5 cats. Peter buys 9 more. How many cats does Peter have? Say it.".replace(" ", "\n"),
+        "janet has 3 cats. janet buys 4 more. how many cats does janet have?",
+        "On each day of the week\nAnn walks  to the shop and then  Bob walks home with\n Eve.",
+        "Peter has 5 cats. Paul buys 9 more. How many cats does Peter have?",
+    ])
+    assert {(0, 0), (1, 0), (3, 1)} <= set(got) and (4, 0) not in got
+    assert got[3, 1].verbatim and got[3, 1].matched == got[3, 1].windows and not got[0, 0].verbatim
+
+
 def test_decontamination_finds_verbatim_items(spark, docs, texts):
     items = table(spark, SF_DIR, "benchmark")
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}

@@ -27,14 +27,21 @@ UNITS = (
 )
 
 
-def tagged(text: Column) -> Column:
+#: Readings of a text, as bits: capitalised words that open a sentence are words, or names as all others.
+OPENERS_ARE_WORDS, OPENERS_ARE_NAMES = 1, 2
+READINGS = [OPENERS_ARE_WORDS, OPENERS_ARE_NAMES]
+
+
+def tagged(text: Column, openers: bool = False) -> Column:
     """Lower-cased words with placeholders, each followed by the value it stands for.
 
-    A name is a capitalised word after a lower-case word, comma or semicolon; a unit stands directly
-    after a number or after the blank that follows it. Marks are dropped.
+    A name is a capitalised word after a lower-case word, comma or semicolon, and with ``openers``
+    every capitalised word; a unit stands directly after a number or after the blank that follows it.
+    Marks are dropped, and any run of white space is one blank.
     """
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004]", " ")
-    out = F.regexp_replace(out, r"(?=\p{Lu})(?<=[\p{Ll},;] )(\p{Lu}[\p{L}'\u2019-]*)", f"{NAME}{VALUE}$1")
+    before = r"(?<![\p{L}\p{N}])(?<![\p{L}\p{N}]['\u2019-])" if openers else r"(?<=[\p{Ll},;] )"
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004\\s]+", " ")
+    out = F.regexp_replace(out, rf"(?=\p{{Lu}}){before}(\p{{Lu}}[\p{{L}}'\u2019-]*)", f"{NAME}{VALUE}$1")
     out = F.regexp_replace(out, r"[0-9]+(?:[.,][0-9]+)*", f"{NUMBER}{VALUE}$0{VALUE}")
     out = F.regexp_replace(
         out, f"(?i){VALUE}([ \\t]?)({UNITS}|[%$\u20ac\u00a3])(?![\\p{{L}}\\p{{N}}])", f"{VALUE}$1{UNIT}{VALUE}$2"
@@ -46,50 +53,76 @@ def tagged(text: Column) -> Column:
 def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
     """Tagged words of each text, as they read ``after`` another word, and a hash of each without its value.
 
-    No filter stands on the words here: it would be pushed below and tag every text a second time.
+    Both readings have the same words at the same places. No filter stands on the words here: it would
+    be pushed below and tag every text a second time.
     """
-    tags = F.split(tagged(F.concat(F.lit(after), F.coalesce("text", F.lit("")))), " ")
+    text = F.concat(F.lit(after), F.coalesce("text", F.lit("")))
+    tags, names = F.split(tagged(text), " "), F.split(tagged(text, openers=True), " ")
     if after:
-        tags = F.slice(tags, 2, 1 << 30)
+        tags, names = F.slice(tags, 2, 1 << 30), F.slice(names, 2, 1 << 30)
     template = lambda word: F.xxhash64(F.substring_index(word, VALUE, 1))
-    return df.select(key, tags.alias("tags")).select(key, "tags", F.transform("tags", template).alias("words"))
+    return df.select(key, tags.alias("tags"), names.alias("name_tags")).select(
+        key,
+        "tags",
+        "name_tags",
+        F.transform("tags", template).alias("words"),
+        F.transform("name_tags", template).alias("name_words"),
+    )
 
 
-def _windows(rows: DataFrame, key: str, size: int, place: str) -> DataFrame:
-    """All windows of ``size`` words: their hash, place and tagged words."""
+def _windows(rows: DataFrame, key: str, size: int, place: str, usable: bool = False) -> DataFrame:
+    """All windows of ``size`` words in each reading: their hash, place, tagged words and readings.
+
+    With ``usable``, only those with at least as many words as placeholders.
+    """
     at = F.col(place)
     last = F.size("words") - size
     starts = F.when(last >= 0, F.sequence(F.lit(0), last))
-    literal = sum((F.when(F.get("tags", at + j) < VALUE, 0).otherwise(1) for j in range(size)), F.lit(0))
-    return rows.select(key, "tags", "words", F.explode(starts).alias(place)).select(
-        key,
-        place,
-        F.xxhash64(*[F.get("words", at + j) for j in range(size)]).alias("window"),
-        (2 * literal >= size).alias("_literal"),
-        F.slice("tags", at + 1, size).alias(f"{place}_tags"),
+    window = lambda words: F.xxhash64(*[F.get(words, at + j) for j in range(size)])
+    placed = rows.select(key, "tags", "name_tags", "words", "name_words", F.explode(starts).alias(place))
+    hashed = placed.select(
+        key, place, "tags", "name_tags", window("words").alias("_plain"), window("name_words").alias("_names")
+    )
+    same = F.col("_plain") == F.col("_names")
+    both = OPENERS_ARE_WORDS | OPENERS_ARE_NAMES
+    entry = lambda w, reading: F.struct(F.col(w).alias("window"), reading.alias("reading"))
+    once = F.array(entry("_plain", F.lit(both)))
+    twice = F.array(entry("_plain", F.lit(OPENERS_ARE_WORDS)), entry("_names", F.lit(OPENERS_ARE_NAMES)))
+    found = hashed.select(key, place, "tags", "name_tags", F.explode(F.when(same, once).otherwise(twice)).alias("_w"))
+    tags = F.when(F.col("_w.reading") == OPENERS_ARE_NAMES, F.col("name_tags")).otherwise(F.col("tags"))
+    cut = F.slice(tags, at + 1, size)
+    out = found.select(
+        key, place, F.col("_w.window").alias("window"), F.col("_w.reading").alias(f"{place}_reading"), cut.alias(f"{place}_tags")
     )
+    if usable:
+        out = out.filter(2 * F.size(F.filter(f"{place}_tags", lambda w: w >= VALUE)) >= size)
+    return out
 
 
 def _matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
-    """Windows that a document and an item of the benchmark share."""
+    """Windows that a document and an item of the benchmark share, once per reading shared."""
     sought = (
-        _windows(items, "item_id", size, "item_at")
-        .filter("_literal")
-        .drop("_literal")
-        .dropDuplicates(["item_id", "item_at", "window"])
+        _windows(items, "item_id", size, "item_at", usable=True)
+        .groupBy("item_id", "item_at", "window")
+        .agg(F.bit_or("item_at_reading").alias("item_at_reading"), F.first("item_at_tags").alias("item_at_tags"))
     )
+    sought = stored(sought, "windows")
     # Broadcast only below a checked size; a larger benchmark is joined by hash partitions.
     if sought.count() <= BROADCAST_WINDOWS:
         sought = F.broadcast(sought)
-    return _windows(docs, "doc_id", size, "doc_at").drop("_literal").join(sought, "window")
+    shared = _windows(docs, "doc_id", size, "doc_at").join(sought, "window")
+    bits = F.col("doc_at_reading").bitwiseAND(F.col("item_at_reading"))
+    readings = F.filter(F.array(*map(F.lit, READINGS)), lambda r: bits.bitwiseAND(r) != 0)
+    return shared.withColumn("reading", F.explode(readings)).drop("doc_at_reading", "item_at_reading")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
     """Pairs of a document and a benchmark item whose text, or template, it contains.
 
     Windows have eight words, or the item's length if that is from four to seven; shorter items are
-    not looked for. Windows with more placeholders than words are left out. Matches are grouped by
-    offset between document and item; within one, slots are consistent if each value of the item
+    not looked for. Windows with more placeholders than words are left out. A text is read in two ways,
+    as names may open a sentence (Janet has) and words may (How many); a re-asked item matches in one.
+    Matches are grouped by reading and offset between document and item; in a group, slots are consistent if each value of the item
     stands for one value of the document and the other way round. A pair is reported if consistent
     offsets cover at least ``min_cover`` of the item's windows; ``verbatim`` says that no value
     differs. Rows with a NULL id are taken as one document, and repeated rows as one; NULL and empty
@@ -109,7 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     matches = reduce(DataFrame.unionAll, found)
     is_slot = lambda x: x["item_at_tags"].contains(VALUE)
     slots = F.filter(F.arrays_zip("item_at_tags", "doc_at_tags"), is_slot)
-    by_offset = matches.groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(
+    by_offset = matches.groupBy("doc_id", "item_id", "reading", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(
         F.collect_set("item_at").alias("places"), F.flatten(F.collect_set(slots)).alias("slots")
     )
     pairs = F.array_distinct("slots")
