@@ -210,6 +210,15 @@ def test_decontamination_reads_names_that_open_sentences(spark):
     assert got[3, 1].verbatim and got[3, 1].matched == got[3, 1].windows and not got[0, 0].verbatim
 
 
+def test_decontamination_finds_long_passages_of_long_items(spark):
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ra", "so", "tu", "va", "xe") for b in "abcdefghijklmnopqrst"]
+    quote = lambda n: "it says " + " ".join(words[20 : 20 + n]) + " and no more"
+    got = found_items(spark, [" ".join(words[:60]), " ".join(words)], [quote(30), quote(100), quote(12), quote(13)])
+    assert set(got) == {(d, i) for d in (0, 1, 3) for i in (0, 1)}
+    assert (got[0, 0].matched, got[0, 0].windows) == (23, 53) and (got[1, 1].matched, got[1, 1].windows) == (93, 193)
+    assert all(r.verbatim for r in got.values())
+
+
 def test_decontamination_finds_verbatim_items(spark, docs, texts):
     items = table(spark, SF_DIR, "benchmark")
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}

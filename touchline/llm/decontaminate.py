@@ -16,6 +16,8 @@ from touchline.llm.shared import stored
 WINDOW = 8
 SHORTEST = 4
 MIN_COVER = 0.5
+#: So many words in a row with equal values are a leak, whatever the length of the item.
+VERBATIM_RUN = 13
 BROADCAST_WINDOWS = 200_000
 
 NUMBER, UNIT, NAME, VALUE = "\u0001", "\u0002", "\u0003", "\u0004"
@@ -124,8 +126,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     as names may open a sentence (Janet has) and words may (How many); a re-asked item matches in one.
     Matches are grouped by reading and offset between document and item; in a group, slots are consistent if each value of the item
     stands for one value of the document and the other way round. A pair is reported if consistent
-    offsets cover at least ``min_cover`` of the item's windows; ``verbatim`` says that no value
-    differs. Rows with a NULL id are taken as one document, and repeated rows as one; NULL and empty
+    offsets cover at least ``min_cover`` of the item's windows, or if VERBATIM_RUN words in a row are
+    the same with their values; ``verbatim`` says that no value differs in what matched. Rows with a NULL id are taken as one document, and repeated rows as one; NULL and empty
     texts match nothing; other columns are not read. An empty table gives no pairs.
     """
     asked = benchmark.filter("item_id is not null").select("item_id", "text").dropDuplicates(["item_id"])
@@ -142,9 +144,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     matches = reduce(DataFrame.unionAll, found)
     is_slot = lambda x: x["item_at_tags"].contains(VALUE)
     slots = F.filter(F.arrays_zip("item_at_tags", "doc_at_tags"), is_slot)
+    equal = F.col("item_at_tags") == F.col("doc_at_tags")
     by_offset = matches.groupBy("doc_id", "item_id", "reading", (F.col("doc_at") - F.col("item_at")).alias("offset")).agg(
-        F.collect_set("item_at").alias("places"), F.flatten(F.collect_set(slots)).alias("slots")
+        F.collect_set("item_at").alias("places"),
+        F.flatten(F.collect_set(slots)).alias("slots"),
+        F.sort_array(F.collect_set(F.when(equal, F.col("item_at")))).alias("equal"),
     )
+    more = VERBATIM_RUN - WINDOW
+    ends = F.sequence(F.lit(more), F.size("equal") - 1)
+    in_a_row = lambda i: F.get("equal", i) - F.get("equal", i - more) == more
+    run = F.when(F.size("equal") > more, F.exists(ends, in_a_row)).otherwise(False)
     pairs = F.array_distinct("slots")
     ours = F.array_distinct(F.transform(pairs, lambda x: x["item_at_tags"]))
     theirs = F.array_distinct(F.transform(pairs, lambda x: x["doc_at_tags"]))
@@ -152,21 +161,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
         "doc_id",
         "item_id",
         "places",
+        "equal",
+        run.alias("run"),
         ((F.size(ours) == F.size(pairs)) & (F.size(theirs) == F.size(pairs))).alias("consistent"),
         F.forall(pairs, lambda x: x["item_at_tags"] == x["doc_at_tags"]).alias("verbatim"),
     )
+    # Where slots contradict each other, a long run is still a leak, of its equal windows alone.
     covered = (
-        by_offset.filter("consistent")
+        by_offset.filter("consistent or run")
         .groupBy("doc_id", "item_id")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("matched"),
-            F.min("verbatim").alias("verbatim"),
+            F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("consistent"), F.col("places")).otherwise(F.col("equal"))))))
+            .cast("long")
+            .alias("matched"),
+            F.min(F.col("verbatim") | ~F.col("consistent")).alias("verbatim"),
+            F.max("run").alias("run"),
         )
     )
     total = _item_windows(items)
     return (
         covered.join(total, "item_id")
-        .filter(F.col("matched") >= min_cover * F.col("windows"))
+        .filter(F.col("run") | (F.col("matched") >= min_cover * F.col("windows")))
         .select("doc_id", "item_id", "matched", "windows", "verbatim")
     )
 
