@@ -219,6 +219,18 @@ def test_decontamination_finds_long_passages_of_long_items(spark):
     assert all(r.verbatim for r in got.values())
 
 
+def test_decontamination_finds_items_of_numbers_and_short_items(spark):
+    items = [
+        "Compute 12 + 37 + 41 + 58 + 66.", "Add 7 and 5", "What is 9?", "", "!!!", "days of the 1 2 3 4 5 6 7 8 9 10 11",
+        "one two three four five 1 2 3 4 5 6 7 eight nine ten",
+    ]
+    texts = [f"here it comes: {t} and it ends" for t in items]
+    texts += ["Compute 12 + 37 + 41 + 58 + 67.", "What is 8?", "it lasts 5 " + items[5], "compute", "nothing at all to see"]
+    got = found_items(spark, items, texts)
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (5, 5), (6, 6), (9, 5)}
+    assert all(got[p].verbatim and got[p].matched == got[p].windows for p in {(0, 0), (2, 2), (5, 5), (6, 6)})
+
+
 def test_decontamination_finds_verbatim_items(spark, docs, texts):
     items = table(spark, SF_DIR, "benchmark")
     found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}

@@ -29,9 +29,10 @@ UNITS = (
 )
 
 
-#: Readings of a text, as bits: capitalised words that open a sentence are words, or names as all others.
-OPENERS_ARE_WORDS, OPENERS_ARE_NAMES = 1, 2
-READINGS = [OPENERS_ARE_WORDS, OPENERS_ARE_NAMES]
+#: Readings of a text, as bits: capitalised words that open a sentence are words, or names as all others;
+#: or all stand for themselves, where there are too few words for a template.
+OPENERS_ARE_WORDS, OPENERS_ARE_NAMES, VERBATIM = 1, 2, 4
+READINGS = [OPENERS_ARE_WORDS, OPENERS_ARE_NAMES, VERBATIM]
 
 
 def tagged(text: Column, openers: bool = False) -> Column:
@@ -52,6 +53,11 @@ def tagged(text: Column, openers: bool = False) -> Column:
     return F.lower(F.trim(F.regexp_replace(out, r"\s+", " ")))
 
 
+def _plain(word: Column) -> Column:
+    """A tagged word without its marks."""
+    return F.translate(word, NUMBER + UNIT + NAME + VALUE, "")
+
+
 def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
     """Tagged words of each text, as they read ``after`` another word, and a hash of each without its value.
 
@@ -63,41 +69,59 @@ def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
     if after:
         tags, names = F.slice(tags, 2, 1 << 30), F.slice(names, 2, 1 << 30)
     template = lambda word: F.xxhash64(F.substring_index(word, VALUE, 1))
-    return df.select(key, tags.alias("tags"), names.alias("name_tags")).select(
+    tagged_words = df.select(key, tags.alias("tags"), names.alias("name_tags"))
+    return tagged_words.select("*", F.transform("tags", _plain).alias("plain_tags")).select(
         key,
         "tags",
         "name_tags",
+        "plain_tags",
         F.transform("tags", template).alias("words"),
         F.transform("name_tags", template).alias("name_words"),
+        F.transform("plain_tags", lambda word: F.xxhash64(word)).alias("plain_words"),
     )
 
 
 def _windows(rows: DataFrame, key: str, size: int, place: str, usable: bool = False) -> DataFrame:
     """All windows of ``size`` words in each reading: their hash, place, tagged words and readings.
 
-    With ``usable``, only those with at least as many words as placeholders.
+    With ``usable``, templates only with at least as many words as placeholders. Windows that have fewer
+    if all names are read as such, that begin with a unit (which it is only after a number), or that are
+    short are read verbatim too.
     """
-    at = F.col(place)
+    # One explode over places and readings, and no lambda after it: either would end the generated code
+    # there, and the whole text would be copied for every window.
+    at, way = F.col(place), F.col("_way")
+    ways = len(READINGS)
     last = F.size("words") - size
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last))
+    starts = F.when(last >= 0, F.sequence(F.lit(0), ways * last + ways - 1))
+    columns = ["tags", "name_tags", "plain_tags", "words", "name_words", "plain_words"]
+    placed = rows.select(key, *columns, F.explode(starts).alias("_i"))
+    placed = placed.select("*", F.floor(F.col("_i") / ways).cast("int").alias(place), (F.col("_i") % ways).alias("_way"))
     window = lambda words: F.xxhash64(*[F.get(words, at + j) for j in range(size)])
-    placed = rows.select(key, "tags", "name_tags", "words", "name_words", F.explode(starts).alias(place))
-    hashed = placed.select(
-        key, place, "tags", "name_tags", window("words").alias("_plain"), window("name_words").alias("_names")
-    )
-    same = F.col("_plain") == F.col("_names")
-    both = OPENERS_ARE_WORDS | OPENERS_ARE_NAMES
-    entry = lambda w, reading: F.struct(F.col(w).alias("window"), reading.alias("reading"))
-    once = F.array(entry("_plain", F.lit(both)))
-    twice = F.array(entry("_plain", F.lit(OPENERS_ARE_WORDS)), entry("_names", F.lit(OPENERS_ARE_NAMES)))
-    found = hashed.select(key, place, "tags", "name_tags", F.explode(F.when(same, once).otherwise(twice)).alias("_w"))
-    tags = F.when(F.col("_w.reading") == OPENERS_ARE_NAMES, F.col("name_tags")).otherwise(F.col("tags"))
-    cut = F.slice(tags, at + 1, size)
-    out = found.select(
-        key, place, F.col("_w.window").alias("window"), F.col("_w.reading").alias(f"{place}_reading"), cut.alias(f"{place}_tags")
+    plain, names = window("words"), window("name_words")
+    count = lambda tags, i: sum((F.when(F.get(tags, i + j) < VALUE, 0).otherwise(1) for j in range(size)), F.lit(0))
+    on_unit = F.get("name_tags", at).startswith(UNIT) | ((at == 0) & F.get("plain_tags", at).rlike(f"^({UNITS})$"))
+    verbatim = F.when((2 * count("name_tags", at) < size) | on_unit | F.lit(size < SHORTEST), window("plain_words"))
+    if size < SHORTEST:
+        found = F.when(way == 2, verbatim)
+    else:
+        found = F.when(way == 0, plain).when(way == 1, F.when(plain != names, names)).otherwise(verbatim)
+    reading = (
+        F.when(way == 0, F.when(plain == names, OPENERS_ARE_WORDS | OPENERS_ARE_NAMES).otherwise(OPENERS_ARE_WORDS))
+        .when(way == 1, OPENERS_ARE_NAMES)
+        .otherwise(VERBATIM)
     )
+    tags = F.when(way == 0, F.col("tags")).when(way == 1, F.col("name_tags")).otherwise(F.col("plain_tags"))
+    out = placed.select(
+        key,
+        place,
+        found.alias("window"),
+        reading.alias(f"{place}_reading"),
+        F.slice(tags, at + 1, size).alias(f"{place}_tags"),
+    ).filter("window is not null")
     if usable:
-        out = out.filter(2 * F.size(F.filter(f"{place}_tags", lambda w: w >= VALUE)) >= size)
+        enough = 2 * count(f"{place}_tags", F.lit(0)) >= size
+        out = out.filter((F.col(f"{place}_reading") == VERBATIM) | enough)
     return out
 
 
@@ -121,23 +145,25 @@ def _matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
     """Pairs of a document and a benchmark item whose text, or template, it contains.
 
-    Windows have eight words, or the item's length if that is from four to seven; shorter items are
-    not looked for. Windows with more placeholders than words are left out. A text is read in two ways,
-    as names may open a sentence (Janet has) and words may (How many); a re-asked item matches in one.
-    Matches are grouped by reading and offset between document and item; in a group, slots are consistent if each value of the item
-    stands for one value of the document and the other way round. A pair is reported if consistent
-    offsets cover at least ``min_cover`` of the item's windows, or if VERBATIM_RUN words in a row are
-    the same with their values; ``verbatim`` says that no value differs in what matched. Rows with a NULL id are taken as one document, and repeated rows as one; NULL and empty
-    texts match nothing; other columns are not read. An empty table gives no pairs.
+    Windows have eight words, or the item's length if that is less. Windows with more placeholders than
+    words, and items under four words, match only word by word with their values. A text is read in two
+    ways, as names may open a sentence (Janet has) and words may (How many); a re-asked item matches in
+    one. Matches are grouped by reading and offset between document and item; in a group, slots are
+    consistent if each value of the item stands for one value of the document and the other way round.
+    A pair is reported if consistent offsets cover at least ``min_cover`` of the item's ``windows``, or as
+    templates that share of those with enough words for one, or if VERBATIM_RUN words in a row are the
+    same with their values; ``verbatim`` says that no value differs in what matched. Rows with a NULL id
+    are taken as one document, and repeated rows as one; NULL and empty texts match nothing; other
+    columns are not read. An empty table gives no pairs.
     """
     asked = benchmark.filter("item_id is not null").select("item_id", "text").dropDuplicates(["item_id"])
     # Inside a document an item's first word may read as a name: both readings are sought.
     read = _words(asked, "item_id").withColumn("quoted", F.lit(False))
     quoted = _words(asked, "item_id", "a ").withColumn("quoted", F.lit(True))
     both = read.unionAll(quoted).withColumn("size", F.least(F.size("words"), F.lit(WINDOW)))
-    both = stored(both.filter(F.col("size") >= SHORTEST), "items")
+    both = stored(both.filter(F.get("tags", F.lit(0)) != ""), "items")
     items = both.filter("not quoted")
-    # At most WINDOW - SHORTEST + 1 different sizes.
+    # At most WINDOW different sizes.
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     rows = _words(docs, "doc_id")
     found = [_matches(rows, both.filter(F.col("size") == s), s) for s in sizes or [WINDOW]]
@@ -150,45 +176,62 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
         F.flatten(F.collect_set(slots)).alias("slots"),
         F.sort_array(F.collect_set(F.when(equal, F.col("item_at")))).alias("equal"),
     )
-    more = VERBATIM_RUN - WINDOW
-    ends = F.sequence(F.lit(more), F.size("equal") - 1)
-    in_a_row = lambda i: F.get("equal", i) - F.get("equal", i - more) == more
-    run = F.when(F.size("equal") > more, F.exists(ends, in_a_row)).otherwise(False)
     pairs = F.array_distinct("slots")
     ours = F.array_distinct(F.transform(pairs, lambda x: x["item_at_tags"]))
     theirs = F.array_distinct(F.transform(pairs, lambda x: x["doc_at_tags"]))
-    by_offset = by_offset.select(
+    consistent = (F.size(ours) == F.size(pairs)) & (F.size(theirs) == F.size(pairs))
+    none = F.slice("places", 1, 0)
+    read = by_offset.select(
         "doc_id",
         "item_id",
-        "places",
+        "offset",
         "equal",
-        run.alias("run"),
-        ((F.size(ours) == F.size(pairs)) & (F.size(theirs) == F.size(pairs))).alias("consistent"),
-        F.forall(pairs, lambda x: x["item_at_tags"] == x["doc_at_tags"]).alias("verbatim"),
+        F.when(consistent, F.col("places")).otherwise(none).alias("places"),
+        F.when(consistent & (F.col("reading") != VERBATIM), F.col("places")).otherwise(none).alias("by_template"),
+        (~consistent | F.forall(pairs, lambda x: x["item_at_tags"] == x["doc_at_tags"])).alias("verbatim"),
+    )
+    union = lambda x: F.array_distinct(F.flatten(F.collect_set(x)))
+    # A run goes on through windows of different readings. Where slots contradict each other, a long
+    # run is still a leak, of its equal windows alone.
+    more = VERBATIM_RUN - WINDOW
+    in_a_row = lambda i: F.get("equal", i) - F.get("equal", i - more) == more
+    ends = F.sequence(F.lit(more), F.size("equal") - 1)
+    run = F.when(F.size("equal") > more, F.exists(ends, in_a_row)).otherwise(False)
+    aligned = (
+        read.groupBy("doc_id", "item_id", "offset")
+        .agg(
+            F.sort_array(union("equal")).alias("equal"),
+            union("places").alias("places"),
+            union("by_template").alias("by_template"),
+            F.min("verbatim").alias("verbatim"),
+        )
+        .withColumn("run", run)
     )
-    # Where slots contradict each other, a long run is still a leak, of its equal windows alone.
     covered = (
-        by_offset.filter("consistent or run")
-        .groupBy("doc_id", "item_id")
+        aligned.groupBy("doc_id", "item_id")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("consistent"), F.col("places")).otherwise(F.col("equal"))))))
-            .cast("long")
-            .alias("matched"),
-            F.min(F.col("verbatim") | ~F.col("consistent")).alias("verbatim"),
+            union(F.when(F.col("run"), F.array_union("places", "equal")).otherwise(F.col("places"))).alias("places"),
+            F.size(union("by_template")).alias("by_template"),
+            F.min("verbatim").alias("verbatim"),
             F.max("run").alias("run"),
         )
+        .withColumn("matched", F.size("places").cast("long"))
+    )
+    leak = (
+        F.col("run")
+        | ((F.col("by_template") > 0) & (F.col("by_template") >= min_cover * F.col("templates")))
+        | ((F.col("matched") > 0) & (F.col("matched") >= min_cover * F.col("windows")))
     )
-    total = _item_windows(items)
     return (
-        covered.join(total, "item_id")
-        .filter(F.col("run") | (F.col("matched") >= min_cover * F.col("windows")))
+        covered.join(_item_windows(items), "item_id")
+        .filter(leak)
         .select("doc_id", "item_id", "matched", "windows", "verbatim")
     )
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
-    """How many windows of each item can match at all."""
+    """How many windows each item has, and how many of them can match as templates."""
     at = F.sequence(F.lit(0), F.size("words") - F.col("size"))
     literal = lambda i: F.size(F.filter(F.slice("tags", i + 1, F.col("size")), lambda w: w >= VALUE))
-    usable = F.filter(at, lambda i: 2 * literal(i) >= F.col("size"))
-    return items.select("item_id", F.size(usable).cast("long").alias("windows"))
+    usable = F.filter(at, lambda i: (2 * literal(i) >= F.col("size")) & (F.col("size") >= SHORTEST))
+    return items.select("item_id", F.size(at).cast("long").alias("windows"), F.size(usable).alias("templates"))
