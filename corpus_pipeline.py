@@ -12,43 +12,59 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not among ``ids``; a NULL id equals a NULL id."""
-    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a stored key ``_row`` each, and the same for an operator, with the key as ``doc_id``.
+
+    Decisions are about rows: ids may be NULL or repeat with other texts.
+    """
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("_row"), *COLUMNS), "rows")
+    return rows, rows.select(F.col("_row").alias("doc_id"), *COLUMNS[1:])
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose key is not a ``doc_id`` of ``rejected``."""
+    return rows.join(rejected.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(COLUMNS)
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic. Labels are learned as in the query, from remainder 1 to 4."""
     labels = table(spark, sf_dir, "labels").filter(remainder(F.col("doc_id"), 5) != 0)
     model = toxicity.train(docs, labels)
-    rejected = stored(toxicity.score(docs, model).filter("predicted = 1").select("doc_id"), "toxic")
-    return _without(docs.select(COLUMNS), rejected)
+    rows, judged = _keyed(docs)
+    return _without(rows, stored(toxicity.score(judged, model).filter("predicted = 1").select("doc_id"), "toxic"))
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rejected = stored(quality.rate(docs).filter("not kept").select("doc_id"), "poor")
-    return _without(docs.select(COLUMNS), rejected)
+    rows, judged = _keyed(docs)
+    return _without(rows, stored(quality.rate(judged).filter("not kept").select("doc_id"), "poor"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near duplicates.
 
-    Rows that repeat an id are the same document and one of them stays; documents without an id stay.
+    Rows without an id are compared as all others, and come last in a group. Texts without a word are
+    near copies of nothing: of these only rows that repeat an id and its text go.
     """
-    found = stored(jaccard.near_duplicates(docs).filter("doc_id is not null"), "groups")
-    rejected = found.filter("doc_id != component_id").select("doc_id")
-    kept = _without(docs.select(COLUMNS), rejected)
-    repeated = stored(found.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
-    once = kept.join(repeated, "doc_id", "left_semi").select(COLUMNS).dropDuplicates(["doc_id"])
-    return _without(kept, repeated).unionAll(once)
+    rows, judged = _keyed(docs)
+    found = stored(jaccard.near_duplicates(judged), "groups")
+    ids = rows.select(F.col("_row").alias("doc_id"), F.col("doc_id").alias("_id"))
+    grouped = stored(found.filter("n_shingles > 0").join(ids, "doc_id"), "grouped")
+    rank = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("doc_id").alias("row"))
+    first = grouped.groupBy("component_id").agg(F.min(rank)["row"].alias("_first"))
+    copies = grouped.join(first, "component_id").filter("doc_id != _first").select("doc_id")
+    blank = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_row"))
+    blank = stored(rows.filter("doc_id is not null").join(blank, "_row", "left_semi").select("_row", "doc_id", "text"), "blank")
+    lowest = blank.groupBy("doc_id", "text").agg(F.min("_row").alias("_row")).select("_row")
+    repeated = blank.join(lowest, "_row", "left_anti").select(F.col("_row").alias("doc_id"))
+    return _without(rows, stored(copies.unionAll(repeated), "copies"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    pairs = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs.select(COLUMNS), stored(pairs.select("doc_id"), "contaminated"))
+    rows, judged = _keyed(docs)
+    pairs = decontaminate.contaminated(judged, table(spark, sf_dir, "benchmark"))
+    return _without(rows, stored(pairs.select("doc_id"), "contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -464,3 +464,17 @@ def test_pipeline_on_awkward_rows(spark, awkward):
         docs = corpus_pipeline.stored(stage(spark, docs, SF_DIR), "step")
     assert docs.filter("doc_id = 7").count() <= 1
     assert json.dumps(docs.columns)
+
+
+def test_pipeline_judges_rows_not_ids(spark):
+    item = table(spark, SF_DIR, "benchmark").orderBy("item_id").first().text
+    first, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b"))
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    text = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    mixed = frame([(None, item), (None, first), (5, item), (5, other)])
+    assert text(corpus_pipeline.drop_contaminated(spark, mixed, SF_DIR)) == [(5, other), (None, first)]
+    copies = frame([(None, first), (None, first + " c"), (5, first), (3, first), (7, other), (7, item), (8, None), (8, None), (None, other)])
+    assert text(corpus_pipeline.keep_one_of_each(spark, copies, SF_DIR)) == sorted([(3, first), (7, other), (7, item), (8, None)], key=str)
+    poor = frame([(None, "short"), (5, "short"), *[(None, t) for t in [first, other] * 5], (5, other)])
+    kept = text(corpus_pipeline.keep_good(spark, poor, SF_DIR))
+    assert (None, "short") not in kept and (5, "short") not in kept and kept
