@@ -70,11 +70,16 @@ def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
         tags, names = F.slice(tags, 2, 1 << 30), F.slice(names, 2, 1 << 30)
     template = lambda word: F.xxhash64(F.substring_index(word, VALUE, 1))
     tagged_words = df.select(key, tags.alias("tags"), names.alias("name_tags"))
+    literal = lambda word: F.when(word < VALUE, 0).otherwise(1)
     return tagged_words.select("*", F.transform("tags", _plain).alias("plain_tags")).select(
         key,
         "tags",
         "name_tags",
         "plain_tags",
+        F.transform("tags", literal).alias("literal"),
+        F.transform("name_tags", literal).alias("name_literal"),
+        F.zip_with("tags", "name_tags", lambda x, y: (x != y).cast("int")).alias("differs"),
+        F.get("plain_tags", F.lit(0)).rlike(f"^({UNITS})$").alias("unit_first"),
         F.transform("tags", template).alias("words"),
         F.transform("name_tags", template).alias("name_words"),
         F.transform("plain_tags", lambda word: F.xxhash64(word)).alias("plain_words"),
@@ -89,40 +94,36 @@ def _windows(rows: DataFrame, key: str, size: int, place: str, usable: bool = Fa
     short are read verbatim too.
     """
     # One explode over places and readings, and no lambda after it: either would end the generated code
-    # there, and the whole text would be copied for every window.
+    # there, and the whole text would be copied for every window. Large code is not compiled: slices
+    # of arrays made once per text keep it small.
     at, way = F.col(place), F.col("_way")
     ways = len(READINGS)
     last = F.size("words") - size
     starts = F.when(last >= 0, F.sequence(F.lit(0), ways * last + ways - 1))
-    columns = ["tags", "name_tags", "plain_tags", "words", "name_words", "plain_words"]
-    placed = rows.select(key, *columns, F.explode(starts).alias("_i"))
+    placed = rows.select(key, *rows.columns[1:], F.explode(starts).alias("_i"))
     placed = placed.select("*", F.floor(F.col("_i") / ways).cast("int").alias(place), (F.col("_i") % ways).alias("_way"))
-    window = lambda words: F.xxhash64(*[F.get(words, at + j) for j in range(size)])
-    plain, names = window("words"), window("name_words")
-    count = lambda tags, i: sum((F.when(F.get(tags, i + j) < VALUE, 0).otherwise(1) for j in range(size)), F.lit(0))
-    on_unit = F.get("name_tags", at).startswith(UNIT) | ((at == 0) & F.get("plain_tags", at).rlike(f"^({UNITS})$"))
-    verbatim = F.when((2 * count("name_tags", at) < size) | on_unit | F.lit(size < SHORTEST), window("plain_words"))
+    read = lambda plain, names, verbatim: F.slice(
+        F.when(way == 0, F.col(plain)).when(way == 1, F.col(names)).otherwise(F.col(verbatim)), at + 1, size
+    )
+    words = lambda flags: F.size(F.array_remove(F.slice(flags, at + 1, size), 0))
+    differ = words("differs") > 0
+    on_unit = F.get("name_tags", at).startswith(UNIT) | ((at == 0) & F.col("unit_first"))
     if size < SHORTEST:
-        found = F.when(way == 2, verbatim)
+        needed = way == 2
     else:
-        found = F.when(way == 0, plain).when(way == 1, F.when(plain != names, names)).otherwise(verbatim)
-    reading = (
-        F.when(way == 0, F.when(plain == names, OPENERS_ARE_WORDS | OPENERS_ARE_NAMES).otherwise(OPENERS_ARE_WORDS))
-        .when(way == 1, OPENERS_ARE_NAMES)
-        .otherwise(VERBATIM)
-    )
-    tags = F.when(way == 0, F.col("tags")).when(way == 1, F.col("name_tags")).otherwise(F.col("plain_tags"))
-    out = placed.select(
+        template = (2 * words("literal") >= size) if usable else F.lit(True)
+        names = differ & (2 * words("name_literal") >= size) if usable else differ
+        needed = F.when(way == 0, template).when(way == 1, names).otherwise((2 * words("name_literal") < size) | on_unit)
+    either = OPENERS_ARE_WORDS | OPENERS_ARE_NAMES
+    return placed.filter(needed).select(
         key,
         place,
-        found.alias("window"),
-        reading.alias(f"{place}_reading"),
-        F.slice(tags, at + 1, size).alias(f"{place}_tags"),
-    ).filter("window is not null")
-    if usable:
-        enough = 2 * count(f"{place}_tags", F.lit(0)) >= size
-        out = out.filter((F.col(f"{place}_reading") == VERBATIM) | enough)
-    return out
+        F.xxhash64(read("words", "name_words", "plain_words")).alias("window"),
+        F.when(way == 2, VERBATIM).when(way == 1, OPENERS_ARE_NAMES).when(differ, OPENERS_ARE_WORDS).otherwise(either).alias(
+            f"{place}_reading"
+        ),
+        read("tags", "name_tags", "plain_tags").alias(f"{place}_tags"),
+    )
 
 
 def _matches(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
