@@ -9,13 +9,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from touchline.llm import bpe, decontaminate, jaccard, language, licences, lm_scoring, quality, sharding, token_rollup, toxicity
+from touchline.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    filter_audit,
+    jaccard,
+    language,
+    licences,
+    lm_scoring,
+    mixing,
+    quality,
+    sharding,
+    token_rollup,
+    toxicity,
+)
+from touchline.llm.oracles import ORACLES  # noqa: F401
 from touchline.llm.shared import remainder, shared_folder, stored, table
 
 BPE_NAME = "byte_bpe_50k"
+PIECE_NAME = "piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: None of the ten can be said in SQL: they fit models, encode bytes or follow links.
-ORACLES: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -97,3 +111,19 @@ def op10_toxicity(spark, sf_dir):
     held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     model = toxicity.train(docs, labels.filter(remainder(F.col("doc_id"), 5) != 0))
     return toxicity.score(docs, model, held_out)
+
+
+@query
+def op11_tokenizer_alignment(spark, sf_dir):
+    pair = alignment.read_pair(public_tokenizers.path(f"{BPE_NAME}.json"), public_tokenizers.path(PIECE_NAME))
+    return alignment.measure(table(spark, sf_dir, "documents"), pair)
+
+
+@query
+def op12_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
