@@ -13,21 +13,25 @@ fixed number, are looked up by broadcast, all others by a join, so no pair is a
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from touchline.llm.bpe import read_vocabulary
-from touchline.llm.shared import in_pieces, send, ship, stored, unpack
+from touchline.llm.bpe import Encoder, Vocabulary, read_vocabulary
+from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
 
 PIECE = 1_000_000
 #: A pair with more than this share of all links is looked up by broadcast: at most so many pairs have it.
 COMMON_PAIRS = 1 << 18
+FIRST_PROBE = 4
+#: A linked pair is ``id of A * ids of B + id of B``.
+PAIR_BITS = 31
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
@@ -45,7 +49,7 @@ def aligned(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndar
     closes: list[tuple[int, int]] = []
     while i < n and j < m:
         if a[i] == b[j]:
-            at, width = i, 1
+            at, width = i, FIRST_PROBE
             while (probe := a[i : i + width]) and probe == b[j : j + width]:
                 i, j, width = i + len(probe), j + len(probe), 2 * width
             while width > 1:
@@ -79,87 +83,103 @@ def aligned(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 @dataclass
 class TokenizerPair:
-    """A byte-level BPE as tokenizers JSON, a sentencepiece model, and the bytes of each of their ids."""
+    """A byte-level BPE vocabulary, a sentencepiece model, and the bytes of each of their ids."""
 
-    bpe_json: str
+    vocabulary: Vocabulary
     piece_model: bytes
     bytes_a: list[bytes]
     bytes_b: list[bytes]
 
 
 def read_pair(bpe_path: str, piece_path: str) -> TokenizerPair:
-    """Both tokenizers, read on the driver; their size does not depend on the corpus."""
-    import sentencepiece
+    """Both tokenizers, read on the driver; their size does not depend on the corpus.
 
+    Special strings of the first are plain text here.
+    """
     with open(piece_path, "rb") as f:
         model = f.read()
     processor = sentencepiece.SentencePieceProcessor(model_proto=model)
     pieces = [processor.id_to_piece(i) for i in range(processor.get_piece_size())]
     single = [re.fullmatch("<0x([0-9A-F]{2})>", p) for p in pieces]
     bytes_b = [bytes.fromhex(x[1]) if x else p.replace("\u2581", " ").encode() for p, x in zip(pieces, single, strict=True)]
-    with open(bpe_path, encoding="utf-8") as f:
-        text = f.read()
-    return TokenizerPair(text, model, read_vocabulary(bpe_path).bytes_of, bytes_b)
+    vocabulary = read_vocabulary(bpe_path)
+    if len(vocabulary.bytes_of) * len(pieces) >= 1 << 31:
+        raise ValueError("vocabularies are too large for pairs of 31 bits")
+    return TokenizerPair(replace(vocabulary, special={}), model, vocabulary.bytes_of, bytes_b)
+
+
+class TokenBytes:
+    """The bytes of all ids of a tokenizer, end to end."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def give_back(self, ids: np.ndarray, bounds: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether the ids of each text join to its bytes."""
+        size = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        own = ends[bounds]
+        same = np.diff(own) == np.diff(offsets)
+        where = np.arange(ends[-1]) + np.repeat(self.first[ids] - ends[:-1], size)
+        joined = self.data[where]
+        if same.all():
+            wrong = np.flatnonzero(joined != data)
+            same[np.searchsorted(offsets, wrong, "right") - 1] = False
+        else:
+            for i in np.flatnonzero(same):
+                same[i] = np.array_equal(joined[own[i] : own[i + 1]], data[offsets[i] : offsets[i + 1]])
+        return same
 
 
 class Aligner:
     """Encodes texts twice and aligns the tokens; lives in a task."""
 
     def __init__(self, pair: TokenizerPair):
-        import sentencepiece
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.bpe = Tokenizer.from_str(pair.bpe_json)
-        self.bpe.encode_special_tokens = True
-        self.bpe.no_padding()
-        self.bpe.no_truncation()
+        self.encoder = Encoder(pair.vocabulary)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=pair.piece_model)
-        self.bytes_a, self.bytes_b = pair.bytes_a, pair.bytes_b
-        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.width = max(len(self.bytes_a), len(self.bytes_b))
+        self.bytes_a, self.bytes_b = TokenBytes(pair.bytes_a), TokenBytes(pair.bytes_b)
+        self.width = max(len(pair.bytes_a), len(pair.bytes_b))
         self.written = np.array([f"{i}{mark}" for mark in ",|;" for i in range(self.width)], object)
 
-    def encoded(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both; none where a text is empty or one side does not give back its bytes."""
-        ids_a = [x.ids for x in self.bpe.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        ids_b = self.pieces.encode(texts, num_threads=1)
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode()
-            same = text and all(
-                b"".join([table[t] for t in ids]) == whole
-                for table, ids in ((self.bytes_a, ids_a[i]), (self.bytes_b, ids_b[i]))
-            )
-            if not same:
-                ids_a[i], ids_b[i] = [], []
-        return ids_a, ids_b
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both end to end, and how many each text has: none where a text is empty or one side
+        does not give back its bytes."""
+        data, offsets = text_bytes(pa.array([f" {t}" for t in texts], pa.string()))
+        a, bounds_a = self.encoder.encode(data, offsets)
+        lists = self.pieces.encode(texts, num_threads=1)
+        n_b = np.array([len(x) for x in lists], np.int64)
+        bounds_b = np.concatenate([[0], np.cumsum(n_b)])
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(bounds_b[-1]))
+        a, n_a = a.astype(np.int64), np.diff(bounds_a)
+        good = self.bytes_a.give_back(a, bounds_a, data, offsets) & self.bytes_b.give_back(b, bounds_b, data, offsets)
+        good &= np.diff(offsets) > 1
+        return a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
 
     def align(self, texts: list[str]) -> dict[str, list | np.ndarray]:
         """Counts, groups, and different linked id pairs with how often, by text."""
-        ids_a, ids_b = self.encoded(texts)
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        a, b = (np.array([t for x in ids for t in x], np.int64) for ids in (ids_a, ids_b))
+        a, b, n_a, n_b = self.encoded(texts)
         # The texts lie end to end; where one ends, both sides have an end.
-        link_a, link_b, ends_a, ends_b = aligned(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
+        ends = [np.cumsum(side.size[ids]).tolist() for side, ids in ((self.bytes_a, a), (self.bytes_b, b))]
+        link_a, link_b, ends_a, ends_b = aligned(*ends)
         texts_a = np.concatenate([[0], np.cumsum(n_a)])
         group_at = np.concatenate([[0], np.searchsorted(ends_a, texts_a[1:], "right")])
-        owner = np.searchsorted(texts_a, link_a, "right") - 1
-        code = a[link_a] * len(self.bytes_b) + b[link_b]
-        order = np.lexsort((code, owner))
-        code, owner = code[order], owner[order]
-        new = np.ones(len(code), bool)
-        new[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-        first = np.flatnonzero(new)
-        pair_at = np.searchsorted(owner[first], np.arange(len(texts) + 1))
-        pairs, times = code[first].astype(np.int32), np.diff(np.append(first, len(code))).astype(np.int32)
-        cut = lambda x: [x[s:e] for s, e in zip(pair_at, pair_at[1:], strict=False)]
+        owner = np.repeat(np.arange(len(texts)), n_a)[link_a]
+        code = a[link_a] * len(self.bytes_b.size) + b[link_b]
+        key = np.sort(owner << PAIR_BITS | code)
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        owner, code = key[first] >> PAIR_BITS, key[first] & ((1 << PAIR_BITS) - 1)
+        pair_at = np.searchsorted(owner, np.arange(len(texts) + 1))
+        times = np.diff(np.append(first, len(key)))
+        cut = lambda x: pa.ListArray.from_arrays(pa.array(pair_at.astype(np.int32)), pa.array(x.astype(np.int32)))
         return {
             "n_a": n_a,
             "n_b": n_b,
             "n_groups": np.diff(group_at),
-            "n_links": np.bincount(owner, minlength=len(texts)),
+            "n_links": np.diff(np.searchsorted(link_a, texts_a)),
             "groups": self._groups(a, b, ends_a, ends_b, group_at),
-            "pairs": cut(pairs),
+            "pairs": cut(code),
             "times": cut(times),
         }
 
@@ -194,8 +214,8 @@ def align_documents(docs: DataFrame, pair: TokenizerPair, with_groups: bool = Fa
                 batch.column(1).cast(pa.int64()),
                 *(pa.array(found[c].astype(np.int64)) for c in COUNTS),
                 pa.array(digest, pa.string()),
-                pa.array(found["pairs"], pa.list_(pa.int32())),
-                pa.array(found["times"], pa.list_(pa.int32())),
+                found["pairs"],
+                found["times"],
             ]
             names = ["row", "doc_id", *COUNTS, "groups_sha256", "pairs", "times"]
             if with_groups:
