@@ -1,8 +1,10 @@
 import json
 import os
+import random
 
 import pytest
 from league import FAILURES
+from pyspark.sql import functions as F
 
 from touchline.operators.completeness import missing_snapshots
 from touchline.plans.load import missing_summaries, run_records
@@ -115,3 +117,23 @@ def test_registry(spark, scratch):
     assert not schema["id"].nullable and schema["b"].nullable
     with pytest.raises(ValueError, match="GEOGRAPHY"):
         struct_type([{"name": "g", "type": "GEOGRAPHY"}])
+
+
+def test_records_of_one_document_are_spread_over_tasks(spark):
+    many = [{"id": i % 7, "note": random.Random(i).randbytes(100).hex()} for i in range(100_000)]
+    rows = json.dumps(many)
+    boot = json.dumps({**{name: [{"id": 1}] for name in bronze.BOOTSTRAP_ARRAYS.values()}, "elements": many})
+    for records in (bronze.array_records(docs(spark, rows)), bronze.tagged_records(docs(spark, boot))):
+        tasks = records.select("record", F.spark_partition_id().alias("task")).groupBy("task")
+        sizes = [r["count"] for r in tasks.agg(F.count("record").alias("count"), F.max("record")).collect()]
+        assert sum(sizes) >= 100_000 and len(sizes) >= 4 and max(sizes) <= 2 * min(sizes)
+
+
+def test_tagged_records_come_from_one_scan(spark, scratch):
+    df = docs(spark, BOOT)
+    tagged = bronze.tagged_records(df)
+    got = {t: [r.record for r in bronze.bootstrap_records(df, t).collect()] for t in bronze.BOOTSTRAP_ARRAYS}
+    assert sorted((r["table"], r.record) for r in tagged.collect()) == sorted((t, r) for t, rs in got.items() for r in rs)
+    spark.createDataFrame([(json.dumps(BOOT),)], "value string").write.text(f"{scratch}/boot")
+    plan = bronze.tagged_records(spark.read.text(f"{scratch}/boot"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

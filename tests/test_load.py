@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import league
 from league import FAILURES, appearance, fixture, land, player, team
 from touchline.plans.load import load_player_history, load_run, missing_summaries
-from touchline.sources import tables
+from touchline.sources import bronze, tables
 from touchline.streaming.runs import follow_runs, loaded_run
 
 RUN = "2025-09-01T03:00:00Z"
@@ -101,6 +101,37 @@ def test_dead_letters_hold_the_rewritten_record(spark, places):
     ]
 
 
+def test_a_repeat_without_drift_leaves_no_dead_letters(spark, places):
+    where = RUN.replace(":", "%3A")
+    land(spark, places["bronze_root"], RUN, **small_run())
+    load_run(spark, RUN, **places)
+    load_run(spark, RUN, **places)
+    assert len(dead_letters(spark, places)[("players", where)]) == 1
+    land(spark, places["bronze_root"], LATER, **small_run())
+    load_run(spark, LATER, **places)
+    clean = small_run(players=[player(1, team=1)], histories={1: []})
+    land(spark, places["bronze_root"], RUN, **clean)
+    load_run(spark, RUN, show=False, **places)
+    letters = dead_letters(spark, places)
+    assert not any(found for (_, run), found in letters.items() if run == where)
+    assert len(letters[("players", LATER.replace(":", "%3A"))]) == 1
+    read = spark.read.json(places["quarantine_root"])
+    assert {(r["table"], str(r.run_timestamp)[:10]) for r in read.collect()} == {("players", LATER[:10]), ("element_summary", LATER[:10])}
+
+
+def test_the_bootstrap_document_is_parsed_once(spark, places):
+    land(spark, places["bronze_root"], RUN, **small_run())
+    read = []
+
+    def reader(spark, root, endpoint, run):
+        read.append(endpoint)
+        return bronze.read_documents(spark, root, endpoint, run)
+
+    load_run(spark, RUN, read=reader, **places)
+    assert sorted(read) == sorted([bronze.BOOTSTRAP, bronze.FIXTURES, bronze.SUMMARIES])
+    assert not [t.name for t in spark.catalog.listTables(places["db"]) if t.name.startswith("bootstrap_records")]
+
+
 def test_element_summary_is_partitioned_by_round(spark, places):
     land(spark, places["bronze_root"], RUN, **small_run())
     load_run(spark, RUN, **places)

@@ -102,6 +102,12 @@ def test_exact_sum_loses_nothing_or_fails(spark, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_exact_sum_names_the_row_that_does_not_fit(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, 1e-25)], "k int, x double")
+    with pytest.raises(Exception, match=r"1\.0E-25 in \{2\}"):
+        df.agg(scalars.exact_sum(F.col("x"), row=F.struct("k"))).collect()
+
+
 def test_rounding_of_large_values(spark):
     cases = [(2.0**44 + 0.0078125, 2), (2.0**46 + 0.015625, 2), (5e13 + 0.015625, 2), (2.0**51 + 0.5, 0), (2.0**53, 2)]
     for x, digits in cases:

@@ -504,6 +504,23 @@ ORACLES: dict[str, str] = {
         """SELECT 'new_field' AS kind, 'k' AS field, count(*) AS records
            FROM ev WHERE event_type = 'error' HAVING count(*) > 0""",
     ),
+    "drift_descriptor": """
+        WITH n AS (
+          SELECT event_type = 'error' AS k, event_id % 5 = 0 AS s, user_id IS NULL OR event_id % 3 = 0 AS no_user,
+                 event_type IS NULL OR event_id % 7 = 0 AS no_type FROM events),
+        d AS (SELECT * FROM n WHERE k OR s)
+        SELECT kind, field, records FROM (
+          SELECT 'new_field' AS kind, 'k' AS field, count(*) FILTER (k) AS records FROM d
+          UNION ALL SELECT 'new_field', 'session', count(*) FILTER (s) FROM d
+          UNION ALL SELECT 'missing_field', 'user_id', count(*) FILTER (no_user) FROM d
+          UNION ALL SELECT 'missing_field', 'event_type', count(*) FILTER (no_type) FROM d)
+        WHERE records > 0""",
+    "dead_letter_descriptor": """
+        SELECT concat_ws(',', CASE WHEN event_type = 'error' THEN 'k' END, CASE WHEN event_id % 5 = 0 THEN 'session' END) AS new_fields,
+               concat_ws(',', CASE WHEN event_type IS NULL OR event_id % 7 = 0 THEN 'event_type' END,
+                         CASE WHEN user_id IS NULL OR event_id % 3 = 0 THEN 'user_id' END) AS missing_fields,
+               count(*) AS records
+        FROM events WHERE event_type = 'error' OR event_id % 5 = 0 GROUP BY ALL""",
     "dlq_payload": using(
         "ev",
         f"""SELECT '{{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"'

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -289,7 +288,6 @@ def rolling_form(g):
         ["gameweek", "kickoff_time", "fixture_id"],
         marts.FORM_ROWS,
         stats,
-        blocks=[F.struct("gameweek", "kickoff_time"), F.floor(F.col("fixture_id") / 1_000_000)],
     )
     return rolled.select("player_id", "gameweek", "fixture_id", *stats)
 
@@ -368,13 +366,8 @@ def top_k(g):
 
 @query
 def bootstrap_split(g):
-    parts = [
-        drift.conform(bronze.bootstrap_records(g.bootstrap_documents, table), ID_SCHEMA).select(
-            F.lit(table).alias("silver_table"), "id"
-        )
-        for table in bronze.BOOTSTRAP_ARRAYS
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = drift.conform(bronze.tagged_records(g.bootstrap_documents), ID_SCHEMA)
+    return rows.select(F.col("table").alias("silver_table"), "id")
 
 
 @query
@@ -413,6 +406,19 @@ def drift_summary(g):
     return drift.drift_counts(_drifting(g))
 
 
+@query
+def drift_descriptor(g):
+    """Records with one or two new names that may also lack two of the known ones."""
+    return drift.drift_counts(drift.with_drift(g.mixed_records, EVENT_FIELDS))
+
+
+@query
+def dead_letter_descriptor(g):
+    drifting = drift.with_drift(g.mixed_records, EVENT_FIELDS).where("drift is not null")
+    names = [_drift_text(kind) for kind in ("new_fields", "missing_fields")]
+    return drifting.select(*names).groupBy("new_fields", "missing_fields").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query
 def dlq_payload(g):
     return drift.quarantine_payload(_drifting(g), "events", RUN, F.lit(RUN)).select(

@@ -48,25 +48,29 @@ def per_90(total: Column, minutes: Column) -> Column:
     return round_half_away(safe_divide(total, minutes) * 90, 2)
 
 
-def exact_sum(x: Column, window: WindowSpec | None = None) -> Column:
+def exact_sum(x: Column, window: WindowSpec | None = None, row: Column | None = None) -> Column:
     """Sum of a double metric that does not depend on task order.
 
     Adding doubles gives a last bit that changes with the partitioning (or a retried task) and flips
     rounded halves, so values are added as decimals with 18 digits after the point. A value that
     has more digits, and a total beyond 10**20, fail with ANSI mode on or off; nothing is rounded off.
+    The error shows the value, and ``row`` if given.
     """
     exact = x.try_cast(EXACT)
-    lost = F.raise_error(F.concat(F.lit("not exact with 18 decimals: "), x.cast("string"))).cast(EXACT)
-    total, n = F.sum(F.when(x.isNull() | (exact.cast("double") == x), exact).otherwise(lost)), F.count(x)
+    lost = F.concat(F.lit("not exact with 18 decimals: "), x.cast("string"))
+    if row is not None:
+        lost = F.concat(lost, F.lit(" in "), row.cast("string"))
+    misfit = F.raise_error(lost).cast(EXACT)
+    total, n = F.sum(F.when(x.isNull() | (exact.cast("double") == x), exact).otherwise(misfit)), F.count(x)
     if window is not None:
         total, n = total.over(window), n.over(window)
     overflow = F.raise_error(F.lit("metric total is too large")).cast("double")
     return F.when(n > 0, F.coalesce(total.cast("double"), overflow))
 
 
-def exact_avg(x: Column, window: WindowSpec | None = None) -> Column:
+def exact_avg(x: Column, window: WindowSpec | None = None, row: Column | None = None) -> Column:
     n = F.count(x)
-    return safe_divide(exact_sum(x, window), n.over(window) if window else n)
+    return safe_divide(exact_sum(x, window, row), n.over(window) if window else n)
 
 
 def utc_wall_clock(ts: Column) -> Column:

@@ -2,96 +2,88 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-from touchline.operators.keyed import first_n_per_key
-
 Stats = Mapping[str, Callable[[WindowSpec], Column]]
 
+#: Pieces per shuffle partition, and sampled rows per piece.
+PIECES, SAMPLED = 8, 8
+
 
 def rolling_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    rows: int,
-    stats: Stats,
-    *,
-    blocks: Sequence[Column] = (),
-    hot_rows: int = 10_000_000,
-    max_hot: int = 1_000,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, stats: Stats, *, pieces: int | None = None
 ) -> DataFrame:
     """Every row of ``df`` plus ``stats`` over the current and the ``rows - 1`` preceding rows.
 
-    ``order`` lists ascending columns and must be total within a key. Without ``blocks`` this is one
-    window partitioned by ``keys``, so one task sorts all rows of a key.
+    ``order`` lists ascending columns and must be total within a key. NULL keys are a key as others,
+    NULLs in the order come first. The result is that of one window per key, but no task gets a whole
+    key: all rows, in the order of key and ``order``, are cut at ``pieces`` places (eight per shuffle
+    partition by default) that an even sample of rows gives, so a key is cut in proportion to its
+    rows, and windows run per key and block between cuts.
 
-    ``blocks`` are expressions from coarse to fine that never decrease along ``order``, the finer
-    ones within a block of the coarser (a day, then a range of ids). A key with at least
-    ``hot_rows`` rows and more than 1/``max_hot`` of all rows is windowed block by block in
-    parallel, and a block that is still as large is split by the next expression. Each block first
-    receives the ``rows - 1`` rows that precede it, so the result is exactly that of the single
-    window. By definition there are fewer than ``max_hot`` hot groups, which bounds their broadcast.
+    The last ``rows - 1`` rows of a block are handed over to what follows: only the first and last rows
+    of blocks (at most ``2 * rows * pieces`` rows in all) are windowed by key, for the rows that open a
+    block. The cuts depend on nothing but the rows, so retries and second readings agree.
     """
-    if not blocks:
-        return _window(df, list(keys), order, rows, stats)
-    marked, labels = _label_blocks(df, keys, blocks, hot_rows, max_hot)
-    carried = _rows_before_each_block(marked, df.columns, keys, labels, order, rows - 1)
-    both = marked.withColumn("_carried", F.lit(False)).unionByName(carried)
-    return (
-        _window(both, [*keys, *labels], order, rows, stats)
-        .where(~F.col("_carried"))
-        .drop("_carried", *labels)
+    spark = df.sparkSession
+    pieces = pieces or PIECES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = df.columns
+    cuts = _cuts(df, keys, order, pieces)
+    same_key = [F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    place = F.struct(*[F.col(f"d.{c}") for c in order])
+    # One shuffle of the rows; the windows below all read it.
+    dealt = (
+        df.alias("d")
+        .join(F.broadcast(cuts.alias("c")), same_key, "left")
+        .select("d.*", _passed(F.col("c._cuts"), place, pieces).alias("_block"))
+        .repartition(*keys, "_block")
     )
+    block = Window.partitionBy(*keys, "_block").orderBy(*order)
+    numbered = dealt.withColumn("_rn", F.row_number().over(block)).withColumn(
+        "_last", F.lead(F.lit(1), rows - 1).over(block).isNull() if rows > 1 else F.lit(False)
+    )
+    frame = lambda w: w.rowsBetween(1 - rows, 0)
+    inner = numbered.select(*own, "_block", "_rn", *[stat(frame(block)).alias(name) for name, stat in stats.items()])
+    opens = (F.col("_block") > 0) & (F.col("_rn") < rows)
+    # One condition that names a column of the window: it stays above the shuffle, which is then shared.
+    edges = numbered.where(F.when(F.col("_block").isNotNull(), (F.col("_rn") < rows) | F.col("_last")))
+    along = Window.partitionBy(*keys).orderBy(*order)
+    joints = edges.select(*own, "_block", "_rn", *[stat(frame(along)).alias(name) for name, stat in stats.items()])
+    names = [*own, *stats]
+    return inner.where(~F.coalesce(opens, F.lit(False))).select(names).unionByName(joints.where(opens).select(names))
 
 
-def _window(df, keys, order, rows, stats):
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1 - rows, 0)
-    return df.select("*", *[stat(w).alias(name) for name, stat in stats.items()])
-
-
-def _label_blocks(df, keys, blocks, hot_rows, max_hot):
-    """Add one label per level of ``blocks``: the block of a hot group's rows, NULL for the others."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    is_hot = (F.col("_n") >= hot_rows) & (F.col("_n") * max_hot > total)
-    labels: list[str] = []
-    for level, block in enumerate(blocks):
-        groups = [*keys, *labels]
-        undecided = df.where(F.col(labels[-1]).isNotNull()) if labels else df
-        sizes = undecided.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-        hot = sizes.where(is_hot).select(*groups, F.lit(True).alias("_hot"))
-        same_group = [F.col(f"d.{g}").eqNullSafe(F.col(f"h.{g}")) for g in groups]
-        labels.append(f"_block{level}")
-        df = (
-            df.withColumn("_at", block)
-            .alias("d")
-            .join(F.broadcast(hot.alias("h")), same_group, "left")
-            .select(
-                *[F.col(f"d.{c}") for c in df.columns],
-                F.when(F.col("h._hot"), F.struct(F.col("d._at"))).alias(labels[-1]),
-            )
-        )
-    return df, labels
-
-
-def _rows_before_each_block(marked, columns, keys, labels, order, n):
-    """For every block of a hot key, the ``n`` rows before its first row, labelled with the block.
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int) -> DataFrame:
+    """Keys that are cut, each with the sorted places where its blocks begin: ``pieces`` places in all.
 
-    The last ``n`` rows of each block are enough to find them: any of the ``n`` rows before a block
-    is among the last ``n`` of its own block.
+    About ``SAMPLED`` rows per piece, those of the lowest hashes, are put in order, and every
+    ``SAMPLED``-th of them is a cut.
     """
-    newest_first = [F.col(c).desc() for c in order]
-    hot = marked.where(F.col(labels[0]).isNotNull())
-    tails = first_n_per_key(hot, [*keys, *labels], newest_first, n, "_rank")
-    along = Window.partitionBy(*keys).orderBy(*order)
-    before = F.collect_list(F.struct(*columns)).over(along.rowsBetween(-n, -1))
-    block = F.struct(*labels)
-    opens_block = ~F.lag(block).over(along).eqNullSafe(block)
-    return (
-        tails.select(*labels, before.alias("_before"), opens_block.alias("_opens"))
-        .where("_opens")
-        .select(*labels, F.inline("_before"))
-        .withColumn("_carried", F.lit(True))
-    )
+    count = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
+    share = F.pmod(F.xxhash64(*keys, *order), F.lit(1 << 40)) / float(1 << 40)
+    sample = df.select(*keys, *order).where(share < F.lit(float(pieces * SAMPLED)) / count)
+    in_order = Window.orderBy(*keys, *order)
+    thinned = sample.withColumn("_at", F.row_number().over(in_order)).where(F.col("_at") % SAMPLED == 0)
+    return thinned.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
+
+
+def _passed(cuts: Column, place: Column, pieces: int) -> Column:
+    """How many of the sorted ``cuts`` are at or before ``place``, by halving; NULL for keys without cuts."""
+    # The sample may hold somewhat more rows than asked for, never twice as many and 64.
+    turns = F.array(*[F.lit(i) for i in range(math.ceil(math.log2(2 * pieces + 64)) + 1)])
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.floor((low + high) / 2).cast("int")
+        before = F.get(cuts, middle) <= place
+        return F.struct(
+            F.when((low < high) & before, middle + 1).otherwise(low).alias("low"),
+            F.when((low < high) & ~before, middle).otherwise(high).alias("high"),
+        )
+
+    start = F.struct(F.lit(0).alias("low"), F.size(cuts).alias("high"))
+    return F.when(cuts.isNotNull(), F.aggregate(turns, start, halve, lambda s: s["low"]))

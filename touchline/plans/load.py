@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from touchline.operators.completeness import missing_snapshots
@@ -52,21 +54,33 @@ def _stamped(schema):
     return schema.names if STAMP in schema.names else [*schema.names, STAMP]
 
 
-def write_quarantine(payload: DataFrame, root: str) -> None:
+def quarantine_path(root: str, table: str, run: str) -> str:
+    return f"{root}/table={table}/run_timestamp={quote(run, safe='')}"
+
+
+def write_quarantine(payload: DataFrame, root: str, table: str, run: str) -> None:
     """Write the dead letters of a table and run, in few files, in place of any earlier ones.
 
-    So a repeated run leaves each letter once. ``raw_record`` is nested JSON; a record that is no
-    JSON value with distinct keys stays as text.
+    So a repeated run leaves each letter once, and one without drift leaves none. ``raw_record`` is
+    nested JSON; a record that is no JSON value with distinct keys stays as text. Nothing is written
+    where there is no letter and never was one.
     """
+    path = quarantine_path(root, table, run)
+    if payload.isEmpty() and not _is_written(payload.sparkSession, path):
+        return
     nested = F.coalesce(F.try_parse_json("raw_record"), F.col("raw_record").cast("variant"))
-    (
-        payload.withColumn("raw_record", nested)
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("table", "run_timestamp")
-        .json(root)
-    )
+    letters = payload.withColumn("raw_record", nested).drop("table", "run_timestamp")
+    letters.hint("rebalance").write.mode("overwrite").json(path)
+
+
+def _is_written(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def load_table(
@@ -101,14 +115,14 @@ def load_table(
         cluster_by=CLUSTERED.get(table, ()),
     )
     try:
-        if tables.discard_if_empty(spark, db, load):
-            return False
         raw = F.col("_raw")
         rewritten = F.when(F.try_parse_json(raw).isNull(), raw).otherwise(rewritten_record(table, raw))
         drifting = spark.table(f"`{db}`.`{load}`").where(raw.isNotNull()).select(
             rewritten.alias("record"), F.col("_drift").alias("drift")
         )
-        write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root)
+        write_quarantine(quarantine_payload(drifting, table, run, now), quarantine_root, table, run)
+        if tables.discard_if_empty(spark, db, load):
+            return False
         if show:
             properties = {"run_timestamp": run}
             tables.publish(spark, db, table, load, columns=_stamped(schema), properties=properties)
@@ -135,19 +149,28 @@ def load_run(
     """Load every silver table of one run; tells which had records. ``show=False``: dead letters only."""
     if not run:
         raise ValueError("run_timestamp is missing")
-    return {
-        table: load_table(
-            spark,
-            run_records(spark, bronze_root, run, table, read),
-            table,
-            load_schema(spark, registry_root, table),
-            run,
-            db,
-            quarantine_root,
-            show,
-        )
-        for table in SILVER_TABLES
-    }
+    schemas = {table: load_schema(spark, registry_root, table) for table in SILVER_TABLES}
+    # The bootstrap document is parsed once, for all of its tables.
+    tagged = bronze.tagged_records(read(spark, bronze_root, bronze.BOOTSTRAP, run))
+    split = tables.write_load(spark, tagged, db, "bootstrap_records", partition_by=["table"])
+    try:
+        return {
+            table: load_table(
+                spark,
+                spark.table(f"`{db}`.`{split}`").where(F.col("table") == table).select("record")
+                if table in bronze.BOOTSTRAP_ARRAYS
+                else run_records(spark, bronze_root, run, table, read),
+                table,
+                schema,
+                run,
+                db,
+                quarantine_root,
+                show,
+            )
+            for table, schema in schemas.items()
+        }
+    finally:
+        tables.drop_load(spark, db, split)
 
 
 def load_player_history(

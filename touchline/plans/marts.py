@@ -109,6 +109,8 @@ SEASON_SUMS = {
     "recoveries": "recoveries",
     "tackles": "tackles",
 }
+# The totals that stand before goal involvements.
+SCORING = ("starts", "total_minutes", "total_points", "goals_scored", "assists")
 SEASON_METRICS = (
     "expected_goals",
     "expected_assists",
@@ -127,12 +129,13 @@ SEASON_RATES = {
 
 def season_totals(appearances: DataFrame) -> DataFrame:
     """Totals per player. Tasks combine before the shuffle, so a very busy player is no hot spot."""
+    row = F.struct("player_id", "gameweek", "fixture_id")
     return appearances.groupBy("player_id").agg(
         F.count(F.lit(1)).alias("gameweeks_played"),
         F.count_if(F.col("minutes") > 0).alias("gameweeks_with_minutes"),
         *[F.sum(source).alias(name) for name, source in SEASON_SUMS.items()],
-        *[exact_sum(F.col(m)).alias(m) for m in SEASON_METRICS],
-        exact_avg(F.col("price")).alias("avg_price"),
+        *[exact_sum(F.col(m), row=row).alias(m) for m in SEASON_METRICS],
+        exact_avg(F.col("price"), row=row).alias("avg_price"),
         F.max("price").alias("current_price"),
     )
 
@@ -146,7 +149,6 @@ def fct_player_season_stats(
     highest price of the season.
     """
     named = season_totals(appearances).join(named_players(players, teams), "player_id", "left")
-    scoring, others = list(SEASON_SUMS)[:5], list(SEASON_SUMS)[5:]
     rates = {
         name: per_90(F.col(total), F.col("total_minutes")) for name, total in SEASON_RATES.items()
     }
@@ -160,9 +162,9 @@ def fct_player_season_stats(
         "team_short_name",
         "gameweeks_played",
         "gameweeks_with_minutes",
-        *scoring,
+        *SCORING,
         (F.col("goals_scored") + F.col("assists")).alias("goal_involvements"),
-        *others,
+        *[name for name in SEASON_SUMS if name not in SCORING],
         *[round_half_away(F.col(m), 2).alias(m) for m in SEASON_METRICS],
         *[rate.alias(name) for name, rate in rates.items()],
         round_half_away(F.col("avg_price"), 1).alias("avg_price"),

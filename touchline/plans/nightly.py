@@ -21,6 +21,8 @@ from touchline.sources import bronze
 
 LAYOUTS = {"lines": bronze.read_documents, "files": bronze.read_files}
 
+MISSING_SHOWN = 20
+
 log = logging.getLogger(__name__)
 
 
@@ -49,9 +51,10 @@ def refresh(
     for table, done in replaced.items():
         if not done:
             log.warning("no records for %s in run %s: kept the old contents", table, run)
-    missing = missing_summaries(spark, bronze_root, run, read).count()
-    if missing:
-        log.warning("%d players of run %s have no summary", missing, run)
+    missing = missing_summaries(spark, bronze_root, run, read)
+    shown = [r["element_id"] for r in missing.orderBy("element_id").limit(MISSING_SHOWN).collect()]
+    if shown:
+        log.warning("%d players of run %s have no summary, first ids %s", missing.count(), run, shown)
     build_gold(spark, silver_db=silver_db, gold_db=gold_db, as_of=as_of)
     return replaced
 

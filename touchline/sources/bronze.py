@@ -65,17 +65,43 @@ def _required(array: Column, name: str) -> Column:
     return F.coalesce(array, F.raise_error(F.lit(f"document has no array {name!r}")))
 
 
+def _spread(documents: DataFrame, records: Column) -> DataFrame:
+    """One row per element of ``records``, dealt over all tasks by its place in the document.
+
+    One task parses a document whatever its length, so what follows must not stay there. Places are
+    no content: equal records do not meet.
+    """
+    placed = documents.select(F.posexplode(records).alias("_at", "_record"))
+    return placed.repartition("_at").select("_record")
+
+
+def tagged_records(documents: DataFrame) -> DataFrame:
+    """``table`` and ``record`` of all silver tables in bootstrap documents, from one parse of each.
+
+    A missing array fails the job.
+    """
+    schema = ", ".join(f"`{name}` array<string>" for name in BOOTSTRAP_ARRAYS.values())
+    parsed = documents.select(F.from_json("value", schema, STRICT).alias("value"))
+
+    def tagged(table: str, name: str) -> Column:
+        array = _required(F.col("value")[name], name)
+        return F.transform(array, lambda r: F.struct(F.lit(table).alias("table"), r.alias("record")))
+
+    every = F.concat(*[tagged(table, name) for table, name in BOOTSTRAP_ARRAYS.items()])
+    return _spread(parsed, every).select("_record.*")
+
+
 def bootstrap_records(documents: DataFrame, table: str) -> DataFrame:
     """Records of one silver table out of bootstrap documents. A missing array fails the job."""
     name = BOOTSTRAP_ARRAYS[table]
     parsed = F.from_json("value", f"`{name}` array<string>", STRICT)
-    return documents.select(F.explode(_required(parsed[name], name)).alias("record"))
+    return _spread(documents, _required(parsed[name], name)).withColumnRenamed("_record", "record")
 
 
 def array_records(documents: DataFrame) -> DataFrame:
     """Records of documents that are a top-level array."""
     parsed = F.from_json("value", "array<string>", STRICT)
-    return documents.select(F.explode(_required(parsed, "top level")).alias("record"))
+    return _spread(documents, _required(parsed, "top level")).withColumnRenamed("_record", "record")
 
 
 def history_records(documents: DataFrame, **parent: str) -> DataFrame:

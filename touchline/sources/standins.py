@@ -181,6 +181,16 @@ EVENT_RECORD = """
         CASE WHEN event_type = 'error' THEN cast(get_json_object(props, '$.k') AS bigint) END AS k
     ))"""
 
+# Events of which some have one or two names outside the schema, and some lack one or two of its names.
+MIXED_RECORD = """
+    to_json(struct(
+        event_id,
+        CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id,
+        CASE WHEN event_id % 7 > 0 THEN event_type END AS event_type,
+        CASE WHEN event_type = 'error' THEN 1 END AS k,
+        CASE WHEN event_id % 5 = 0 THEN 'x' END AS session
+    ))"""
+
 # A gameweek record per event, whose ``overrides`` is absent, empty, partial or complete.
 OVERRIDE_RECORD = """
     concat('{"id": ', cast(event_id AS string), CASE event_type
@@ -306,6 +316,10 @@ class League:
     def event_records(self):
         return _select(self.events, {"record": EVENT_RECORD})
 
+    @cached_property
+    def mixed_records(self):
+        return _select(self.events, {"record": MIXED_RECORD})
+
     @cached_property
     def override_records(self):
         return _select(self.events, {"record": OVERRIDE_RECORD})
