@@ -6,8 +6,8 @@ holds more than 48**4 windows of the highest order, whatever the size of the cor
 proven bound of everything gathered on the driver and broadcast here (5.3 million entries of 8 bytes
 per language in the worst case, some ten thousands in practice).
 
-Windows are counted by Spark over all rows: each task adds up its rows, and the sums are summed by
-(language, window). Discounts, continuation counts and back-off weights follow from those counts.
+Windows are counted by Spark over all rows: each piece of a task is counted by sorting, and the counts
+are summed by (language, window) before and after one shuffle; no task holds a table per language. Discounts, continuation counts and back-off weights follow from those counts.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from touchline.llm.shared import in_pieces, ship, text_bytes
 ORDER = 4
 SYMBOLS = 48
 PAD = 0
-PIECE = 2_000_000
-LANGUAGES_HELD = 6
+PIECE = 1_000_000
 
 
 def _alphabet(kind: str) -> np.ndarray:
@@ -92,36 +91,21 @@ def count_windows(rows: DataFrame, kind: str) -> DataFrame:
     """``lang, code, n`` over all rows of (``lang``, ``text``); NULL lang is the empty string."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
-
-        def release() -> Iterator[pa.RecordBatch]:
-            for lang, dense in held.items():
-                code = np.flatnonzero(dense)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang]).take(pa.array(np.zeros(len(code), np.int32))),
-                        pa.array(code.astype(np.int32)),
-                        pa.array(dense[code]),
-                    ],
-                    ["lang", "code", "n"],
-                )
-            held.clear()
-
         for batch in in_pieces(batches, PIECE):
-            langs = batch.column(0).fill_null("").to_pylist()
+            langs = batch.column(0).fill_null("").dictionary_encode()
             codes, bounds = packed(*symbols_of(batch.column(1), kind))
-            for lang in sorted(set(langs)):
-                own = [codes[bounds[i] : bounds[i + 1]] for i, x in enumerate(langs) if x == lang]
-                own = np.concatenate(own)
-                if not len(own):
-                    continue
-                if lang not in held:
-                    if len(held) >= LANGUAGES_HELD:
-                        yield from release()
-                    held[lang] = np.zeros(SYMBOLS**ORDER, np.int64)
-                seen = np.bincount(own)
-                held[lang][: len(seen)] += seen
-        yield from release()
+            key = np.repeat(langs.indices.to_numpy().astype(np.int64), np.diff(bounds)) * SYMBOLS**ORDER + codes
+            key.sort()
+            first = np.flatnonzero(np.diff(key, prepend=-1))
+            own = key[first]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    langs.dictionary.take(pa.array(own // SYMBOLS**ORDER)),
+                    pa.array((own % SYMBOLS**ORDER).astype(np.int32)),
+                    pa.array(np.diff(np.append(first, len(key)))),
+                ],
+                ["lang", "code", "n"],
+            )
 
     counted = rows.select("lang", "text").mapInArrow(count, "lang string, code int, n long")
     return counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -210,24 +194,19 @@ def fit_all(counted: DataFrame, discounts: Callable[[np.ndarray], np.ndarray]) -
 
 
 class Scorer:
-    """Log probabilities of windows under some models; remembers the windows it has looked up."""
+    """Log probabilities of windows under some models."""
 
     def __init__(self, models: list[CharModel]):
         self.models = models
-        self.known = np.zeros(SYMBOLS**ORDER, bool)
-        self.value = np.zeros((len(models), SYMBOLS**ORDER), np.float32)
 
     def totals(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Sum of log probabilities, by model and text."""
-        new = codes[~self.known[codes]]
-        if len(new):
-            new = np.unique(new)
-            for i, model in enumerate(self.models):
-                self.value[i, new] = model.score(new)
-            self.known[new] = True
+        """Sum of log probabilities, by model and text. Each different window is looked up once."""
         out = np.zeros((len(self.models), len(bounds) - 1))
-        for i in range(len(self.models)):
-            total = np.concatenate([[0.0], np.cumsum(self.value[i, codes], dtype=np.float64)])
+        if not len(codes):
+            return out
+        kinds, where = np.unique(codes, return_inverse=True)
+        for i, model in enumerate(self.models):
+            total = np.concatenate([[0.0], np.cumsum(model.score(kinds)[where])])
             out[i] = total[bounds[1:]] - total[bounds[:-1]]
         return out
 

@@ -14,6 +14,7 @@ from touchline.llm.shared import in_pieces, send, ship, unpack
 
 UNDETERMINED = "und"
 CALIBRATION_ROWS = 20_000
+CALIBRATION_SHARE = 0.1
 ACCEPT_PRECISION = 0.99
 RESULT = "lang_pred string, score double, cross_entropy double, margin double, accepted boolean"
 
@@ -67,17 +68,24 @@ def _measures(scorer: charlm.Scorer, column: pa.Array):
 def train(rows: DataFrame, calibration_rows: int = CALIBRATION_ROWS) -> LanguageModel:
     """Models and calibration from rows of (``doc_id``, ``text``, ``lang``), all of them used.
 
-    Rows without a language teach nothing. Scores are calibrated on the ``calibration_rows`` rows
-    that come first in the order of a hash of their id; this bound is the only sample. Without any
-    usable row the model knows no language.
+    Rows without a language teach nothing. Scores are calibrated on different rows that are left out
+    of the models: a tenth of all by hash, but about ``calibration_rows`` at most; this bound is the
+    only sample. They are judged where they are read, and only four values of each are gathered.
+    Without any usable row the model knows no language; an empty table is such a case.
     """
     rows = rows.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    fitted = charlm.fit_all(charlm.count_windows(rows, "letters"), charlm.single_discount)
+    n = rows.count()
+    share = min(CALIBRATION_SHARE, calibration_rows / max(n, 1))
+    # Equal rows have one hash: they are calibrated on once, or taught by all of them.
+    mark = F.xxhash64("doc_id", "text", "lang")
+    chosen = F.pmod(mark, F.lit(1 << 40)) < int(share * (1 << 40))
+    fitted = charlm.fit_all(charlm.count_windows(rows.filter(~chosen), "letters"), charlm.single_discount)
     found = LanguageModel(list(fitted), list(fitted.values()))
     if not found.langs:
         return found
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows)
-    seen = _apply(sample, found, ["lang"]).filter(F.col("lang_pred") != UNDETERMINED).toPandas()
+    sample = rows.filter(chosen).select("lang", "text", mark.alias("mark"))
+    judged = _apply(sample, found, ["lang", "mark"]).filter(F.col("lang_pred") != UNDETERMINED)
+    seen = judged.groupBy("mark").agg(*[F.first(c).alias(c) for c in ("lang", "lang_pred", "margin")]).toPandas()
     if len(seen):
         right = (seen["lang"] == seen["lang_pred"]).to_numpy().astype(float)
         lead = seen["margin"].to_numpy()
