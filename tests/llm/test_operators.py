@@ -311,9 +311,31 @@ def near_copies(seed, n=260):
     return rows
 
 
-@pytest.mark.parametrize("leaders", [10**9, 0])
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows of one id are one document: A and B of id 5 link 1 (A') and 2 (B')."""
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    rows = [(5, a), (5, b), (1, a + " x"), (2, b + " y"), (9, "c " + " ".join(map(str, range(40)))), (5, a), (None, a)]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id or 0, r.component_id) for r in got), key=str) == sorted(
+        [(5, 1), (5, 1), (1, 1), (2, 1), (9, 9), (5, 1), (0, None)], key=str
+    )
+
+
+def test_leaders_are_searched_over_inverted_lists(spark, monkeypatch):
+    """Partners of a leader are one partition of the corpus: lists of many members are merged and probed."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*base[:i], f"u{i}", *base[i + 1 :]])) for i in range(60)]
+    asked = []
+    found = jaccard.search
+    monkeypatch.setattr(jaccard, "search", lambda pairs, texts: (asked.append(pairs), found(pairs, texts))[1])
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0}
+    assert asked[0].groupBy("a").count().agg(F.max("count")).first()[0] >= 20
+
+
+@pytest.mark.parametrize("leaders", [10**9, 1])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, leaders):
-    monkeypatch.setattr(jaccard, "OPEN_PAIRS", leaders)
+    monkeypatch.setattr(jaccard, "LONG", leaders)
     rows = near_copies(leaders + 1)
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
@@ -478,3 +500,21 @@ def test_pipeline_judges_rows_not_ids(spark):
     poor = frame([(None, "short"), (5, "short"), *[(None, t) for t in [first, other] * 5], (5, other)])
     kept = text(corpus_pipeline.keep_good(spark, poor, SF_DIR))
     assert (None, "short") not in kept and (5, "short") not in kept and kept
+
+
+def test_decontamination_of_repeated_ids(spark):
+    item = " ".join(f"q{i}" for i in range(30))
+    other = " ".join(f"r{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, item), (1, other), (1, "clean words only"), (2, item + " " + other), (None, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(4, item), (4, other), (5, other)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(1, 4), (1, 5), (2, 4), (2, 5), (None, 4)}
+
+
+def test_toxicity_training_is_bounded_for_repeated_ids(spark, monkeypatch):
+    docs = spark.range(5000).selectExpr("id % 3 AS doc_id", "concat('some words ', id) AS text")
+    known = spark.createDataFrame([(0, 1, 1), (1, 0, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    sizes = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks, **_: sizes.append((len(texts), int(marks.sum()))))
+    toxicity.train(docs, known, toxic_rows=20, clean_rows=30)
+    assert sizes == [(50, 20)]

@@ -153,11 +153,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
     consistent if each value of the item stands for one value of the document and the other way round.
     A pair is reported if consistent offsets cover at least ``min_cover`` of the item's ``windows``, or as
     templates that share of those with enough words for one, or if VERBATIM_RUN words in a row are the
-    same with their values; ``verbatim`` says that no value differs in what matched. Rows with a NULL id
-    are taken as one document, and repeated rows as one; NULL and empty texts match nothing; other
-    columns are not read. An empty table gives no pairs.
+    same with their values; ``verbatim`` says that no value differs in what matched. Texts that share an
+    id, or have none, are judged each by itself, and the best match of an id is reported; repeated rows
+    are one; NULL and empty texts match nothing; other columns are not read. An empty table gives no pairs.
     """
-    asked = benchmark.filter("item_id is not null").select("item_id", "text").dropDuplicates(["item_id"])
+    asked = _by_text(benchmark.filter("item_id is not null"), "item_id").dropDuplicates(["item_id"])
+    docs = _by_text(docs, "doc_id")
     # Inside a document an item's first word may read as a name: both readings are sought.
     read = _words(asked, "item_id").withColumn("quoted", F.lit(False))
     quoted = _words(asked, "item_id", "a ").withColumn("quoted", F.lit(True))
@@ -223,13 +224,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_cover: float = MIN_C
         | ((F.col("by_template") > 0) & (F.col("by_template") >= min_cover * F.col("templates")))
         | ((F.col("matched") > 0) & (F.col("matched") >= min_cover * F.col("windows")))
     )
+    found = covered.join(_item_windows(items), "item_id").filter(leak)
+    best = F.max_by(F.struct("matched", "windows", "verbatim"), F.struct("matched", "verbatim", "windows"))
     return (
-        covered.join(_item_windows(items), "item_id")
-        .filter(leak)
-        .select("doc_id", "item_id", "matched", "windows", "verbatim")
+        found.groupBy(F.col("doc_id.id").alias("doc_id"), F.col("item_id.id").alias("item_id"))
+        .agg(best.alias("best"))
+        .select("doc_id", "item_id", "best.*")
     )
 
 
+def _by_text(rows: DataFrame, key: str) -> DataFrame:
+    """``key`` as a struct of the id and a hash of the text: texts that share an id stay apart."""
+    return rows.select(F.struct(F.col(key).alias("id"), F.xxhash64("text").alias("text")).alias(key), "text")
+
+
 def _item_windows(items: DataFrame) -> DataFrame:
     """How many windows each item has, and how many of them can match as templates."""
     at = F.sequence(F.lit(0), F.size("words") - F.col("size"))

@@ -30,12 +30,11 @@ from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpa
 SHINGLE = 4
 PERCENT = 85
 HEAT_BITS = 20
-MEETINGS = 2
-LEADERS = 4
-OPEN_PAIRS = 32
+MEETINGS = 1
+#: A list of so many sets or more goes through ``TURNS`` turns of ``LEADERS`` leaders before its pairs are formed.
+LONG, LEADERS, TURNS = 4, 2, 2
 SKETCH = ["s0", "s1", "s2", "s3"]
 BROADCAST_IDS = 1_000_000
-SALTS = 32
 BLOCK = 512
 PIECE = 2_000_000
 MU = 0.01
@@ -120,7 +119,8 @@ def heat(docs: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
-    """Per row: set size, 128-bit digest, sketch, and its short lists' shingles in global order.
+    """Per row of (``doc_id``, ``text_hash``, ``text``): set size, 128-bit digest, sketch, and its short
+    lists' shingles in global order.
 
     The sketch has a bit for each of 256 hash buckets: whether an odd number of shingles falls there.
     Two sets differ in at least as many shingles as their sketches differ in bits.
@@ -131,7 +131,7 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
         heats = unpack(sent)
         for batch in in_pieces(batches, PIECE):
             sizes, first, second, tokens, sketches = [], [], [], [], []
-            for own in shingle_sets(batch.column(1)):
+            for own in shingle_sets(batch.column(2)):
                 n = len(own)
                 mixed = words.mix(own)
                 sizes.append(n)
@@ -146,27 +146,30 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(np.array(sizes, np.int64)),
                     pa.array(np.array(first, np.uint64).view(np.int64)),
                     pa.array(np.array(second, np.uint64).view(np.int64)),
                     *map(pa.array, np.stack(sketches, axis=1)),
                     pa.array(tokens, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "d1", "d2", *SKETCH, "tokens"],
+                ["doc_id", "text_hash", "n", "d1", "d2", *SKETCH, "tokens"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        cut, f"doc_id long, n long, d1 long, d2 long, {' long, '.join(SKETCH)} long, tokens array<long>"
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(
+        cut, f"doc_id long, text_hash long, n long, d1 long, d2 long, {' long, '.join(SKETCH)} long, tokens array<long>"
     )
 
 
 def search(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b), those that link. Each a is a query over blocks of its b.
+    """Of candidate pairs (a, b), those that link. Each a is a query over the inverted lists of its b.
 
-    A query's partners are salted over ``SALTS`` tasks; they stream past the query in blocks, so no
-    task holds more than a block.
+    The partners of a query are one partition of the corpus, or several of about ``BLOCK`` sets if they
+    are more; they stream past the query in blocks, so no task holds more than a block.
     """
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    asked = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > BLOCK)
+    parts = F.ceil(F.coalesce("m", F.lit(1)) / BLOCK)
+    salted = pairs.join(asked, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("salt"))
     left, right = texts.toDF("a", "text"), texts.toDF("b", "text")
     members = salted.join(right, "b").select("a", "salt", "b", "text")
     queries = salted.select("a", "salt").distinct().join(left, "a")
@@ -242,13 +245,6 @@ def _labelled(lists: DataFrame, labels: DataFrame | None) -> DataFrame:
     return lists.join(labels, "doc", "left").select(*lists.columns, F.coalesce("label", "doc").alias("label"))
 
 
-def _open_pairs(rows: DataFrame) -> float:
-    """How many pairs of differently labelled documents the lists hold."""
-    per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).cast("double").alias("m"))
-    per_list = per_label.groupBy("token").agg(F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
-    return per_list.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0.0
-
-
 def _often_enough(met: DataFrame) -> DataFrame:
     """Pairs whose lists meet as often as those of linked sets must, and whose sizes allow a link."""
     pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("k"), F.min("size").alias("size"))
@@ -294,58 +290,64 @@ def _left_pairs(rows: DataFrame) -> DataFrame:
     return _often_enough(met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), "size"))
 
 
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The documents of the pairs. Their ids are broadcast below a checked number, else joined."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return stored(docs.join(ids, "doc_id", "left_semi"), "texts")
+def _texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``cls`` and the text of its set, for the classes of the pairs.
+
+    Classes are broadcast below a checked number, else joined. Equal rows are one text.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = stored(classes.join(ids, "cls").select("cls", "rep.*"), "ids")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    found = docs.join(wanted, ["doc_id", "text_hash"]).select("cls", "text")
+    return stored(found.groupBy("cls").agg(F.first("text").alias("text")), "texts")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: components of links of 85 % or more.
 
     Texts without a word, and NULL texts, have no shingle and link with nothing. Rows with the same id
-    are one document. A NULL id links with nothing and its component is NULL. Shingles are told apart
-    by 64 bits of hash. Other columns of the input are not read; an empty table gives no rows.
+    are one document: what links with one of their texts is in their component. A NULL id links with
+    nothing and its component is NULL. Very long texts are compared whole. Shingles are told apart by
+    64 bits of hash. Other columns of the input are not read; an empty table gives no rows.
+
+    Vertices are classes of equal sets. Links between documents that are already connected are not
+    looked for, so links are not counted.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     sets = stored(prefixes(docs, heat(docs)), "prefixes")
     usable = sets.filter("doc_id is not null and n > 0")
-    classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes, "classes")
-    chosen = usable.join(classes.select(F.col("rep").alias("doc_id"), "d1", "d2"), ["doc_id", "d1", "d2"], "left_semi")
-    spread = chosen.select(
-        F.col("doc_id").alias("doc"), F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "token")
+    rep = F.min(F.struct("doc_id", "text_hash")).alias("rep")
+    classes = stored(
+        usable.groupBy("d1", "d2").agg(rep).withColumn("cls", F.monotonically_increasing_id()), "classes"
     )
-    shared = spread.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    lists = spread.join(shared, "token").join(chosen.select(F.col("doc_id").alias("doc"), *SKETCH).dropDuplicates(["doc"]), "doc")
-    lists = stored(lists, "lists")
-    rows_held = lists.count()
-    links, labelled, before = None, _labelled(lists, None), float("inf")
-    for turn in range(int(np.log2(rows_held + 1)) + 1):
-        # Leaders are worth a turn while lists hold many more pairs than rows and turns connect them.
-        left = _open_pairs(labelled)
-        if left <= OPEN_PAIRS * rows_held or 2 * left > before:
-            break
-        before = left
-        pairs = stored(_led_pairs(labelled, turn), "pairs")
-        fresh = stored(search(pairs, _texts(docs, pairs)), "links")
+    named = classes.select("cls", "d1", "d2", "rep.*")
+    chosen = usable.join(named, ["doc_id", "text_hash", "d1", "d2"]).select(F.col("cls").alias("doc"), "n", *SKETCH, "tokens")
+    # Rows that repeat an id and a text are the same set.
+    chosen = stored(chosen.dropDuplicates(["doc"]), "sets")
+    spread = chosen.select("doc", F.col("n").cast("int").alias("n"), *SKETCH, F.posexplode("tokens").alias("pos", "token"))
+    shared = chosen.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    lists = stored(spread.join(shared, "token"), "lists")
+    links, labelled = None, _labelled(lists, None)
+    for turn in range(TURNS):
+        pairs = stored(_led_pairs(labelled.filter(F.col("k") >= LONG), turn), "pairs")
+        fresh = stored(search(pairs, _texts(docs, classes, pairs)), "links")
         links = fresh if links is None else links.unionAll(fresh)
         labelled = stored(_labelled(lists, components(links)), "labelled")
     pairs = stored(_left_pairs(labelled), "pairs")
-    last = stored(search(pairs, _texts(docs, pairs)), "links")
-    links = last if links is None else links.unionAll(last)
+    links = links.unionAll(stored(search(pairs, _texts(docs, classes, pairs)), "links"))
     # Rows of one id with different texts are one document, so their classes are linked.
-    reps = usable.select("doc_id", "d1", "d2").join(classes, ["d1", "d2"]).select("doc_id", "rep")
-    several = reps.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a != z")
-    same_id = reps.join(several, "doc_id").select("a", F.col("rep").alias("b"))
+    owned = usable.select("doc_id", "d1", "d2").join(classes.select("cls", "d1", "d2"), ["d1", "d2"])
+    several = owned.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).filter("a != z")
+    same_id = owned.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("cls").alias("b")).distinct()
     labels = components(links.unionAll(same_id))
-    named = classes.join(labels, classes["rep"] == labels["doc"], "left").select(
-        "d1", "d2", F.coalesce("label", "rep").alias("label")
+    known = classes.join(labels, classes["cls"] == labels["doc"], "left").select(
+        "d1", "d2", F.col("rep.doc_id").alias("first"), F.coalesce("label", "cls").alias("label")
     )
-    linked = sets.join(named, ["d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("label")).otherwise(F.col("doc_id"))
+    lowest = known.groupBy("label").agg(F.min("first").alias("component"))
+    known = stored(known.join(lowest, "label").select("d1", "d2", "component"), "components")
+    linked = sets.join(known, ["d1", "d2"], "left")
+    component = F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component")).otherwise(F.col("doc_id"))
     return linked.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 

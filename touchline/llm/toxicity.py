@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm import words
-from touchline.llm.shared import in_pieces, send, ship, text_bytes, unpack
+from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
 
 BITS = 18
 PREFIXES = (3, 4, 5, 6)
@@ -169,9 +169,10 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> SentenceModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> SentenceModel:
-    """Fit on at most ``toxic_rows`` and ``clean_rows`` labelled documents, the first by hash of id.
+    """Fit on at most ``toxic_rows`` and ``clean_rows`` labelled texts, the first by hash of id.
 
-    These two bounds are the only sample. Labels that are NULL teach nothing; a document with
+    These two bounds are the only sample; the texts of an id that repeats count each, equal ones once.
+    Labels that are NULL teach nothing; a document with
     several labels is toxic if one says so. Without a toxic example nothing is toxic.
     """
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -179,9 +180,16 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     for kind, rows in ((1, toxic_rows), (0, clean_rows)):
         part = known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = part if chosen is None else chosen.unionAll(part)
-    # At most toxic_rows + clean_rows pairs of numbers are broadcast.
-    seen = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    seen = seen.toArrow().combine_chunks()
+    # At most toxic_rows + clean_rows rows of numbers are broadcast, here and below.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    held = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "hash", "toxic").distinct()
+    kept = None
+    for kind, rows in ((1, toxic_rows), (0, clean_rows)):
+        part = held.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id", "hash").limit(rows)
+        kept = part if kept is None else kept.unionAll(part)
+    kept = stored(kept, "examples")
+    seen = texts.join(F.broadcast(kept), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
+    seen = seen.sort("doc_id", "hash").select("doc_id", "text", "toxic").toArrow().combine_chunks()
     order = np.argsort(seen.column("doc_id").to_numpy(), kind="stable")
     seen = seen.take(pa.array(order))
     texts = seen.column("text").combine_chunks() if len(seen) else pa.array([], pa.string())
