@@ -325,9 +325,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     chosen = usable.join(named, ["doc_id", "text_hash", "d1", "d2"]).select(F.col("cls").alias("doc"), "n", *SKETCH, "tokens")
     # Rows that repeat an id and a text are the same set.
     chosen = stored(chosen.dropDuplicates(["doc"]), "sets")
-    spread = chosen.select("doc", F.col("n").cast("int").alias("n"), *SKETCH, F.posexplode("tokens").alias("pos", "token"))
+    spread = chosen.select("doc", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "token"))
     shared = chosen.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    lists = stored(spread.join(shared, "token"), "lists")
+    # Sketches join what is left: most shingles are in one set only.
+    lists = stored(spread.join(shared, "token").join(chosen.select("doc", *SKETCH), "doc"), "lists")
     links, labelled = None, _labelled(lists, None)
     for turn in range(TURNS):
         pairs = stored(_led_pairs(labelled.filter(F.col("k") >= LONG), turn), "pairs")
