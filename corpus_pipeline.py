@@ -13,11 +13,12 @@ ORACLE_SQL = None
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with a stored key ``_row`` each, and the same for an operator, with the key as ``doc_id``.
+    """Rows with a key ``_row`` each, and the same for an operator, with the key as ``doc_id``.
 
-    Decisions are about rows: ids may be NULL or repeat with other texts.
+    Decisions are about rows: ids may be NULL or repeat with other texts. A stage reads files, and the
+    key is a row's place in them, the same at every reading.
     """
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("_row"), *COLUMNS), "rows")
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), *COLUMNS)
     return rows, rows.select(F.col("_row").alias("doc_id"), *COLUMNS[1:])
 
 
