@@ -24,7 +24,7 @@ from touchline.llm.shared import in_pieces, ship, text_bytes
 ORDER = 4
 SYMBOLS = 48
 PAD = 0
-PIECE = 1_000_000
+PIECE = 500_000
 
 
 def _alphabet(kind: str) -> np.ndarray:

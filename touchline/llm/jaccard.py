@@ -36,7 +36,7 @@ LONG, LEADERS, TURNS = 4, 2, 2
 SKETCH = ["s0", "s1", "s2", "s3"]
 BROADCAST_IDS = 1_000_000
 BLOCK = 512
-PIECE = 2_000_000
+PIECE = 500_000
 MU = 0.01
 
 

@@ -20,7 +20,7 @@ LEAST_G = 20.0
 STEPS = 200
 RATE = 0.1
 DECAY = 1e-4
-PIECE = 2_000_000
+PIECE = 500_000
 OFFENDING = 0.5
 
 #: Bytes between words: ASCII that is neither letter nor digit.
