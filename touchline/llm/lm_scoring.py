@@ -1,100 +1,132 @@
 """Cross-entropy difference of documents under matched target and background bigram models.
 
-Counts are kept as rows, one per word and one per pair of neighbouring words, so the models grow with
-the corpus and no two words share a count. A word is known by the 64 bits of its hash, a pair by those
-of both of its words.
+Counts are exact: a word is known by the 64 bits of its hash, a pair of neighbouring words by those of
+both of its words, and no two share a count. The loss of a word after another is the log of what the
+previous word was followed by, less the log of a sum that depends on the pair and its second word. The
+first belongs to a word as context, the second to a word and what stands before it, so all that the tokens
+of one word need is counted where they meet. Texts are shuffled once as tokens, dealt by word, and only
+sums per document come back; no table of pairs is stored.
+
+Words with more than a fixed share of all tokens are dealt by pair, with their own counts broadcast, and
+pairs with more than such a share are scored where they are read, so no key gathers in one task. Neither
+set can be larger than that share allows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, functions as F
 
 from touchline.llm import words
-from touchline.llm.shared import in_pieces, ship, stored, text_bytes
+from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
 
 MASS = 20.0
 PIECE = 2_000_000
-#: A key with more than this share of all tokens is joined by broadcast: at most so many keys have it.
-HOT_KEYS = 1 << 14
+#: A word with this share of all tokens or more is common: at most so many words are.
+COMMON_WORDS = 1 << 16
+#: At most so many pairs are common, among them every pair with twice this share of all tokens.
+COMMON_PAIRS = 1 << 14
+#: Tokens that meet in one group of tokens.
+GROUP_TOKENS = 3_000_000
+#: Rows of a piece are numbered by 16 bits.
+PIECE_ROWS = 30_000
 #: Stands before the first word of a text; no word has it as its hash.
 OPENING = 0
+COUNTS = ["target", "total", "context_target", "context_total"]
+TOKENS = "rows array<long>, target array<boolean>, at array<smallint>, word array<long>, prev array<long>, n array<int>, last array<int>"
+SUMS = "doc_id array<long>, tokens array<long>, loss array<double>, background_loss array<double>"
 
 
 @dataclass
-class MatchedModels:
-    """Counts in the target and in all documents: of pairs, of words, and of words as context.
-
-    ``mass`` is the number of tokens of each, ``kinds`` the number of different words.
-    """
+class Common:
+    """What tasks know beforehand: sizes, counts of common words (rows of COUNTS), and of common pairs."""
 
-    pairs: DataFrame
-    words: DataFrame
-    contexts: DataFrame
     mass: tuple[int, int]
     kinds: int
-
-    def hot(self, total: Column) -> Column:
-        return total * HOT_KEYS >= self.mass[1]
-
-    def losses(self, pairs: DataFrame) -> DataFrame:
-        """Loss in nats of the word of each counted pair under both models.
-
-        Both share the vocabulary (all words, and one for those never seen), order and smoothing; the
-        background's counts are scaled to the target's mass. A text's first word has no context.
+    words: np.ndarray
+    word_counts: np.ndarray
+    pairs: np.ndarray
+    pair_counts: np.ndarray
+    groups: int = 1
+
+    def word_places(self, word: np.ndarray) -> np.ndarray:
+        return _places(self.words, word)
+
+    def pair_places(self, prev: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each pair among the common ones, or -1. Both words are compared."""
+        keys = _pair_keys(self.pairs[0], self.pairs[1])
+        at = _places(keys, _pair_keys(prev, word))
+        held = np.flatnonzero(at >= 0)
+        wrong = (self.pairs[0][at[held]] != prev[held]) | (self.pairs[1][at[held]] != word[held])
+        at[held[wrong]] = -1
+        return at
+
+    def losses(self, prev, n, last, pair, word) -> list[np.ndarray]:
+        """Loss in nats under both models of ``n`` tokens each, of which ``last`` end their text.
+
+        ``pair`` and ``word`` hold their counts. Both models share the vocabulary (all words, and one
+        for those never seen), order and smoothing; the background's counts are scaled to the target's
+        mass. A text's first word has no context; a word that ends its text is none.
         """
-        rows = pairs.select("prev", "word", "target", "total")
-        rows = _looked_up(rows, self.words, ["word"], {"target": "word_target", "total": "word_total"}, self.hot)
-        rows = _looked_up(rows, self.contexts, ["prev"], {"target": "prev_target", "total": "prev_total"}, self.hot)
         scale = self.mass[0] / self.mass[1] if self.mass[1] else 0.0
         out = []
-        for name, x in (("target", 1.0), ("total", scale)):
-            alone = (F.coalesce(f"word_{name}", F.lit(0)) * x + 1.0 / (self.kinds + 1)) / (self.mass[0] + 1.0)
-            context = F.coalesce(f"prev_{name}", F.lit(0)) * x
-            joint = (F.col(name) * x + MASS * alone) / (context + MASS)
-            out.append(-F.log(F.when(F.col("prev") == OPENING, alone).otherwise(joint)))
-        return rows.select("prev", "word", "total", out[0].alias("loss"), out[1].alias("background_loss"))
+        for i, x in enumerate((1.0, scale)):
+            alone = (word[i] * x + 1.0 / (self.kinds + 1)) / (self.mass[0] + 1.0)
+            joint = np.where(prev == OPENING, alone, pair[i] * x + MASS * alone)
+            out.append((n - last) * np.log(word[i + 2] * x + MASS) - n * np.log(joint))
+        return out
 
 
-def _looked_up(rows: DataFrame, table: DataFrame, keys: list[str], values: dict[str, str], hot) -> DataFrame:
-    """Left join of ``rows`` with ``table`` by ``keys``; no hot key has its rows in one task.
+@dataclass
+class MatchedModels:
+    """The documents learned from, with ``target``; counts of all words; and what tasks know beforehand.
 
-    Hot keys (at most HOT_KEYS) are joined by broadcast; their rows are dealt by all their columns into
-    the join of the others, whose result is not used for them.
+    ``words`` counts each word in the target and in all documents, and as context of another.
     """
-    own = rows.columns
-    is_hot = hot(F.col("total"))
-
-    def side(found: DataFrame, mark: str) -> DataFrame:
-        return found.select(*[F.col(k).alias(f"_{mark}{k}") for k in keys], *[F.col(v).alias(f"_{mark}v_{v}") for v in values])
-
-    few, many = F.broadcast(side(table.filter(is_hot), "h")), side(table.filter(~is_hot), "c")
-    known = F.col(f"_hv_{next(iter(values))}").isNotNull()
-    spread = rows.join(few, [F.col(k) == F.col(f"_h{k}") for k in keys], "left").select(
-        *own,
-        *[f"_hv_{v}" for v in values],
-        *[F.when(known, F.xxhash64(*own)).otherwise(F.col(k)).alias(f"_k{k}") for k in keys],
-    )
-    joined = spread.join(many, [F.col(f"_k{k}") == F.col(f"_c{k}") for k in keys], "left")
-    return joined.select(*own, *[F.coalesce(f"_hv_{v}", f"_cv_{v}").alias(name) for v, name in values.items()])
 
+    docs: DataFrame
+    marked: DataFrame
+    words: DataFrame
+    common: Common
+
+    @property
+    def kinds(self) -> int:
+        return self.common.kinds
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each lower-cased word and of the one before it, and the places where texts meet."""
+
+def _places(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Place of each key in a sorted table, or -1."""
+    if not len(table):
+        return np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return np.where(table[at] == keys, at, -1)
+
+
+def _pair_keys(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return words.mix(prev.view(np.uint64) * np.uint64(words.GOLDEN) + word.view(np.uint64))
+
+
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each lower-cased word and of the one before it, whether it ends its text, and where texts meet."""
     data, offsets = text_bytes(column)
     found, _ = words.segments(words.LOWER[data], offsets, words.SPACE)
     word = np.where(found.hash == OPENING, np.uint64(1), found.hash).view(np.int64)
     prev = np.concatenate([[OPENING], word])[:-1].astype(np.int64)
-    prev[found.bounds[:-1][np.diff(found.bounds) > 0]] = OPENING
-    return word, prev, found.bounds
+    held = np.diff(found.bounds) > 0
+    prev[found.bounds[:-1][held]] = OPENING
+    last = np.zeros(len(word), np.int64)
+    last[found.bounds[1:][held] - 1] = 1
+    return word, prev, last, found.bounds
 
 
 def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order that sorts rows by ``columns``, and where in it each different row begins."""
+    """The order that sorts rows by ``columns``, the last one first, and where in it each different row begins."""
     order = np.lexsort(columns)
     new = np.zeros(len(order), bool)
     new[:1] = True
@@ -104,106 +136,273 @@ def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def count_pairs(rows: DataFrame) -> DataFrame:
-    """How often each pair occurs in the targets and in all rows of (``text``, ``target``)."""
+def _added(at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, at) if len(at) else np.zeros(0, np.int64)
+
+
+def _sizes(at: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(at, n))
+
+
+def _flags(column: pa.Array, bounds: np.ndarray) -> np.ndarray:
+    return np.repeat(column.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
+
+
+def _word_rows(marked: DataFrame) -> DataFrame:
+    """Counts of words by piece; rows with a ``prev`` are pairs that are common in a piece instead."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, PIECE):
-            word, prev, bounds = _tokens(batch.column(0))
+            word, prev, last, bounds = _tokens(batch.column(0))
             if not len(word):
                 continue
-            target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
-            order, at = _runs(word, prev)
-            total = np.diff(np.append(at, len(order)))
+            target = _flags(batch.column(1), bounds)
+            order, at = _runs(word)
+            sums = [_added(at, x[order]) for x in (target, np.ones_like(target), target * (1 - last), 1 - last)]
+            # Only pairs of words that are as common themselves can be: few tokens are sorted again.
+            often = np.zeros(len(word), bool)
+            often[order] = np.repeat(sums[1] * COMMON_PAIRS >= len(word), sums[1])
+            own = np.flatnonzero(often & (prev != OPENING))
+            by_pair, first = _runs(prev[own], word[own])
+            n = _sizes(first, len(own))
+            met = n * COMMON_PAIRS >= len(word)
+            kept, n = own[by_pair[first[met]]], n[met]
+            none = np.zeros(len(n), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (prev[order][at], word[order][at], np.add.reduceat(target[order], at), total)],
-                ["prev", "word", "target", "total"],
+                [
+                    pa.concat_arrays([pa.nulls(len(at), pa.int64()), pa.array(prev[kept])]),
+                    pa.array(np.concatenate([word[order[at]], word[kept]])),
+                    *(pa.array(np.concatenate(x)) for x in zip(sums, (none, n, none, none), strict=True)),
+                ],
+                ["prev", "word", *COUNTS],
             )
 
-    pieces = rows.select("text", "target").mapInArrow(count, "prev long, word long, target long, total long")
-    return _added(pieces, "prev", "word")
+    return marked.select("text", "target").mapInArrow(count, f"prev long, word long, {' long, '.join(COUNTS)} long")
+
+
+def _columns(rows: DataFrame, names: list[str]) -> np.ndarray:
+    """A bounded table on the driver, by column."""
+    held = rows.select(*names).toArrow()
+    return np.stack([held.column(c).to_numpy().astype(np.int64) for c in names])
+
+
+def _count_pairs(marked: DataFrame, common: Common) -> DataFrame:
+    """How often each of the common pairs occurs in the targets and in all rows."""
+    sent = send(marked.sparkSession, common)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpack(sent)
+        sums = np.zeros((2, known.pairs.shape[1]), np.int64)
+        for batch in in_pieces(batches, PIECE):
+            word, prev, _, bounds = _tokens(batch.column(0))
+            at = known.pair_places(prev, word)
+            target = _flags(batch.column(1), bounds)[at >= 0]
+            at = at[at >= 0]
+            sums[0] += np.bincount(at[target == 1], minlength=sums.shape[1])
+            sums[1] += np.bincount(at, minlength=sums.shape[1])
+        met = np.flatnonzero(sums[1])
+        yield pa.RecordBatch.from_arrays([pa.array(met), *map(pa.array, sums[:, met])], ["place", "target", "total"])
 
-def _added(counts: DataFrame, *keys: str) -> DataFrame:
-    return counts.groupBy(*keys).agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
+    found = marked.select("text", "target").mapInArrow(count, "place long, target long, total long")
+    return found.groupBy("place").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> MatchedModels:
     """Models over all documents: target are those labelled of good quality, background is all.
 
     Labels that are NULL say nothing; a document with several labels is a target if one says so.
-    Without a target both models are the uniform one. Only totals reach the driver.
+    Without a target both models are the uniform one. Only totals, common words and common pairs reach
+    the driver. A pair is common if the pieces of text where it has its share hold that share of all
+    tokens of it: a pair with twice the share always does.
     """
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
-    marked = docs.select("doc_id", "text").join(good.withColumn("target", F.lit(True)), "doc_id", "left")
-    pairs = stored(count_pairs(marked.select("text", F.coalesce("target", F.lit(False)).alias("target"))), "pairs")
-    single = stored(_added(pairs, "word"), "words")
-    contexts = stored(_added(pairs.filter(F.col("prev") != OPENING), "prev"), "contexts")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    marked = rows.join(good.withColumn("target", F.lit(True)), "doc_id", "left").select(
+        "row", "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")
+    )
+    counted = _word_rows(marked).groupBy("prev", "word").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    counted = stored(counted, "words")
+    single = counted.filter("prev is null").drop("prev")
     n = single.agg(F.sum("target").alias("target"), F.sum("total").alias("total"), F.count(F.lit(1)).alias("kinds")).first()
-    return MatchedModels(pairs, single, contexts, (n["target"] or 0, n["total"] or 0), n["kinds"])
+    mass = (n["target"] or 0, n["total"] or 0)
+    held = _columns(single.filter(F.col("total") * COMMON_WORDS >= mass[1]), ["word", *COUNTS])
+    held = held[:, np.argsort(held[0])]
+    pairs = _columns(counted.filter(F.col("prev").isNotNull() & (F.col("total") * COMMON_PAIRS >= mass[1])), ["prev", "word"])
+    pairs = pairs[:, np.argsort(_pair_keys(pairs[0], pairs[1]))]
+    common = Common(mass, n["kinds"], held[0], held[1:], pairs, np.zeros(pairs.shape, np.int64))
+    if pairs.shape[1]:
+        found = _columns(_count_pairs(marked, common), ["place", "target", "total"])
+        common.pair_counts[:, found[0]] = found[1:]
+    return MatchedModels(docs, marked, single, common)
 
 
-def _document_pairs(docs: DataFrame) -> DataFrame:
-    """Each row's different pairs and how often it holds them, and one row ``head`` with its id and tokens."""
+def _lists(values: np.ndarray, cuts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(values))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataFrame:
+    """Tokens of all rows by group, a record per piece and group; and per piece what is known of its rows.
+
+    A group's record holds its rows once and, sorted by word, each different token of a row.
+    """
+    sent = send(rows.sparkSession, common)
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches, PIECE):
-            word, prev, bounds = _tokens(batch.column(2))
+            for at in range(0, len(batch), PIECE_ROWS):
+                yield batch.slice(at, PIECE_ROWS)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpack(sent)
+        for batch in pieces(batches):
             row = batch.column(0).to_numpy()
-            n = np.diff(bounds)
-            owner = np.repeat(row, n)
-            order, at = _runs(word, prev, owner)
-            heads, often = len(row), np.diff(np.append(at, len(order)))
-            first = order[at]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([row, owner[first]])),
-                    pa.concat_arrays([batch.column(1).cast(pa.int64()), pa.nulls(len(at), pa.int64())]),
-                    # The key of a head stands for no pair and spreads the heads.
-                    pa.array(np.concatenate([row, prev[first]])),
-                    pa.array(np.concatenate([row, word[first]])),
-                    pa.array(np.concatenate([n, often]).astype(np.int64)),
-                    pa.array(np.arange(heads + len(at)) < heads),
-                ],
-                ["row", "doc_id", "prev", "word", "n", "head"],
+            word, prev, last, bounds = _tokens(batch.column(2))
+            owner = np.repeat(np.arange(len(row)), np.diff(bounds))
+            alone = known.word_places(word)
+            place = np.full(len(word), -1)
+            often = np.flatnonzero(alone >= 0)
+            place[often] = known.pair_places(prev[often], word[often])
+            at = np.flatnonzero(place >= 0)
+            if scored:
+                held = known.losses(prev[at], 1, last[at], known.pair_counts[:, place[at]], known.word_counts[:, alone[at]])
+                direct = [np.bincount(owner[at], x, len(row)).astype(np.float64) for x in held]
+                whole = np.array([0, len(row)])
+                yield _record(
+                    [int(row[0]) % known.groups],
+                    {
+                        "rows": _lists(row, whole),
+                        "doc_id": pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), batch.column(1).cast(pa.int64())),
+                        "tokens": _lists(np.diff(bounds).astype(np.int64), whole),
+                        "loss": _lists(direct[0], whole),
+                        "background_loss": _lists(direct[1], whole),
+                    },
+                    counts,
+                    scored,
+                )
+            rest = np.flatnonzero(place < 0)
+            if not len(rest):
+                continue
+            word, prev, last, owner, alone = word[rest], prev[rest], last[rest], owner[rest], alone[rest]
+            mixed = words.mix(word.view(np.uint64) ^ np.where(alone >= 0, _pair_keys(prev, word), np.uint64(0)))
+            group = (mixed % np.uint64(known.groups)).astype(np.int64)
+            order, first = _runs(owner, prev, word, group)
+            n, last, kept = _sizes(first, len(order)), _added(first, last[order]), order[first]
+            group, owner = group[kept], owner[kept]
+            code, local = np.unique(group * len(row) + owner, return_inverse=True)
+            met = np.unique(group)
+            row_cuts = np.append(np.searchsorted(code // len(row), met), len(code))
+            cuts = np.append(np.searchsorted(group, met), len(group))
+            local = local - np.repeat(row_cuts[:-1], np.diff(cuts))
+            target = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            yield _record(
+                met,
+                {
+                    "rows": _lists(row[code % len(row)], row_cuts),
+                    "target": _lists(target[code % len(row)], row_cuts),
+                    "at": _lists(local.astype(np.int16), cuts),
+                    "word": _lists(word[kept], cuts),
+                    "prev": _lists(prev[kept], cuts),
+                    "n": _lists(n.astype(np.int32), cuts),
+                    "last": _lists(last.astype(np.int32), cuts),
+                },
+                counts,
+                scored,
             )
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        count, "row long, doc_id long, prev long, word long, n long, head boolean"
+    return rows.select("row", "doc_id", "text", "target").mapInArrow(
+        deal, f"grp long, counts boolean, scored boolean, {TOKENS}, {SUMS}"
     )
 
 
+ARRAYS = {
+    "rows": pa.int64(), "target": pa.bool_(), "at": pa.int16(), "word": pa.int64(), "prev": pa.int64(), "n": pa.int32(),
+    "last": pa.int32(), "doc_id": pa.int64(), "tokens": pa.int64(), "loss": pa.float64(), "background_loss": pa.float64(),
+}
+
+
+def _record(group, held: dict[str, pa.Array], counts: bool, scored: bool) -> pa.RecordBatch:
+    n = len(group)
+    lists = [held.get(name, pa.nulls(n, pa.list_(kind))) for name, kind in ARRAYS.items()]
+    flags = [pa.array([x] * n, pa.bool_()) for x in (counts, scored)]
+    return pa.RecordBatch.from_arrays([pa.array(np.array(group, np.int64)), *flags, *lists], ["grp", "counts", "scored", *ARRAYS])
+
+
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    chunks = [c.flatten() for c in table.column(name).chunks]
+    return np.concatenate([c.to_numpy(zero_copy_only=False) for c in chunks]) if chunks else np.zeros(0)
+
+
+def _scored(table: pa.Table, known: Common) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows of a group that are to be scored, and the losses of their tokens in it under both models."""
+    rows_of = pa.compute.list_value_length(table.column("rows")).to_numpy()
+    n_of = pa.compute.list_value_length(table.column("at")).to_numpy()
+    row, target = _flat(table, "rows"), _flat(table, "target").astype(np.int64)
+    word, prev = _flat(table, "word"), _flat(table, "prev")
+    n, last = _flat(table, "n").astype(np.int64), _flat(table, "last").astype(np.int64)
+    owner = _flat(table, "at") + np.repeat(np.cumsum(rows_of) - rows_of, n_of)
+    counted = n * np.repeat(table.column("counts").to_numpy(), n_of)
+    ended = last * np.repeat(table.column("counts").to_numpy(), n_of)
+    good = target[owner]
+    order, first = _runs(prev, word)
+    each = np.repeat(np.arange(len(first)), _sizes(first, len(order)))
+    pair = np.stack([_added(first, x[order]) for x in (counted * good, counted)])
+    by_word = word[order][first]
+    begins = np.flatnonzero(np.diff(by_word, prepend=~by_word[:1]) != 0)
+    starts = first[begins]
+    sums = np.stack([_added(starts, x[order]) for x in (counted * good, counted, (counted - ended) * good, counted - ended)])
+    place = known.word_places(by_word[begins])
+    sums[:, place >= 0] = known.word_counts[:, place[place >= 0]]
+    of_pair = np.repeat(np.arange(len(begins)), _sizes(begins, len(first)))
+    held = known.losses(prev[order], n[order], last[order], pair[:, each], sums[:, of_pair[each]])
+    asked = np.repeat(table.column("scored").to_numpy(), rows_of)
+    return row[asked], [np.bincount(owner[order], x, len(row))[asked] for x in held]
+
+
 def score(docs: DataFrame, models: MatchedModels) -> DataFrame:
     """Per document: tokens, mean loss under both models, and the mean difference per token.
 
     ``score`` is the target's cross-entropy less the background's: the lower, the more the text
     resembles the target. A NULL or empty text has no tokens and scores 0. One row per input row,
-    repeated rows and NULL ids included; other columns of the input are not read.
+    repeated rows and NULL ids included; very long texts are scored whole; an empty table gives no
+    rows; other columns of the input are not read.
+
+    Documents the models were trained on are counted and scored in one reading; with others, those of
+    the models are read again to be counted.
     """
-    grams = _document_pairs(docs)
-    known = stored(models.losses(models.pairs), "losses")
-
-    def sums() -> DataFrame:
-        values = {"loss": "loss", "background_loss": "background_loss"}
-        found = _looked_up(grams, known, ["prev", "word"], values, models.hot)
-        added = lambda x: F.coalesce(F.sum(F.when(~F.col("head"), F.col("n") * F.col(x))), F.lit(0.0))
-        return stored(
-            found.groupBy("row").agg(
-                F.max("doc_id").alias("doc_id"),
-                F.max(F.when(F.col("head"), F.col("n"))).alias("n_tokens"),
-                added("loss").alias("loss"),
-                added("background_loss").alias("background_loss"),
-                F.max(~F.col("head") & F.col("loss").isNull()).alias("unseen"),
-            ),
-            "sums",
+    tokens = models.common.mass[1]
+    own = docs.sameSemantics(models.docs)
+    if not own:
+        tokens += (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 4
+    common = replace(models.common, groups=max(1, math.ceil(tokens / GROUP_TOKENS)))
+    dealt = _dealt(models.marked, common, True, own)
+    if not own:
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.lit(False).alias("target"))
+        dealt = dealt.unionAll(_dealt(rows, common, False, True))
+    sent = send(docs.sparkSession, common)
+
+    def judge(table: pa.Table) -> pa.Table:
+        known = unpack(sent)
+        heads = table.filter(pa.compute.is_valid(table.column("tokens")))
+        dealt = table.filter(pa.compute.is_null(table.column("tokens")))
+        row, sums = _flat(heads, "rows").astype(np.int64), [_flat(heads, c) for c in ("loss", "background_loss")]
+        ids = pa.concat_arrays([c.flatten() for c in heads.column("doc_id").chunks] or [pa.nulls(0, pa.int64())])
+        n = _flat(heads, "tokens").astype(np.int64)
+        more, losses = _scored(dealt, known) if len(dealt) else (row[:0], [x[:0] for x in sums])
+        return pa.Table.from_arrays(
+            [
+                pa.array(np.concatenate([row, more])),
+                pa.concat_arrays([ids, pa.nulls(len(more), pa.int64())]),
+                pa.array(np.concatenate([n, np.zeros(len(more), np.int64)])),
+                *(pa.array(np.concatenate(x).astype(np.float64)) for x in zip(sums, losses, strict=True)),
+            ],
+            ["row", "doc_id", "n_tokens", "loss", "background_loss"],
         )
 
-    out = sums()
-    if out.filter("unseen").limit(1).count():
-        new = grams.filter("not head").select("prev", "word").join(models.pairs, ["prev", "word"], "left_anti").distinct()
-        new = new.select("prev", "word", F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("total"))
-        known = stored(known.unionAll(models.losses(new)), "losses")
-        out = sums()
+    found = dealt.groupBy("grp").applyInArrow(
+        judge, "row long, doc_id long, n_tokens long, loss double, background_loss double"
+    )
+    added = [F.sum(c).alias(c) for c in ("n_tokens", "loss", "background_loss")]
+    out = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *added)
     per_token = lambda x: x / F.greatest("n_tokens", F.lit(1))
     return out.select(
         "doc_id",
