@@ -29,17 +29,21 @@ from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpa
 MASS = 20.0
 PIECE = 2_000_000
 #: A word with this share of all tokens or more is common: at most so many words are.
-COMMON_WORDS = 1 << 16
+COMMON_WORDS = (1 << 16) - 2
 #: At most so many pairs are common, among them every pair with twice this share of all tokens.
 COMMON_PAIRS = 1 << 14
 #: Tokens that meet in one group of tokens.
-GROUP_TOKENS = 3_000_000
+GROUP_TOKENS = 1_000_000
+#: Ids of the target are broadcast up to this number, else joined.
+BROADCAST_IDS = 2_000_000
 #: Rows of a piece are numbered by 16 bits.
 PIECE_ROWS = 30_000
 #: Stands before the first word of a text; no word has it as its hash.
 OPENING = 0
+#: Number of all words that are not common.
+RARE = (1 << 16) - 1
 COUNTS = ["target", "total", "context_target", "context_total"]
-TOKENS = "rows array<long>, target array<boolean>, at array<smallint>, word array<long>, prev array<long>, n array<int>, last array<int>"
+TOKENS = "rows array<long>, target array<boolean>, at array<smallint>, word array<long>, before array<smallint>, prev array<long>, n array<int>, last array<int>"
 SUMS = "doc_id array<long>, tokens array<long>, loss array<double>, background_loss array<double>"
 
 
@@ -58,6 +62,17 @@ class Common:
     def word_places(self, word: np.ndarray) -> np.ndarray:
         return _places(self.words, word)
 
+    def numbers(self, prev: np.ndarray) -> np.ndarray:
+        """16 bits for each word: 0 for the opening, RARE for a word that is not common."""
+        at = self.word_places(prev)
+        return np.where(prev == OPENING, 0, np.where(at >= 0, at + 1, RARE)).astype(np.uint16)
+
+    def hashes(self, before: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """The words of ``numbers``; those that are not common stand in ``rare``, in order."""
+        prev = np.concatenate([[OPENING], self.words, np.zeros(RARE - len(self.words), np.int64)])[before]
+        prev[before == RARE] = rare
+        return prev
+
     def pair_places(self, prev: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Place of each pair among the common ones, or -1. Both words are compared."""
         keys = _pair_keys(self.pairs[0], self.pairs[1])
@@ -217,6 +232,9 @@ def train(docs: DataFrame, labels: DataFrame) -> MatchedModels:
     """
     good = labels.filter("quality = 1 and doc_id is not null").select("doc_id").distinct()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    good = stored(good, "good")
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     marked = rows.join(good.withColumn("target", F.lit(True)), "doc_id", "left").select(
         "row", "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target")
     )
@@ -288,6 +306,8 @@ def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataF
             order, first = _runs(owner, prev, word, group)
             n, last, kept = _sizes(first, len(order)), _added(first, last[order]), order[first]
             group, owner = group[kept], owner[kept]
+            before = known.numbers(prev[kept])
+            rare = np.flatnonzero(before == RARE)
             code, local = np.unique(group * len(row) + owner, return_inverse=True)
             met = np.unique(group)
             row_cuts = np.append(np.searchsorted(code // len(row), met), len(code))
@@ -301,7 +321,8 @@ def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataF
                     "target": _lists(target[code % len(row)], row_cuts),
                     "at": _lists(local.astype(np.int16), cuts),
                     "word": _lists(word[kept], cuts),
-                    "prev": _lists(prev[kept], cuts),
+                    "before": _lists(before.view(np.int16), cuts),
+                    "prev": _lists(prev[kept][rare], np.searchsorted(rare, cuts)),
                     "n": _lists(n.astype(np.int32), cuts),
                     "last": _lists(last.astype(np.int32), cuts),
                 },
@@ -315,7 +336,7 @@ def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataF
 
 
 ARRAYS = {
-    "rows": pa.int64(), "target": pa.bool_(), "at": pa.int16(), "word": pa.int64(), "prev": pa.int64(), "n": pa.int32(),
+    "rows": pa.int64(), "target": pa.bool_(), "at": pa.int16(), "word": pa.int64(), "before": pa.int16(), "prev": pa.int64(), "n": pa.int32(),
     "last": pa.int32(), "doc_id": pa.int64(), "tokens": pa.int64(), "loss": pa.float64(), "background_loss": pa.float64(),
 }
 
@@ -329,7 +350,8 @@ def _record(group, held: dict[str, pa.Array], counts: bool, scored: bool) -> pa.
 
 def _flat(table: pa.Table, name: str) -> np.ndarray:
     chunks = [c.flatten() for c in table.column(name).chunks]
-    return np.concatenate([c.to_numpy(zero_copy_only=False) for c in chunks]) if chunks else np.zeros(0)
+    parts = [c.to_numpy(zero_copy_only=False) for c in chunks]
+    return np.concatenate(parts) if parts else np.zeros(0, ARRAYS[name].to_pandas_dtype())
 
 
 def _scored(table: pa.Table, known: Common) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -337,7 +359,8 @@ def _scored(table: pa.Table, known: Common) -> tuple[np.ndarray, list[np.ndarray
     rows_of = pa.compute.list_value_length(table.column("rows")).to_numpy()
     n_of = pa.compute.list_value_length(table.column("at")).to_numpy()
     row, target = _flat(table, "rows"), _flat(table, "target").astype(np.int64)
-    word, prev = _flat(table, "word"), _flat(table, "prev")
+    word = _flat(table, "word")
+    prev = known.hashes(_flat(table, "before").view(np.uint16), _flat(table, "prev"))
     n, last = _flat(table, "n").astype(np.int64), _flat(table, "last").astype(np.int64)
     owner = _flat(table, "at") + np.repeat(np.cumsum(rows_of) - rows_of, n_of)
     counted = n * np.repeat(table.column("counts").to_numpy(), n_of)
