@@ -27,13 +27,17 @@ from touchline.llm import words
 from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
 
 MASS = 20.0
-PIECE = 2_000_000
+PIECE = 1_000_000
 #: A word with this share of all tokens or more is common: at most so many words are.
 COMMON_WORDS = (1 << 16) - 2
 #: At most so many pairs are common, among them every pair with twice this share of all tokens.
 COMMON_PAIRS = 1 << 14
 #: Tokens that meet in one group of tokens.
-GROUP_TOKENS = 1_000_000
+GROUP_TOKENS = 2_000_000
+#: Tokens of a group whose losses are worked out at once.
+TURN_TOKENS = 250_000
+#: Sums come back by blocks of so many rows (a power of 2 below 2**15).
+BLOCK_BITS = 12
 #: Ids of the target are broadcast up to this number, else joined.
 BROADCAST_IDS = 2_000_000
 #: Rows of a piece are numbered by 16 bits.
@@ -288,7 +292,7 @@ def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataF
                 yield _record(
                     [int(row[0]) % known.groups],
                     {
-                        "rows": _lists(row, whole),
+                        "rows": _lists(_steps(row, whole), whole),
                         "doc_id": pa.ListArray.from_arrays(pa.array(whole.astype(np.int32)), batch.column(1).cast(pa.int64())),
                         "tokens": _lists(np.diff(bounds).astype(np.int64), whole),
                         "loss": _lists(direct[0], whole),
@@ -317,7 +321,7 @@ def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataF
             yield _record(
                 met,
                 {
-                    "rows": _lists(row[code % len(row)], row_cuts),
+                    "rows": _lists(_steps(row[code % len(row)], row_cuts), row_cuts),
                     "target": _lists(target[code % len(row)], row_cuts),
                     "at": _lists(local.astype(np.int16), cuts),
                     "word": _lists(word[kept], cuts),
@@ -335,17 +339,39 @@ def _dealt(rows: DataFrame, common: Common, counts: bool, scored: bool) -> DataF
     )
 
 
+#: Arrays of the records, by element type; ``place`` is in those of sums only.
 ARRAYS = {
     "rows": pa.int64(), "target": pa.bool_(), "at": pa.int16(), "word": pa.int64(), "before": pa.int16(), "prev": pa.int64(), "n": pa.int32(),
-    "last": pa.int32(), "doc_id": pa.int64(), "tokens": pa.int64(), "loss": pa.float64(), "background_loss": pa.float64(),
+    "last": pa.int32(), "doc_id": pa.int64(), "place": pa.int16(), "tokens": pa.int64(), "loss": pa.float64(), "background_loss": pa.float64(),
 }
 
 
+BLOCK_NAMES = ["block", "place", "doc_id", "tokens", "loss", "background_loss"]
+
+
+def _steps(row: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """In each list the first row, then the difference of each to the one before: mostly 1."""
+    steps = np.diff(row, prepend=0)
+    steps[cuts[:-1]] = row[cuts[:-1]]
+    return steps
+
+
+def _rows(table: pa.Table) -> np.ndarray:
+    """The rows of all lists of ``_steps``."""
+    steps, n = _flat(table, "rows"), _lengths(table, "rows")
+    total = np.concatenate([[0], np.cumsum(steps)])
+    return total[1:] - np.repeat(total[np.cumsum(n) - n], n)
+
+
+def _lengths(table: pa.Table, name: str) -> np.ndarray:
+    return pa.compute.list_value_length(table.column(name)).to_numpy().astype(np.int64)
+
+
 def _record(group, held: dict[str, pa.Array], counts: bool, scored: bool) -> pa.RecordBatch:
     n = len(group)
-    lists = [held.get(name, pa.nulls(n, pa.list_(kind))) for name, kind in ARRAYS.items()]
+    lists = [held.get(name, pa.nulls(n, pa.list_(kind))) for name, kind in ARRAYS.items() if name != "place"]
     flags = [pa.array([x] * n, pa.bool_()) for x in (counts, scored)]
-    return pa.RecordBatch.from_arrays([pa.array(np.array(group, np.int64)), *flags, *lists], ["grp", "counts", "scored", *ARRAYS])
+    return pa.RecordBatch.from_arrays([pa.array(np.array(group, np.int64)), *flags, *lists], ["grp", "counts", "scored", *(x for x in ARRAYS if x != "place")])
 
 
 def _flat(table: pa.Table, name: str) -> np.ndarray:
@@ -355,30 +381,84 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
 
 
 def _scored(table: pa.Table, known: Common) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rows of a group that are to be scored, and the losses of their tokens in it under both models."""
-    rows_of = pa.compute.list_value_length(table.column("rows")).to_numpy()
-    n_of = pa.compute.list_value_length(table.column("at")).to_numpy()
-    row, target = _flat(table, "rows"), _flat(table, "target").astype(np.int64)
-    word = _flat(table, "word")
-    prev = known.hashes(_flat(table, "before").view(np.uint16), _flat(table, "prev"))
-    n, last = _flat(table, "n").astype(np.int64), _flat(table, "last").astype(np.int64)
-    owner = _flat(table, "at") + np.repeat(np.cumsum(rows_of) - rows_of, n_of)
-    counted = n * np.repeat(table.column("counts").to_numpy(), n_of)
-    ended = last * np.repeat(table.column("counts").to_numpy(), n_of)
-    good = target[owner]
+    """Rows of a group that are to be scored, and the losses of their tokens in it under both models.
+
+    All tokens of a word fall into one turn, a range of hashes.
+    """
+    rows_of, n_of = _lengths(table, "rows"), _lengths(table, "at")
+    row, target = _rows(table), _flat(table, "target")
+    word, before, rare = _flat(table, "word"), _flat(table, "before").view(np.uint16), _flat(table, "prev")
+    n, last = _flat(table, "n"), _flat(table, "last")
+    owner = (_flat(table, "at") + np.repeat(np.cumsum(rows_of) - rows_of, n_of)).astype(np.int32)
+    counted = np.repeat(table.column("counts").to_numpy(), n_of)
+    sums = [np.zeros(len(row)), np.zeros(len(row))]
+    turns = -(-len(word) // TURN_TOKENS)
+    turn = (words.mix(word.view(np.uint64) + np.uint64(1)) % np.uint64(max(turns, 1))).astype(np.int16)
+    rare_at = np.cumsum(before == RARE, dtype=np.int32)
+    for i in range(turns):
+        own = np.flatnonzero(turn == i)
+        prev = known.hashes(before[own], rare[rare_at[own][before[own] == RARE] - 1])
+        at = owner[own]
+        found = _losses(known, word[own], prev, n[own].astype(np.int64), last[own].astype(np.int64), counted[own], target[at])
+        for total, (order, loss) in zip(sums, found, strict=True):
+            total += np.bincount(at[order], loss, len(row))
+    asked = np.repeat(table.column("scored").to_numpy(), rows_of)
+    return row[asked], [x[asked] for x in sums]
+
+
+def _losses(known: Common, word, prev, n, last, counted, good) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Under both models, an order of the tokens and their losses in it, from the counts of these tokens."""
     order, first = _runs(prev, word)
-    each = np.repeat(np.arange(len(first)), _sizes(first, len(order)))
-    pair = np.stack([_added(first, x[order]) for x in (counted * good, counted)])
-    by_word = word[order][first]
-    begins = np.flatnonzero(np.diff(by_word, prepend=~by_word[:1]) != 0)
-    starts = first[begins]
-    sums = np.stack([_added(starts, x[order]) for x in (counted * good, counted, (counted - ended) * good, counted - ended)])
-    place = known.word_places(by_word[begins])
+    word, prev, n, last, counted, good = (x[order] for x in (word, prev, n, last, counted, good))
+    size = _sizes(first, len(order))
+    held = [n * (counted & good), n * counted]
+    pair = [np.repeat(_added(first, x), size) for x in held]
+    begins = np.flatnonzero(np.diff(word, prepend=~word[:1]) != 0)
+    held += [(n - last) * (counted & good), (n - last) * counted]
+    sums = np.stack([_added(begins, x) for x in held])
+    place = known.word_places(word[begins])
     sums[:, place >= 0] = known.word_counts[:, place[place >= 0]]
-    of_pair = np.repeat(np.arange(len(begins)), _sizes(begins, len(first)))
-    held = known.losses(prev[order], n[order], last[order], pair[:, each], sums[:, of_pair[each]])
-    asked = np.repeat(table.column("scored").to_numpy(), rows_of)
-    return row[asked], [np.bincount(owner[order], x, len(row))[asked] for x in held]
+    size = _sizes(begins, len(word))
+    for loss in known.losses(prev, n, last, pair, [np.repeat(x, size) for x in sums]):
+        yield order, loss
+
+
+def _blocks(row: np.ndarray, sums: dict[str, pa.Array]) -> pa.Table:
+    """Sums of rows, a record per block of rows."""
+    order = np.argsort(row, kind="stable")
+    block = row[order] >> BLOCK_BITS
+    met = np.flatnonzero(np.diff(block, prepend=-1))
+    cuts = pa.array(np.append(met, len(row)).astype(np.int32))
+    place = pa.array((row[order] & ((1 << BLOCK_BITS) - 1)).astype(np.int16))
+    lists = [pa.ListArray.from_arrays(cuts, x.take(pa.array(order))) for x in sums.values()]
+    return pa.Table.from_arrays([pa.array(block[met]), pa.ListArray.from_arrays(cuts, place), *lists], BLOCK_NAMES)
+
+
+def _judge(table: pa.Table, known: Common) -> pa.Table:
+    """What a group knows of its rows, by block."""
+    heads = table.filter(pa.compute.is_valid(table.column("tokens")))
+    dealt = table.filter(pa.compute.is_null(table.column("tokens")))
+    known_of = {c: pa.concat_arrays([x.flatten() for x in heads.column(c).chunks] or [pa.nulls(0, ARRAYS[c])]) for c in BLOCK_NAMES[2:]}
+    out = [_blocks(_rows(heads), known_of)]
+    if len(dealt):
+        row, losses = _scored(dealt, known)
+        none = [pa.nulls(len(row), pa.int64())] * 2
+        out.append(_blocks(row, dict(zip(BLOCK_NAMES[2:], [*none, *map(pa.array, losses)], strict=True))))
+    return pa.concat_tables(out)
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """Sums per row of a block."""
+    place = _flat(table, "place").astype(np.int64)
+    sums = [np.bincount(place, _flat(table, c), 1 << BLOCK_BITS) for c in ("loss", "background_loss")]
+    tokens = pa.concat_arrays([x.flatten() for x in table.column("tokens").chunks])
+    ids = pa.concat_arrays([x.flatten() for x in table.column("doc_id").chunks])
+    heads = np.flatnonzero(tokens.is_valid().to_numpy(zero_copy_only=False))
+    at = place[heads]
+    return pa.Table.from_arrays(
+        [ids.take(pa.array(heads)), tokens.take(pa.array(heads)), *(pa.array(x[at]) for x in sums)],
+        ["doc_id", "n_tokens", "loss", "background_loss"],
+    )
 
 
 def score(docs: DataFrame, models: MatchedModels) -> DataFrame:
@@ -404,28 +484,10 @@ def score(docs: DataFrame, models: MatchedModels) -> DataFrame:
     sent = send(docs.sparkSession, common)
 
     def judge(table: pa.Table) -> pa.Table:
-        known = unpack(sent)
-        heads = table.filter(pa.compute.is_valid(table.column("tokens")))
-        dealt = table.filter(pa.compute.is_null(table.column("tokens")))
-        row, sums = _flat(heads, "rows").astype(np.int64), [_flat(heads, c) for c in ("loss", "background_loss")]
-        ids = pa.concat_arrays([c.flatten() for c in heads.column("doc_id").chunks] or [pa.nulls(0, pa.int64())])
-        n = _flat(heads, "tokens").astype(np.int64)
-        more, losses = _scored(dealt, known) if len(dealt) else (row[:0], [x[:0] for x in sums])
-        return pa.Table.from_arrays(
-            [
-                pa.array(np.concatenate([row, more])),
-                pa.concat_arrays([ids, pa.nulls(len(more), pa.int64())]),
-                pa.array(np.concatenate([n, np.zeros(len(more), np.int64)])),
-                *(pa.array(np.concatenate(x).astype(np.float64)) for x in zip(sums, losses, strict=True)),
-            ],
-            ["row", "doc_id", "n_tokens", "loss", "background_loss"],
-        )
-
-    found = dealt.groupBy("grp").applyInArrow(
-        judge, "row long, doc_id long, n_tokens long, loss double, background_loss double"
-    )
-    added = [F.sum(c).alias(c) for c in ("n_tokens", "loss", "background_loss")]
-    out = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), *added)
+        return _judge(table, unpack(sent))
+
+    blocks = dealt.groupBy("grp").applyInArrow(judge, f"block long, place array<smallint>, {SUMS}")
+    out = blocks.groupBy("block").applyInArrow(_total, "doc_id long, n_tokens long, loss double, background_loss double")
     per_token = lambda x: x / F.greatest("n_tokens", F.lit(1))
     return out.select(
         "doc_id",
