@@ -486,7 +486,8 @@ def score(docs: DataFrame, models: MatchedModels) -> DataFrame:
     def judge(table: pa.Table) -> pa.Table:
         return _judge(table, unpack(sent))
 
-    blocks = dealt.groupBy("grp").applyInArrow(judge, f"block long, place array<smallint>, {SUMS}")
+    # About one group a task: several would be sorted together in memory.
+    blocks = dealt.repartition(common.groups, "grp").groupBy("grp").applyInArrow(judge, f"block long, place array<smallint>, {SUMS}")
     out = blocks.groupBy("block").applyInArrow(_total, "doc_id long, n_tokens long, loss double, background_loss double")
     per_token = lambda x: x / F.greatest("n_tokens", F.lit(1))
     return out.select(
