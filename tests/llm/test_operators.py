@@ -151,6 +151,24 @@ def test_lm_counts_are_exact_beyond_any_table(spark):
             assert [r.target_entropy, r.background_entropy] == pytest.approx(want[r.doc_id], abs=1e-9)
 
 
+def test_lm_scores_do_not_depend_on_pieces_groups_or_what_is_common(spark, monkeypatch):
+    for name, value in {"COMMON_WORDS": 8, "COMMON_PAIRS": 8, "PIECE": 300, "PIECE_ROWS": 3, "GROUP_TOKENS": 60, "TURN_TOKENS": 9}.items():
+        monkeypatch.setattr(lm_scoring, name, value)
+    rows = [(i, " ".join(["very often"] * (i % 4) + [f"w{(i * j) % 23}" for j in range(i % 13)])) for i in range(60)]
+    rows.append((60, "very often " * 200))
+    targets = {i for i in range(60) if i % 3 == 0}
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    model = lm_scoring.train(d, spark.createDataFrame([(i, 1) for i in targets], "doc_id long, quality int"))
+    common = model.common
+    assert 0 < len(common.words) <= 8 and 0 < common.pairs.shape[1] <= 8 and len(common.words) < model.kinds
+    for scored in (rows, rows[5:20]):
+        again = d if scored is rows else spark.createDataFrame(scored, "doc_id long, text string")
+        got, want = lm_scoring.score(again, model).collect(), brute_entropies(rows, targets, scored)
+        assert sorted(r.doc_id for r in got) == sorted(want)
+        for r in got:
+            assert [r.target_entropy, r.background_entropy] == pytest.approx(want[r.doc_id], abs=1e-9)
+
+
 def test_bpe_equals_the_library(docs, texts):
     library = Tokenizer.from_file(BPE_FILE)
     got = {r.doc_id: r for r in bpe.encode_documents(docs, bpe.read_vocabulary(BPE_FILE)).collect()}
