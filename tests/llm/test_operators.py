@@ -351,6 +351,18 @@ def test_leaders_are_searched_over_inverted_lists(spark, monkeypatch):
     assert asked[0].groupBy("a").count().agg(F.max("count")).first()[0] >= 20
 
 
+def test_left_pairs_are_formed_once_for_a_run_of_lists(spark, monkeypatch):
+    """Six documents of three labels share ten lists; lists of one label give nothing."""
+    rows = [(100 + t, d, 20, t, d // 2, 0, 0, 0, 0) for t in range(10) for d in range(6)]
+    rows += [(200 + t, d, 20, 10 + t, 0, 0, 0, 0, 0) for t in range(3) for d in (0, 1)]
+    lists = spark.createDataFrame(rows, "token long, doc long, n int, pos int, label long, s0 long, s1 long, s2 long, s3 long")
+    met, often = [], jaccard._often_enough
+    monkeypatch.setattr(jaccard, "_often_enough", lambda m: (met.append(m.count()), often(m))[1])
+    got = {(r.a, r.b) for r in jaccard._left_pairs(lists).collect()}
+    assert got == {(a, b) for a in range(6) for b in range(a + 1, 6) if a // 2 != b // 2}
+    assert met == [len(got)]
+
+
 @pytest.mark.parametrize("leaders", [10**9, 1])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, leaders):
     monkeypatch.setattr(jaccard, "LONG", leaders)

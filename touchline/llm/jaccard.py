@@ -10,7 +10,8 @@ the longest by binary search.
 
 Equal sets are one class and searched once. In a list that many near copies share, pairs of documents
 known to be connected are not formed again: some leaders are compared with all of the list first, and
-only what stays unconnected is paired, which leaves the components exact.
+only what stays unconnected is paired, once for a run of common lists, which leaves the components
+exact.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.llm import hashed, words
 from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
@@ -33,6 +34,8 @@ HEAT_BITS = 20
 MEETINGS = 1
 #: A list of so many sets or more goes through ``TURNS`` turns of ``LEADERS`` leaders before its pairs are formed.
 LONG, LEADERS, TURNS = 4, 2, 2
+#: Lists before a meeting that are looked at for an earlier one of the same pair.
+BEFORE = 4
 SKETCH = ["s0", "s1", "s2", "s3"]
 BROADCAST_IDS = 1_000_000
 BLOCK = 512
@@ -280,12 +283,18 @@ def _led_pairs(rows: DataFrame, turn: int) -> DataFrame:
 def _left_pairs(rows: DataFrame) -> DataFrame:
     """All pairs that are not known to be connected and may link.
 
-    Only documents outside a list's largest label are paired with the others of the list.
+    Only documents outside a list's largest label are paired with the others of the list, so lists of
+    one label are left out. A pair that meets in many lists is formed in the first of them, as far as
+    the ``BEFORE`` lists before each meeting show it.
     """
     per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
-    largest = per_label.groupBy("token").agg(F.max_by("label", F.struct("m", "label")).alias("main"))
-    marked = rows.join(largest, "token").withColumn("minor", F.col("label") != F.col("main"))
-    once = ~F.col("y.minor") | (F.col("x.doc") < F.col("y.doc"))
+    largest = per_label.groupBy("token").agg(
+        F.max_by("label", F.struct("m", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
+    )
+    mixed = rows.join(largest.filter("labels > 1"), "token").withColumn("minor", F.col("label") != F.col("main"))
+    earlier = Window.partitionBy("doc").orderBy("pos").rowsBetween(-BEFORE, -1)
+    marked = stored(mixed.drop("labels", "main").withColumn("before", F.collect_list("token").over(earlier)), "mixed")
+    once = (~F.col("y.minor") | (F.col("x.doc") < F.col("y.doc"))) & ~F.arrays_overlap("x.before", "y.before")
     met = _met(marked.filter("minor"), marked).filter(once)
     return _often_enough(met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b"), "size"))
 
