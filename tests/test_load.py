@@ -8,7 +8,7 @@ import league
 from league import FAILURES, appearance, fixture, land, player, team
 from touchline.plans.load import load_player_history, load_run, missing_summaries
 from touchline.sources import bronze, tables
-from touchline.streaming.runs import follow_runs, loaded_run
+from touchline.streaming.runs import follow_runs, load_landed, loaded_run, main
 
 RUN = "2025-09-01T03:00:00Z"
 LATER = "2025-09-02T03:00:00Z"
@@ -248,3 +248,27 @@ def test_following_runs(spark, places, scratch):
     follow(spark, places)
     assert [r.id for r in spark.table(f"{places['db']}.teams").collect()] == [6]
     assert loaded_run(spark, places["db"]) == newest
+
+
+def test_loading_runs_without_marks(spark, places):
+    root = places["bronze_root"]
+    land(spark, root, RUN, **small_run(histories={1: None}), announce=False)
+    land(spark, root, LATER, **small_run(teams=[team(5)]), announce=False)
+    newest = "2025-09-03T03:00:00Z"
+    land(spark, root, newest, **small_run(teams=[team(6)], histories={1: None}), announce=False)
+    assert {r.run_timestamp for r in bronze.landed_runs(spark, root).collect()} == {RUN, LATER, newest}
+    assert load_landed(spark, **places) == [RUN, LATER]
+    assert loaded_run(spark, places["db"]) == LATER and load_landed(spark, **places) == []
+    land(spark, root, newest, **small_run(teams=[team(6)]), announce=False)
+    options = [f"--{k}={places[k + '_root']}" for k in ("bronze", "registry", "quarantine")]
+    main([*options, f"--silver-db={places['db']}", "--unannounced"])
+    assert [r.id for r in spark.table(f"{places['db']}.teams").collect()] == [6]
+
+
+def test_landed_runs_of_single_files(spark, scratch):
+    for name in ("bootstrap-static/r 1%.json", "fixtures/r 1%.json", "element-summaries/r 1%/7.json", "fixtures/r2.json"):
+        path = f"{scratch}/{name}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write("{}")
+    assert [r.run_timestamp for r in bronze.landed_runs(spark, scratch).collect()] == ["r 1%"]

@@ -61,6 +61,24 @@ def read_files(spark: SparkSession, root: str, endpoint: str, run: str) -> DataF
     return spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path"))
 
 
+def landed_runs(spark: SparkSession, root: str) -> DataFrame:
+    """``run_timestamp`` of every run with files of all endpoints, in either layout.
+
+    Only the names of files are read. All endpoints must have a folder.
+    """
+    endpoints = (BOOTSTRAP, FIXTURES, SUMMARIES)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    paths = files.load([f"{root}/{e}" for e in endpoints]).select("path")
+    pattern = rf".*/({'|'.join(endpoints)})/([^/]+)"
+    endpoint, own = (F.regexp_extract("path", pattern, i) for i in (1, 2))
+    quoted = F.replace(F.regexp_replace(own, "^run_timestamp=", ""), F.lit("+"), F.lit("%2B"))
+    named = F.when(own.startswith("run_timestamp="), F.try_url_decode(quoted))
+    run = named.otherwise(F.regexp_replace(own, r"\.json$", ""))
+    found = paths.select(run.alias("run_timestamp"), endpoint.alias("endpoint"))
+    counted = found.groupBy("run_timestamp").agg(F.countDistinct("endpoint").alias("n"))
+    return counted.filter(F.col("n") == len(endpoints)).select("run_timestamp")
+
+
 def _required(array: Column, name: str) -> Column:
     return F.coalesce(array, F.raise_error(F.lit(f"document has no array {name!r}")))
 

@@ -1,14 +1,27 @@
-"""Incremental loading: follow announced runs and refresh silver with each."""
+"""Incremental loading: follow landed runs and refresh silver with each.
+
+    spark-submit --py-files touchline.zip touchline/streaming/runs.py \
+        --bronze <dir> --registry <dir> --quarantine <dir> \
+        [--layout lines|files] [--checkpoint <dir>] [--unannounced]
+
+``--unannounced`` finds runs by their files instead of by the marks of ``announce_run``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import argparse
+import logging
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.plans.load import SILVER_TABLES, Reader, load_run
+from touchline.plans.load import SILVER_TABLES, Reader, load_run, missing_summaries
+from touchline.plans.nightly import LAYOUTS
 from touchline.sources import bronze, tables
 from touchline.sources.bronze import RUNS
 
+log = logging.getLogger(__name__)
+
 
 def follow_runs(
     spark: SparkSession,
@@ -55,7 +68,59 @@ def follow_runs(
     )
 
 
+def load_landed(
+    spark: SparkSession,
+    *,
+    bronze_root: str,
+    registry_root: str,
+    quarantine_root: str,
+    db: str = "silver",
+    read: Reader = bronze.read_documents,
+) -> list[str]:
+    """Load the landed runs that are newer than what silver holds, oldest first, and return them.
+
+    For landings without marks: runs are found by their files. The newest may still be landing, so it
+    waits until every player it names has a summary, or until a newer run follows it.
+    """
+    fresh = bronze.landed_runs(spark, bronze_root).filter(F.col("run_timestamp") > loaded_run(spark, db))
+    # One row per run, not per document.
+    runs = sorted(row["run_timestamp"] for row in fresh.collect())
+    if runs and not missing_summaries(spark, bronze_root, runs[-1], read).isEmpty():
+        log.warning("run %s has players without a summary: left for later", runs.pop())
+    for run in runs:
+        load_run(
+            spark,
+            run,
+            bronze_root=bronze_root,
+            registry_root=registry_root,
+            quarantine_root=quarantine_root,
+            db=db,
+            read=read,
+        )
+    return runs
+
+
 def loaded_run(spark: SparkSession, db: str) -> str:
     """The newest run any silver table was refreshed from; empty before the first load."""
     runs = [tables.view_property(spark, db, t, "run_timestamp") for t in SILVER_TABLES]
     return max((r for r in runs if r), default="")
+
+
+def main(arguments: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Load the runs that have landed since the last call.")
+    for root in ("bronze", "registry", "quarantine"):
+        parser.add_argument(f"--{root}", required=True, dest=f"{root}_root")
+    parser.add_argument("--silver-db", default="silver", dest="db")
+    parser.add_argument("--layout", choices=sorted(LAYOUTS), default="lines")
+    parser.add_argument("--checkpoint", default=None)
+    parser.add_argument("--unannounced", action="store_true")
+    options = vars(parser.parse_args(arguments))
+    spark, read, checkpoint = SparkSession.builder.getOrCreate(), LAYOUTS[options.pop("layout")], options.pop("checkpoint")
+    if options.pop("unannounced"):
+        load_landed(spark, read=read, **options)
+    else:
+        follow_runs(spark, read=read, checkpoint=checkpoint, **options).awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
