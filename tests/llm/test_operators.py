@@ -212,6 +212,17 @@ def found_items(spark, items, texts):
     return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(d, asked).collect()}
 
 
+def test_tagged_words_are_read_from_whole_texts(spark):
+    """Marks are taken off whole texts, not word by word, and any run of white space is one blank."""
+    d = spark.createDataFrame([(1, " see\t5 km \n\u0001 - and  Janet's 3%\n"), (2, " \u0002 - ")], "doc_id long, text string")
+    words = decontaminate._words(d, "doc_id")
+    got = {r.doc_id: (r.tags, r.plain_tags) for r in words.collect()}
+    tags = ["see", "\u0001\u00045\u0004", "\u0002\u0004km", "and", "\u0003\u0004janets", "\u0001\u00043\u0004\u0002\u0004"]
+    assert got == {1: (tags, ["see", "5", "km", "and", "janets", "3"]), 2: ([""], [""])}
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
+
+
 def test_decontamination_reads_names_that_open_sentences(spark):
     items = [
         "Janet has 3 cats. Janet buys 4 more. How many cats does Janet have?",

@@ -43,19 +43,21 @@ def tagged(text: Column, openers: bool = False) -> Column:
     Marks are dropped, and any run of white space is one blank.
     """
     before = r"(?<![\p{L}\p{N}])(?<![\p{L}\p{N}]['\u2019-])" if openers else r"(?<=[\p{Ll},;] )"
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001-\u0004\\s]+", " ")
+    # Single blanks, which are most runs, are not matched.
+    runs = "[\u0001-\u0004\\s]{2,}|[\u0001-\u0004\\s&&[^ ]]"
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), runs, " ")
     out = F.regexp_replace(out, rf"(?=\p{{Lu}}){before}(\p{{Lu}}[\p{{L}}'\u2019-]*)", f"{NAME}{VALUE}$1")
     out = F.regexp_replace(out, r"[0-9]+(?:[.,][0-9]+)*", f"{NUMBER}{VALUE}$0{VALUE}")
     out = F.regexp_replace(
         out, f"(?i){VALUE}([ \\t]?)({UNITS}|[%$\u20ac\u00a3])(?![\\p{{L}}\\p{{N}}])", f"{VALUE}$1{UNIT}{VALUE}$2"
     )
-    out = F.regexp_replace(out, f"[^\\p{{L}}\\p{{N}}\\s\u0001-\u0004]+", "")
-    return F.lower(F.trim(F.regexp_replace(out, r"\s+", " ")))
+    out = F.regexp_replace(out, "[^a-zA-Z\\p{L}\\p{N}\\s\u0001-\u0004]+", "")
+    return F.lower(F.trim(F.regexp_replace(out, "  +", " ")))
 
 
-def _plain(word: Column) -> Column:
-    """A tagged word without its marks."""
-    return F.translate(word, NUMBER + UNIT + NAME + VALUE, "")
+def _plain(text: Column) -> Column:
+    """Tagged words without their marks."""
+    return F.regexp_replace(text, f"[{NUMBER}{UNIT}{NAME}{VALUE}]+", "")
 
 
 def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
@@ -65,13 +67,17 @@ def _words(df: DataFrame, key: str, after: str = "") -> DataFrame:
     be pushed below and tag every text a second time.
     """
     text = F.concat(F.lit(after), F.coalesce("text", F.lit("")))
-    tags, names = F.split(tagged(text), " "), F.split(tagged(text, openers=True), " ")
-    if after:
-        tags, names = F.slice(tags, 2, 1 << 30), F.slice(names, 2, 1 << 30)
+    split = lambda words: F.slice(F.split(words, " "), 2, 1 << 30) if after else F.split(words, " ")
+    read = df.select(key, tagged(text).alias("tagged"), tagged(text, openers=True).alias("name_tagged"))
     template = lambda word: F.xxhash64(F.substring_index(word, VALUE, 1))
-    tagged_words = df.select(key, tags.alias("tags"), names.alias("name_tags"))
+    tagged_words = read.select(
+        key,
+        split(F.col("tagged")).alias("tags"),
+        split(F.col("name_tagged")).alias("name_tags"),
+        split(_plain(F.col("tagged"))).alias("plain_tags"),
+    )
     literal = lambda word: F.when(word < VALUE, 0).otherwise(1)
-    return tagged_words.select("*", F.transform("tags", _plain).alias("plain_tags")).select(
+    return tagged_words.select(
         key,
         "tags",
         "name_tags",
