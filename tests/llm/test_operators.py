@@ -382,6 +382,35 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, leaders):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
 
 
+def test_wide_sketches_keep_every_link(spark, monkeypatch):
+    """Of pairs near the threshold, those that do not link are mostly left out before texts are fetched."""
+    rng = np.random.default_rng(5)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(150):
+        own = list(base)
+        for at in rng.choice(150, rng.integers(1, 6), replace=False):
+            own[at] = f"u{i}x{at}"
+        rows.append((i, " ".join(own)))
+    asked = []
+    found = jaccard.search
+    monkeypatch.setattr(jaccard, "search", lambda pairs, texts: (asked.append(pairs), found(pairs, texts))[1])
+    monkeypatch.setattr(jaccard, "HELD", 500)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+    assert sum(pairs.count() for pairs in asked) < 1200
+
+
+def test_folded_sketches_bound_the_difference(spark):
+    """Sets of 64 and 65 shingles have sketches of 128 and 256 buckets; a link of theirs is kept."""
+    long = [f"w{i}" for i in range(68)]
+    rows = [(0, " ".join(long[:67])), (1, " ".join(long)), (2, " ".join(f"v{i}" for i in range(67)))]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.xxhash64("text"))
+    sets = jaccard.prefixes(d, np.zeros(1 << jaccard.HEAT_BITS)).withColumnRenamed("doc_id", "doc")
+    assert {(r.n, len(r.wide)) for r in sets.collect()} == {(64, 2), (65, 4)}
+    pairs = spark.createDataFrame([(0, 1), (1, 0), (0, 2), (1, 2)], "a long, b long")
+    assert {(r.a, r.b) for r in jaccard._near(pairs, sets).collect()} == {(0, 1), (1, 0)}
+
+
 def test_near_duplicates_of_documents(docs, texts):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()}
     assert got == brute_components(texts.items())

@@ -3,9 +3,9 @@
 Two sets of sizes n and m link when they share at least T = ceil(85 (n + m) / 185) shingles. All
 shingles have one global order, rare ones first (by how many sets hold them, counted over all
 documents in hashed buckets; any order gives the same links). A set's short lists are those of its
-first n - ceil(0.85 n) + c shingles: linked sets meet in at least c of them (c is 2, or ceil(0.85 n)
-if that is less). Spark groups these lists; candidates that meet often enough are then searched block
-by block with DivideSkip, which merges the shortest inverted lists of a block with a heap and probes
+first n - ceil(0.85 n) + c shingles: linked sets meet in at least c of them (c is 1). Spark groups
+these lists; candidates that meet often enough, and whose parity sketches allow a link, are then
+searched block by block with DivideSkip, which merges the shortest inverted lists of a block with a heap and probes
 the longest by binary search.
 
 Equal sets are one class and searched once. In a list that many near copies share, pairs of documents
@@ -32,13 +32,15 @@ SHINGLE = 4
 PERCENT = 85
 HEAT_BITS = 20
 MEETINGS = 1
-#: A list of so many sets or more goes through ``TURNS`` turns of ``LEADERS`` leaders before its pairs are formed.
-LONG, LEADERS, TURNS = 4, 2, 2
+#: A list of so many sets or more goes through turns of so many leaders before its pairs are formed. The last
+#: turn is repeated, ``TURNS`` in all at most, while more than ``LEFT`` pairs a row are left in such lists.
+LONG, LEADERS, TURNS, LEFT = 4, (2, 8), 6, 16
 #: Lists before a meeting that are looked at for an earlier one of the same pair.
 BEFORE = 4
 SKETCH = ["s0", "s1", "s2", "s3"]
 BROADCAST_IDS = 1_000_000
-BLOCK = 512
+#: Sets, and shingles, that a task of the search holds.
+BLOCK, HELD = 512, 1 << 17
 PIECE = 500_000
 MU = 0.01
 
@@ -122,18 +124,19 @@ def heat(docs: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
-    """Per row of (``doc_id``, ``text_hash``, ``text``): set size, 128-bit digest, sketch, and its short
-    lists' shingles in global order.
+    """Per row of (``doc_id``, ``text_hash``, ``text``): set size, 128-bit digest, two sketches, and its
+    short lists' shingles in global order.
 
-    The sketch has a bit for each of 256 hash buckets: whether an odd number of shingles falls there.
-    Two sets differ in at least as many shingles as their sketches differ in bits.
+    A sketch has a bit for each of 256 hash buckets: whether an odd number of shingles falls there.
+    Two sets differ in at least as many shingles as their sketches differ in bits. ``wide`` is such a
+    sketch of twice as many buckets as shingles, or more: a power of two, 64 at least.
     """
     sent = send(docs.sparkSession, heats)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heats = unpack(sent)
         for batch in in_pieces(batches, PIECE):
-            sizes, first, second, tokens, sketches = [], [], [], [], []
+            sizes, first, second, tokens, sketches, wide = [], [], [], [], [], []
             for own in shingle_sets(batch.column(2)):
                 n = len(own)
                 mixed = words.mix(own)
@@ -142,6 +145,9 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
                 second.append(words.mix(mixed + np.uint64(words.GOLDEN)).sum(dtype=np.uint64))
                 odd = np.bincount((mixed >> np.uint64(56)).astype(np.int64), minlength=256) & 1
                 sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                buckets = max(64, 1 << max(2 * n - 1, 1).bit_length())
+                odd = np.bincount((mixed & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) & 1
+                wide.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 least = -(-PERCENT * n // 100)
                 keep = n - least + min(MEETINGS, least)
                 order = np.argsort(heats[(own >> np.uint64(64 - HEAT_BITS)).astype(np.int64)], kind="stable")
@@ -154,13 +160,16 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
                     pa.array(np.array(first, np.uint64).view(np.int64)),
                     pa.array(np.array(second, np.uint64).view(np.int64)),
                     *map(pa.array, np.stack(sketches, axis=1)),
+                    pa.array(wide, pa.list_(pa.int64())),
                     pa.array(tokens, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_hash", "n", "d1", "d2", *SKETCH, "tokens"],
+                ["doc_id", "text_hash", "n", "d1", "d2", *SKETCH, "wide", "tokens"],
             )
 
     return docs.select("doc_id", "text_hash", "text").mapInArrow(
-        cut, f"doc_id long, text_hash long, n long, d1 long, d2 long, {' long, '.join(SKETCH)} long, tokens array<long>"
+        cut,
+        f"doc_id long, text_hash long, n long, d1 long, d2 long, {' long, '.join(SKETCH)} long, "
+        "wide array<long>, tokens array<long>",
     )
 
 
@@ -168,7 +177,8 @@ def search(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b), those that link. Each a is a query over the inverted lists of its b.
 
     The partners of a query are one partition of the corpus, or several of about ``BLOCK`` sets if they
-    are more; they stream past the query in blocks, so no task holds more than a block.
+    are more; they stream past the query in blocks of that many sets, or ``HELD`` shingles, so no task
+    holds more than a block.
     """
     asked = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > BLOCK)
     parts = F.ceil(F.coalesce("m", F.lit(1)) / BLOCK)
@@ -179,9 +189,11 @@ def search(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = queries.select("a", "salt", F.lit(None).cast("long").alias("b"), "text").unionAll(members)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, asked, block, ids = None, [], [], []
+        key, asked, block, ids, held = None, [], [], [], 0
 
         def flush() -> list[tuple[int, int]]:
+            nonlocal held
+            held = 0
             hits = {(key[0], ids[i]) for q in asked for i in divide_skip(q, block)} if block else set()
             block.clear()
             ids.clear()
@@ -200,7 +212,8 @@ def search(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     continue
                 block.append(own)
                 ids.append(b[i])
-                if len(block) >= BLOCK:
+                held += len(own)
+                if len(block) >= BLOCK or held >= HELD:
                     out += flush()
             yield _pairs_batch(out)
         yield _pairs_batch(flush())
@@ -273,13 +286,48 @@ def _met(x: DataFrame, y: DataFrame) -> DataFrame:
 def _led_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Every document of a list with each of the list's leaders, unless they are connected."""
     row = F.struct("doc", "n", "pos", "label", *SKETCH)
-    chosen = [F.min(F.struct(F.xxhash64("doc", F.lit(turn * LEADERS + i)).alias("h"), row.alias("r"))) for i in range(LEADERS)]
+    seeds = [1000 * turn + i for i in range(LEADERS[min(turn, len(LEADERS) - 1)])]
+    chosen = [F.min(F.struct(F.xxhash64("doc", F.lit(seed)).alias("h"), row.alias("r"))) for seed in seeds]
     leaders = rows.groupBy("token").agg(F.array(*chosen).alias("all")).select("token", F.explode("all").alias("x"))
     leaders = leaders.select("token", "x.r.*").distinct()
     met = _met(leaders, rows).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), "size")
     return _often_enough(met)
 
 
+def _many_left(rows: DataFrame) -> bool:
+    """Whether the lists have more than ``LEFT`` pairs a row outside their largest label."""
+    per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
+    per_list = per_label.groupBy("token").agg(F.sum("m").alias("m"), F.max("m").alias("main"))
+    left = per_list.agg(F.sum(F.col("m").cast("double") * (F.col("m") - F.col("main"))).alias("pairs"), F.sum("m").alias("rows"))
+    return left.filter(F.col("pairs") > LEFT * F.col("rows")).count() > 0
+
+
+def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of candidate pairs (a, b), those whose wide sketches differ by no more bits than linked sets can.
+
+    Sizes are close, so one sketch is at most twice as long as the other; folded by XOR of its halves
+    it is the sketch of fewer buckets.
+    """
+    ids = stored(pairs.select(F.col("a").alias("doc")).unionAll(pairs.select("b")).distinct(), "asked")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    known = stored(sets.select("doc", "n", "wide").join(ids, "doc"), "sketches")
+    x, y = known.toDF("a", "n", "x"), known.toDF("b", "m", "y")
+    xor = lambda p, q: p.bitwiseXOR(q)
+
+    def folded(long: str, short: str) -> Column:
+        half = (F.size(long) / 2).cast("int")
+        return F.when(
+            F.size(long) > F.size(short), F.zip_with(F.slice(long, F.lit(1), half), F.slice(long, half + 1, half), xor)
+        ).otherwise(F.col(long))
+
+    bits = F.transform(F.zip_with(folded("x", "y"), folded("y", "x"), xor), F.bit_count)
+    differ = F.aggregate(bits, F.lit(0), lambda total, b: total + b)
+    sizes = F.col("n") + F.col("m")
+    close = (100 + PERCENT) * (sizes - differ) >= 2 * PERCENT * sizes
+    return stored(pairs.join(x, "a").join(y, "b").filter(close).select("a", "b"), "near")
+
+
 def _left_pairs(rows: DataFrame) -> DataFrame:
     """All pairs that are not known to be connected and may link.
 
@@ -326,25 +374,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     sets = stored(prefixes(docs, heat(docs)), "prefixes")
     usable = sets.filter("doc_id is not null and n > 0")
-    rep = F.min(F.struct("doc_id", "text_hash")).alias("rep")
-    classes = stored(
-        usable.groupBy("d1", "d2").agg(rep).withColumn("cls", F.monotonically_increasing_id()), "classes"
-    )
-    named = classes.select("cls", "d1", "d2", "rep.*")
-    chosen = usable.join(named, ["doc_id", "text_hash", "d1", "d2"]).select(F.col("cls").alias("doc"), "n", *SKETCH, "tokens")
-    # Rows that repeat an id and a text are the same set.
-    chosen = stored(chosen.dropDuplicates(["doc"]), "sets")
-    spread = chosen.select("doc", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "token"))
+    # Equal sets have equal rows but for their ids.
+    same = [F.first(c).alias(c) for c in ("n", *SKETCH, "wide", "tokens")]
+    merged = usable.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), *same)
+    chosen = stored(merged.withColumn("doc", F.monotonically_increasing_id()), "sets")
+    classes = chosen.select("d1", "d2", "rep", F.col("doc").alias("cls"))
+    spread = chosen.select("doc", F.posexplode("tokens").alias("pos", "token"))
     shared = chosen.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    # Sketches join what is left: most shingles are in one set only.
-    lists = stored(spread.join(shared, "token").join(chosen.select("doc", *SKETCH), "doc"), "lists")
-    links, labelled = None, _labelled(lists, None)
-    for turn in range(TURNS):
-        pairs = stored(_led_pairs(labelled.filter(F.col("k") >= LONG), turn), "pairs")
+    # Sizes and sketches join what is left: most shingles are in one set only.
+    sizes = chosen.select("doc", F.col("n").cast("int").alias("n"), *SKETCH)
+    lists = stored(spread.join(shared, "token").join(sizes, "doc"), "lists")
+    links, labelled, turn = None, _labelled(lists, None), 0
+    while turn < len(LEADERS) or (turn < TURNS and _many_left(labelled.filter(F.col("k") >= LONG))):
+        pairs = _near(stored(_led_pairs(labelled.filter(F.col("k") >= LONG), turn), "pairs"), chosen)
         fresh = stored(search(pairs, _texts(docs, classes, pairs)), "links")
         links = fresh if links is None else links.unionAll(fresh)
         labelled = stored(_labelled(lists, components(links)), "labelled")
-    pairs = stored(_left_pairs(labelled), "pairs")
+        turn += 1
+    pairs = _near(stored(_left_pairs(labelled), "pairs"), chosen)
     links = links.unionAll(stored(search(pairs, _texts(docs, classes, pairs)), "links"))
     # Rows of one id with different texts are one document, so their classes are linked.
     owned = usable.select("doc_id", "d1", "d2").join(classes.select("cls", "d1", "d2"), ["d1", "d2"])
