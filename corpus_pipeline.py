@@ -23,8 +23,14 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose key is not a ``doc_id`` of ``rejected``."""
-    return rows.join(rejected.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(COLUMNS)
+    """The rows whose key is not a ``doc_id`` of ``rejected``, a stored table.
+
+    Keys are broadcast below a checked number, so that texts are not shuffled; else joined.
+    """
+    keys = rejected.select(F.col("doc_id").alias("_row")).distinct()
+    if rejected.count() <= jaccard.BROADCAST_IDS:
+        keys = F.broadcast(keys)
+    return rows.join(keys, "_row", "left_anti").select(COLUMNS)
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

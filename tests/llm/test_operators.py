@@ -5,6 +5,7 @@ import hashlib
 import json
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -20,7 +21,7 @@ import corpus_pipeline
 from touchline.llm import (
     bpe, charlm, decontaminate, jaccard, language, licences, lm_scoring, quality, queries, sharding, token_rollup, toxicity,
 )
-from touchline.llm.shared import remainder, table, text_bytes
+from touchline.llm.shared import in_pieces, remainder, table, text_bytes
 
 SF_DIR = "/root/testdata/sf0.001"
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -212,6 +213,31 @@ def found_items(spark, items, texts):
     return {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(d, asked).collect()}
 
 
+def test_encoding_holds_small_pieces(texts):
+    """What a worker holds while it encodes follows the piece, not the batch."""
+    encoder = bpe.Encoder(bpe.read_vocabulary(BPE_FILE))
+    text = " ".join(t for t in texts.values() if t)
+    batch = pa.RecordBatch.from_arrays([pa.array([text[:200_000]] * 40, pa.string())], ["text"])
+    tracemalloc.start()
+    for piece in in_pieces(iter([batch]), bpe.PIECE):
+        encoder.decode(*encoder.encode(*text_bytes(piece.column(0))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120_000_000
+
+
+@pytest.mark.parametrize("limit", [10, 0])
+def test_rejected_rows_leave_without_a_shuffle_of_texts(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", limit)
+    rows, _ = corpus_pipeline._keyed(spark.createDataFrame([(i, f"t{i}", "en", "s", 2) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars int"))
+    keys = [r._row for r in rows.orderBy("doc_id").collect()]
+    rejected = spark.createDataFrame([(keys[i],) for i in (3, 3, 5)], "doc_id long")
+    left = corpus_pipeline._without(rows, rejected)
+    assert sorted(r.doc_id for r in left.collect()) == [i for i in range(20) if i not in (3, 5)]
+    hint = "strategy=broadcast" in left._jdf.queryExecution().analyzed().toString()
+    assert hint == bool(limit)
+
+
 def test_tagged_words_are_read_from_whole_texts(spark):
     """Marks are taken off whole texts, not word by word, and any run of white space is one blank."""
     d = spark.createDataFrame([(1, " see\t5 km \n\u0001 - and  Janet's 3%\n"), (2, " \u0002 - ")], "doc_id long, text string")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from touchline.llm import words
 from touchline.llm.shared import in_pieces, send, ship, text_bytes, unpack
 
-PIECE = 4_000_000
+PIECE = 1_000_000
 KNOWN_TOKENS = 8_000_000
 #: Fixed value: how the vocabulary's byte-level pre-tokenizer splits text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

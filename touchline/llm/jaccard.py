@@ -34,7 +34,7 @@ HEAT_BITS = 20
 MEETINGS = 1
 #: A list of so many sets or more goes through turns of so many leaders before its pairs are formed. The last
 #: turn is repeated, ``TURNS`` in all at most, while more than ``LEFT`` pairs a row are left in such lists.
-LONG, LEADERS, TURNS, LEFT = 4, (2, 8), 6, 16
+LONG, LEADERS, TURNS, LEFT = 4, (2, 8), 4, 16
 #: Lists before a meeting that are looked at for an earlier one of the same pair.
 BEFORE = 4
 SKETCH = ["s0", "s1", "s2", "s3"]
