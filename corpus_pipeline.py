@@ -22,15 +22,18 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, rows.select(F.col("_row").alias("doc_id"), *COLUMNS[1:])
 
 
-def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose key is not a ``doc_id`` of ``rejected``, a stored table.
+def _keys(judged: DataFrame) -> DataFrame:
+    """The different ``doc_id`` of a stored table as ``_row``.
 
-    Keys are broadcast below a checked number, so that texts are not shuffled; else joined.
+    They are broadcast below a checked number, so that texts are not shuffled; else joined.
     """
-    keys = rejected.select(F.col("doc_id").alias("_row")).distinct()
-    if rejected.count() <= jaccard.BROADCAST_IDS:
-        keys = F.broadcast(keys)
-    return rows.join(keys, "_row", "left_anti").select(COLUMNS)
+    keys = judged.select(F.col("doc_id").alias("_row")).distinct()
+    return F.broadcast(keys) if judged.count() <= jaccard.BROADCAST_IDS else keys
+
+
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose key is not a ``doc_id`` of ``rejected``, a stored table."""
+    return rows.join(_keys(rejected), "_row", "left_anti").select(COLUMNS)
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +63,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rank = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("doc_id").alias("row"))
     first = grouped.groupBy("component_id").agg(F.min(rank)["row"].alias("_first"))
     copies = grouped.join(first, "component_id").filter("doc_id != _first").select("doc_id")
-    blank = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_row"))
+    blank = _keys(found.filter("n_shingles = 0"))
     blank = stored(rows.filter("doc_id is not null").join(blank, "_row", "left_semi").select("_row", "doc_id", "text"), "blank")
     lowest = blank.groupBy("doc_id", "text").agg(F.min("_row").alias("_row")).select("_row")
     repeated = blank.join(lowest, "_row", "left_anti").select(F.col("_row").alias("doc_id"))
