@@ -452,6 +452,26 @@ def test_divide_skip_finds_what_overlaps_enough():
         assert sorted(jaccard.divide_skip(query, members)) == want
 
 
+def test_components_take_the_leaves_of_a_hub_at_once(spark, monkeypatch):
+    """Two hubs of 40 leaves each, joined by an edge: one round ranked by edges, one for the hubs at most."""
+    edges = [(100, i) for i in range(40)] + [(200 + i, 300) for i in range(40)] + [(100, 300)]
+    moves, kept = [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name: (moves.append(name), kept(df, name))[1])
+    got = {r.doc: r.label for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: 0 for e in edges for v in e}
+    assert moves.count("moved") <= 2
+
+
+def test_turns_that_take_little_away_are_not_repeated():
+    """Copies of a passage in texts that do not link stay apart however often leaders are chosen."""
+    rows = 100
+    assert jaccard._another_turn(0, []) and jaccard._another_turn(1, [(1e6, rows)])
+    assert not jaccard._another_turn(2, [(1e6, rows), (0.9e6, rows)])
+    assert jaccard._another_turn(2, [(1e6, rows), (0.5e6, rows)])
+    assert not jaccard._another_turn(2, [(1e6, rows), (rows, rows)])
+    assert not jaccard._another_turn(4, [(1e6, rows), (0.5e6, rows), (0.2e6, rows)])
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 600), (7, 7)], "a long, b long")
     got = {r.doc: r.label for r in jaccard.components(edges).collect()}

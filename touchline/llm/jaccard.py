@@ -33,12 +33,15 @@ PERCENT = 85
 HEAT_BITS = 20
 MEETINGS = 1
 #: A list of so many sets or more goes through turns of so many leaders before its pairs are formed. The last
-#: turn is repeated, ``TURNS`` in all at most, while more than ``LEFT`` pairs a row are left in such lists.
-LONG, LEADERS, TURNS, LEFT = 4, (2, 8), 4, 16
+#: turn is repeated, ``TURNS`` in all at most, while more than ``LEFT`` pairs a row are left in such lists and
+#: the turn before took away a share of ``GAIN`` of those it met.
+LONG, LEADERS, TURNS, LEFT, GAIN = 4, (2, 8), 4, 16, 0.25
 #: Lists before a meeting that are looked at for an earlier one of the same pair.
 BEFORE = 4
 SKETCH = ["s0", "s1", "s2", "s3"]
 BROADCAST_IDS = 1_000_000
+#: Ids or edges, of a known number, for which one more task writes a small table.
+A_TASK = 100_000
 #: Sets, and shingles, that a task of the search holds.
 BLOCK, HELD = 512, 1 << 17
 PIECE = 500_000
@@ -228,29 +231,42 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
+def _few(rows: int) -> int:
+    """Tasks that write so many small rows."""
+    return max(1, -(-rows // A_TASK))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``doc, label`` for every vertex: the smallest vertex of its component.
 
-    In each round every vertex moves to the neighbour (or itself) of least random rank and edges are
-    renamed, which shrinks the graph by a constant share on average; ends when no edge is left.
+    In each round every vertex moves to the neighbour (or itself) of least rank and edges are renamed;
+    ends when no edge is left. The first round ranks by edges, most first, which takes the leaves of a
+    hub at once. The others rank at random, which shrinks the graph by a constant share on average.
     """
     edges = stored(edges.filter("a != b").select("a", "b").distinct(), "edges")
-    names = stored(edges.select(F.explode(F.array("a", "b")).alias("doc")).distinct().withColumn("name", F.col("doc")), "names")
+    left = edges.count()
+    most = _few(2 * left)
+    names = edges.select(F.explode(F.array("a", "b")).alias("doc")).distinct().withColumn("name", F.col("doc"))
+    names = stored(names.coalesce(most), "names")
     turn = 0
-    while not edges.isEmpty():
+    while left:
         turn += 1
-        rank = lambda v: F.struct(F.xxhash64(v, F.lit(turn)).alias("h"), F.col(v).alias("v"))  # noqa: B023, E731
+        rank = lambda n, v: F.struct((-n).alias("n"), F.xxhash64(v, F.lit(turn)).alias("h"), F.col(v).alias("v"))  # noqa: B023, E731
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min(rank("b")).alias("m"))
-        nearest = F.least("m", rank("a")).getField("v")
-        moved = stored(least.select(F.col("a").alias("old"), nearest.alias("new")), "moved")
+        count = F.count(F.lit(1))
+        if turn == 1:
+            both = both.join(both.groupBy(F.col("a").alias("b")).agg(count.alias("n")), "b")
+        else:
+            both, count = both.withColumn("n", F.lit(0).cast("long")), F.lit(0).cast("long")
+        least = both.groupBy("a").agg(F.min(rank(F.col("n"), "b")).alias("m"), count.alias("n"))
+        nearest = F.least("m", rank(F.col("n"), "a")).getField("v")
+        moved = stored(least.select(F.col("a").alias("old"), nearest.alias("new")).coalesce(_few(2 * left)), "moved")
         half = edges.join(moved, edges["a"] == moved["old"]).select(F.col("new").alias("a"), "b")
         whole = half.join(moved, half["b"] == moved["old"]).select("a", F.col("new").alias("b"))
-        edges = stored(whole.filter("a != b").distinct(), "edges")
-        names = stored(
-            names.join(moved, names["name"] == moved["old"], "left").select("doc", F.coalesce("new", "name").alias("name")),
-            "names",
-        )
+        edges = stored(whole.filter("a != b").distinct().coalesce(_few(left)), "edges")
+        renamed = names.join(moved, names["name"] == moved["old"], "left")
+        names = stored(renamed.select("doc", F.coalesce("new", "name").alias("name")).coalesce(most), "names")
+        left = edges.count()
     lowest = names.groupBy("name").agg(F.min("doc").alias("label"))
     return names.join(lowest, "name").select("doc", "label")
 
@@ -294,12 +310,20 @@ def _led_pairs(rows: DataFrame, turn: int) -> DataFrame:
     return _often_enough(met)
 
 
-def _many_left(rows: DataFrame) -> bool:
-    """Whether the lists have more than ``LEFT`` pairs a row outside their largest label."""
+def _left(rows: DataFrame) -> tuple[float, int]:
+    """Pairs of the lists outside their largest label, and rows of the lists."""
     per_label = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     per_list = per_label.groupBy("token").agg(F.sum("m").alias("m"), F.max("m").alias("main"))
-    left = per_list.agg(F.sum(F.col("m").cast("double") * (F.col("m") - F.col("main"))).alias("pairs"), F.sum("m").alias("rows"))
-    return left.filter(F.col("pairs") > LEFT * F.col("rows")).count() > 0
+    pairs = F.sum(F.col("m").cast("double") * (F.col("m") - F.col("main")))
+    return tuple(per_list.agg(F.coalesce(pairs, F.lit(0.0)), F.coalesce(F.sum("m"), F.lit(0))).first())
+
+
+def _another_turn(turn: int, lefts: list[tuple[float, int]]) -> bool:
+    """Whether leaders are worth another turn. ``lefts`` is what was left after each turn but the first ones."""
+    if turn < len(LEADERS) or turn >= TURNS:
+        return turn < len(LEADERS)
+    (before, _), (pairs, rows) = lefts[-2:]
+    return pairs > LEFT * rows and pairs <= (1 - GAIN) * before
 
 
 def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -308,7 +332,8 @@ def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     Sizes are close, so one sketch is at most twice as long as the other; folded by XOR of its halves
     it is the sketch of fewer buckets.
     """
-    ids = stored(pairs.select(F.col("a").alias("doc")).unionAll(pairs.select("b")).distinct(), "asked")
+    ids = pairs.select(F.col("a").alias("doc")).unionAll(pairs.select("b")).distinct()
+    ids = stored(ids.coalesce(_few(2 * pairs.count())), "asked")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     known = stored(sets.select("doc", "n", "wide").join(ids, "doc"), "sketches")
@@ -384,13 +409,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Sizes and sketches join what is left: most shingles are in one set only.
     sizes = chosen.select("doc", F.col("n").cast("int").alias("n"), *SKETCH)
     lists = stored(spread.join(shared, "token").join(sizes, "doc"), "lists")
-    links, labelled, turn = None, _labelled(lists, None), 0
-    while turn < len(LEADERS) or (turn < TURNS and _many_left(labelled.filter(F.col("k") >= LONG))):
+    links, labelled, turn, lefts = None, _labelled(lists, None), 0, []
+    while _another_turn(turn, lefts):
         pairs = _near(stored(_led_pairs(labelled.filter(F.col("k") >= LONG), turn), "pairs"), chosen)
         fresh = stored(search(pairs, _texts(docs, classes, pairs)), "links")
         links = fresh if links is None else links.unionAll(fresh)
         labelled = stored(_labelled(lists, components(links)), "labelled")
         turn += 1
+        if len(LEADERS) - 1 <= turn < TURNS:
+            lefts.append(_left(labelled.filter(F.col("k") >= LONG)))
     pairs = _near(stored(_left_pairs(labelled), "pairs"), chosen)
     links = links.unionAll(stored(search(pairs, _texts(docs, classes, pairs)), "links"))
     # Rows of one id with different texts are one document, so their classes are linked.
