@@ -19,7 +19,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from touchline.llm import (
-    bpe, charlm, decontaminate, jaccard, language, licences, lm_scoring, quality, queries, sharding, token_rollup, toxicity,
+    bpe, charlm, decontaminate, jaccard, language, licences, lm_scoring, quality, queries, shared, sharding, token_rollup,
+    toxicity,
 )
 from touchline.llm.shared import in_pieces, remainder, table, text_bytes
 
@@ -472,6 +473,26 @@ def test_turns_that_take_little_away_are_not_repeated():
     assert not jaccard._another_turn(4, [(1e6, rows), (0.5e6, rows), (0.2e6, rows)])
 
 
+def test_a_task_returns_freed_memory():
+    """What small arrays of a task took is not kept by its process when the task has ended."""
+
+    def held():
+        fields = dict(line.split(":") for line in open("/proc/self/smaps_rollup").read().splitlines()[1:])
+        return int(fields["Anonymous"].split()[0]) / 1024
+
+    def run(batches):
+        for batch in batches:
+            rows = [np.ones(8_000) for _ in range(2_000)]
+            pins.extend(np.ones(4_000) for _ in range(2))
+            del rows
+            yield batch
+
+    pins = []
+    before = held()
+    assert list(shared.lean(run)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 40
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(500, 600), (7, 7)], "a long, b long")
     got = {r.doc: r.label for r in jaccard.components(edges).collect()}

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from touchline.llm import words
-from touchline.llm.shared import in_pieces, send, ship, text_bytes, unpack
+from touchline.llm.shared import in_pieces, lean, send, ship, text_bytes, unpack
 
 PIECE = 1_000_000
 KNOWN_TOKENS = 8_000_000
@@ -329,7 +329,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = F
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, decoded string" if with_ids else ""
-    return docs.select("doc_id", "text").mapInArrow(encode, schema)
+    return docs.select("doc_id", "text").mapInArrow(lean(encode), schema)
 
 
 ship(__name__)

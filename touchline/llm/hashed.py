@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from touchline.llm.shared import ship
+from touchline.llm.shared import lean, ship
 
 SEGMENT_BITS = 14
 WIDTH = 1 << SEGMENT_BITS
@@ -51,7 +51,7 @@ def collected(packs: DataFrame, rows: int, size: int) -> np.ndarray:
                 ["segment", "pack"],
             )
 
-    seen = packs.repartition("segment").mapInArrow(add, PACKED).toArrow()
+    seen = packs.repartition("segment").mapInArrow(lean(add), PACKED).toArrow()
     out = np.zeros((rows, size), np.float32)
     for segment, raw in zip(seen.column(0).to_pylist(), seen.column(1).to_pylist(), strict=True):
         out[:, segment * WIDTH : (segment + 1) * WIDTH] = np.frombuffer(raw, "<f4").reshape(rows, WIDTH)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from touchline.llm import hashed, words
-from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
+from touchline.llm.shared import in_pieces, lean, send, ship, stored, text_bytes, unpack
 
 SHINGLE = 4
 PERCENT = 85
@@ -123,7 +123,7 @@ def heat(docs: DataFrame) -> np.ndarray:
             held[0] += np.bincount(bucket, minlength=held.shape[1])
         yield from hashed.packed(held)
 
-    return hashed.collected(docs.select("text").mapInArrow(count, hashed.PACKED), 1, 1 << HEAT_BITS)[0]
+    return hashed.collected(docs.select("text").mapInArrow(lean(count), hashed.PACKED), 1, 1 << HEAT_BITS)[0]
 
 
 def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
@@ -170,7 +170,7 @@ def prefixes(docs: DataFrame, heats: np.ndarray) -> DataFrame:
             )
 
     return docs.select("doc_id", "text_hash", "text").mapInArrow(
-        cut,
+        lean(cut),
         f"doc_id long, text_hash long, n long, d1 long, d2 long, {' long, '.join(SKETCH)} long, "
         "wide array<long>, tokens array<long>",
     )
@@ -222,7 +222,7 @@ def search(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         yield _pairs_batch(flush())
 
     placed = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return placed.mapInArrow(judge, "a long, b long")
+    return placed.mapInArrow(lean(judge), "a long, b long")
 
 
 def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:

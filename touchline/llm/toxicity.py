@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm import words
-from touchline.llm.shared import in_pieces, send, ship, stored, text_bytes, unpack
+from touchline.llm.shared import in_pieces, lean, send, ship, stored, text_bytes, unpack
 
 BITS = 18
 PREFIXES = (3, 4, 5, 6)
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: SentenceModel, held_out: Column | None = None,
         "n_offending long, worst_start long, worst_stop long"
     )
     schema += ", offending array<struct<start: long, stop: long, score: double>>" if spans else ""
-    return rows.mapInArrow(judge, schema)
+    return rows.mapInArrow(lean(judge), schema)
 
 
 ship(__name__)
