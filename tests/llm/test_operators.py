@@ -592,6 +592,30 @@ def test_toxicity_learns_from_documents(spark):
             assert [(o.start, o.stop) for o in r.offending] == [(r.worst_start, r.worst_stop)]
 
 
+def test_toxicity_training_holds_small_pieces():
+    """What the driver holds while it learns are the texts and some pieces, not the features of all of them."""
+    some = [f"w{i * 7919 % 5000:04d}" for i in range(3400)]
+    texts = pa.array([f"{i} " + " ".join(some[i : i + 400]) + (" vile." if i % 3 == 0 else " fine.") for i in range(3000)])
+    tracemalloc.start()
+    model = toxicity.fit(texts, np.array([int(i % 3 == 0) for i in range(3000)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * texts.nbytes and model.weight.any()
+
+
+def test_window_counts_reach_the_driver_as_columns(spark):
+    counted = spark.range(100_000).selectExpr("if(id % 2 = 0, 'b', 'a') as lang", "cast(id * 7 as int) as code", "id % 5 + 1 as n")
+    tracemalloc.start()
+    models = charlm.fit_all(counted, charlm.modified_discounts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * 100_000
+    i = np.arange(1, 100_000, 2)
+    alone = charlm.fit(i[::-1] * 7, i[::-1] % 5 + 1, charlm.modified_discounts)
+    assert list(models) == ["a", "b"] and charlm.fit_all(counted.limit(0), charlm.modified_discounts) == {}
+    assert all((x == y).all() for x, y in zip(models["a"].codes + models["a"].logp, alone.codes + alone.logp, strict=True))
+
+
 def test_noisy_or():
     logit, bounds = np.array([0.0, 1.0, -2.0]), np.array([0, 2, 2, 3])
     p = 1 / (1 + np.exp(-logit))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from touchline.llm import words
-from touchline.llm.shared import in_pieces, lean, send, ship, stored, text_bytes, unpack
+from touchline.llm.shared import in_pieces, lean, release, send, ship, stored, text_bytes, unpack
 
 BITS = 18
 PREFIXES = (3, 4, 5, 6)
@@ -105,17 +105,13 @@ def _distinct(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return texts.take(pa.array(kept)), kept
 
 
-def _in_pieces(texts: pa.Array) -> Sentences:
-    """Sentences of all texts, made piece by piece to save memory; without byte ranges."""
-    features, owners, bounds, n = [np.zeros((1 + len(PREFIXES), 0), np.int32)], [], [np.zeros(1, np.int64)], 0
+def _features(texts: pa.Array) -> Iterator[tuple[Sentences, np.ndarray, np.ndarray]]:
+    """Sentences of a piece of the texts after the other, with each sentence's text and each word's sentence, counted over all."""
+    at = n = 0
     for piece in _pieces(texts):
         found = sentences(piece)
-        features.append(found.feature)
-        owners.append((found.sentence + n).astype(np.int32))
-        bounds.append(found.bounds[1:] + n)
-        n += len(found)
-    places = np.zeros(n, np.int8)
-    return Sentences(np.concatenate(features, axis=1), np.concatenate([np.zeros(0, np.int32), *owners]), places, places, np.concatenate(bounds))
+        yield found, np.repeat(np.arange(len(piece)), np.diff(found.bounds)) + at, found.sentence + n
+        at, n = at + len(piece), n + len(found)
 
 
 def fit(texts: pa.Array, toxic: np.ndarray) -> SentenceModel:
@@ -131,29 +127,36 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> SentenceModel:
         return nothing
     texts, kept = _distinct(texts)
     toxic = toxic[kept]
-    found = _in_pieces(texts)
-    if not len(found) or not (toxic == 1).any():
+    # The features of all texts take several times their space, so they are made twice, piece by piece.
+    with_kind, owners = np.zeros((2, size), np.int64), []
+    for found, owner, _ in _features(texts):
+        owners.append(owner)
+        for kind in found.feature:
+            pair = np.unique(kind.astype(np.int64) * len(toxic) + owner[found.sentence])
+            for label in (0, 1):
+                with_kind[label] += np.bincount(pair[toxic[pair % len(toxic)] == label] // len(toxic), minlength=size)
+    owner = np.concatenate([np.zeros(0, np.int64), *owners])
+    if not len(owner) or not (toxic == 1).any():
         return nothing
-    owner = np.repeat(np.arange(len(toxic)), np.diff(found.bounds))
-    with_kind = np.zeros((2, size), np.int64)
-    for kind in found.feature:
-        pair = np.unique(kind.astype(np.int64) * len(toxic) + owner[found.sentence])
-        for label in (0, 1):
-            with_kind[label] += np.bincount(pair[toxic[pair % len(toxic)] == label] // len(toxic), minlength=size)
+    bounds = np.searchsorted(owner, np.arange(len(toxic) + 1))
     y = toxic.astype(float)
     strong = _association(with_kind[1], with_kind[0], int(y.sum()), int((1 - y).sum())) >= LEAST_G
-    pair = [kind[strong[kind]].astype(np.int64) * len(found) + found.sentence[strong[kind]] for kind in found.feature]
-    pair = np.unique(np.concatenate(pair))
-    feature, sentence = pair // len(found), pair % len(found)
+    pairs = [np.zeros(0, np.int64)]
+    for found, _, at in _features(texts):
+        own = [kind[strong[kind]].astype(np.int64) * len(owner) + at[strong[kind]] for kind in found.feature]
+        pairs.append(np.unique(np.concatenate(own)))
+    pair = np.sort(np.concatenate(pairs))
+    del pairs
+    feature, sentence = pair // len(owner), pair % len(owner)
     used, feature = np.unique(feature, return_inverse=True)
     # Each kind of document weighs half, however many there are.
     share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
     w, bias = np.zeros(len(used)), -5.0
     mean, square = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, STEPS + 1):
-        z = np.bincount(sentence, weights=w[feature], minlength=len(found)) + bias
+        z = np.bincount(sentence, weights=w[feature], minlength=len(owner)) + bias
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.exp(noisy_or(z, found.bounds))
+        clean = np.exp(noisy_or(z, bounds))
         pull = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * share
         g = p * pull[owner]
         grad = np.append(np.bincount(feature, weights=g[sentence], minlength=len(used)), g.sum()) / len(y)
@@ -189,11 +192,17 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
         kept = part if kept is None else kept.unionAll(part)
     kept = stored(kept, "examples")
     seen = texts.join(F.broadcast(kept), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash"])
-    seen = seen.sort("doc_id", "hash").select("doc_id", "text", "toxic").toArrow().combine_chunks()
+    seen = seen.sort("doc_id", "hash").select("doc_id", "text", "toxic").toArrow()
     order = np.argsort(seen.column("doc_id").to_numpy(), kind="stable")
     seen = seen.take(pa.array(order))
     texts = seen.column("text").combine_chunks() if len(seen) else pa.array([], pa.string())
-    return fit(texts, np.array(seen.column("toxic").to_pylist(), np.int64))
+    toxic = np.array(seen.column("toxic").to_pylist(), np.int64)
+    del seen
+    release()
+    model = fit(texts, toxic)
+    del texts
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: SentenceModel, held_out: Column | None = None, spans: bool = False) -> DataFrame:
