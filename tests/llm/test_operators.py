@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from touchline.llm import (
     bpe, charlm, decontaminate, jaccard, language, licences, lm_scoring, quality, queries, shared, sharding, token_rollup,
-    toxicity,
+    toxicity, words,
 )
 from touchline.llm.shared import in_pieces, remainder, table, text_bytes
 
@@ -227,6 +227,18 @@ def test_encoding_holds_small_pieces(texts):
     assert peak < 120_000_000
 
 
+def test_hashes_of_runs_take_few_copies():
+    """Hashes of the runs of a text take two long arrays at a time, and a run hashes as it does alone."""
+    data = np.frombuffer(b"some words " * 90_000, np.uint8)
+    start = np.arange(0, len(data), 11)
+    tracemalloc.start()
+    hashes = words.run_hashes(data, start)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 22 * len(data)
+    assert (hashes == words.run_hashes(data[:11], np.zeros(1, np.int64))).all()
+
+
 @pytest.mark.parametrize("limit", [10, 0])
 def test_rejected_rows_leave_without_a_shuffle_of_texts(spark, monkeypatch, limit):
     monkeypatch.setattr(jaccard, "BROADCAST_IDS", limit)

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from touchline.llm import words
-from touchline.llm.shared import in_pieces, lean, send, ship, text_bytes, unpack
+from touchline.llm.shared import in_pieces, lean, release, send, ship, text_bytes, unpack
 
 PIECE = 1_000_000
 KNOWN_TOKENS = 8_000_000
@@ -248,6 +248,7 @@ class Encoder:
             begins[a + 1 : b] = False
         piece = np.flatnonzero(begins)
         start = byte_of[piece]
+        del text, points, byte_of, opens, begins
         hashes = words.run_hashes(data, start)
         is_special = np.searchsorted(piece, spans[:, 0])
         hashes[is_special] = words.mix(special_ids.astype(np.uint64) ^ np.uint64(words.GOLDEN))
@@ -255,7 +256,8 @@ class Encoder:
         at = np.searchsorted(self.hashes, hashes)
         size = self.size[at]
         ends = np.cumsum(size)
-        where = np.arange(int(ends[-1])) + np.repeat(self.first[at] - (ends - size), size)
+        where = np.arange(int(ends[-1]))
+        where += np.repeat(self.first[at] - (ends - size), size)
         meet = np.searchsorted(piece, chars)
         return self.tokens[where], np.concatenate([[0], ends])[meet]
 
@@ -291,7 +293,8 @@ class Encoder:
         """The texts of the ids; bytes that are no UTF-8 become the replacement character."""
         size = self.token_size[ids]
         ends = np.concatenate([[0], np.cumsum(size)])
-        where = np.arange(int(ends[-1])) + np.repeat(self.token_first[ids] - ends[:-1], size)
+        where = np.arange(int(ends[-1]))
+        where += np.repeat(self.token_first[ids] - ends[:-1], size)
         data, places = self.token_bytes[where].tobytes(), ends[bounds].tolist()
         return [data[a:b].decode("utf-8", "replace") for a, b in zip(places, places[1:], strict=False)]
 
@@ -326,6 +329,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, with_ids: bool = F
                 columns += [pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names)
+            del ids, own, decoded, columns
+            release()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>, decoded string" if with_ids else ""
